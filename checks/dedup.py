@@ -1,0 +1,2 @@
+Q: dict = {}
+SQL: dict[str, str] = {}
