@@ -25,14 +25,10 @@ def once(*scores: Column) -> Column:
     return F.inline(F.array(F.struct(*scores)))
 
 
-def is_small(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether ``table`` has at most ``max_rows`` rows; reads no more than that."""
-    return table.limit(max_rows + 1).count() <= max_rows
-
-
 def small_table(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``table`` marked for broadcast if its checked size allows it, else unmarked."""
-    return F.broadcast(table) if is_small(table, max_rows) else table
+    """``table``, written once and marked for broadcast if its row count allows it."""
+    table = materialise(table, "lookup")
+    return F.broadcast(table) if table.count() <= max_rows else table
 
 
 def lookup_join(
@@ -49,7 +45,8 @@ def lookup_join(
     shuffled, except those of hot keys: their few table rows are broadcast instead. Rows
     with a null key match nothing and stay where they are.
     """
-    if is_small(table, max_broadcast_rows):
+    table = materialise(table, "lookup")
+    if table.count() <= max_broadcast_rows:
         return rows.join(F.broadcast(table), on, how)
     keyed = rows.dropna(subset=on)
     hot = materialise(

@@ -65,7 +65,7 @@ def assign_output_batches(
     the highest number in use, or 0.
     """
     keys = [c for c in order if c != repo]
-    repos = df.groupBy(repo).agg(*[F.min(c).alias(c) for c in keys])
+    repos = df.groupBy(repo).agg(*[F.min(c).alias(c) for c in keys]) if keys else df.select(repo).distinct()
     numbered = global_row_number(repos, keys + [repo], "_rn").select(
         repo, (F.floor((F.col("_rn") - 1) / repos_per_file) + next_batch).cast("long").alias("batch")
     )

@@ -63,7 +63,8 @@ def read_file_contents(files: DataFrame, root: str, batch_bytes: int = 32 << 20)
             rows, held = [], 0
             for row in batch.itertuples(index=False):
                 try:
-                    with opened.open_input_stream(f"{base}/{row.repo_name.replace('/', '__')}/{row.file_name}") as stream:
+                    path = f"{base}/{row.repo_name.replace('/', '__')}/{row.file_name}"
+                    with opened.open_input_stream(path, compression=None) as stream:
                         content = stream.read()
                 except OSError:
                     continue
