@@ -1,2 +1,190 @@
+"""Deduplication: the oracle computes the same MinHash bands in SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from checks.views import sql, view
+from srcsieve.constants import CHAR_NGRAMS, HASHES_PER_BAND, MINHASH_SEED, NUM_BANDS
+from srcsieve.operators import components as C
+from srcsieve.operators import exact_dedup as E
+from srcsieve.operators import fuzzy_dedup as Z
+from srcsieve.operators import minhash as M
+from srcsieve.operators.quality import quality_filter_chain
+
 Q: dict = {}
 SQL: dict[str, str] = {}
+
+ID = """'doc_prefix-' || sha256(coalesce(repo_name, '') || chr(10) || coalesce(file_name, '') || chr(10) || md5(text))"""
+SCOPED_ID = ID.replace("sha256(", "sha256(CAST(month AS VARCHAR) || chr(10) || ")
+
+
+def _files(spark, sf):
+    return view(spark, sf, "code_files").withColumn("month", F.col("month_no"))
+
+
+def _near(spark, sf):
+    return view(spark, sf, "near_docs")
+
+
+Q["add_doc_id"] = lambda spark, sf: E.add_doc_id(_files(spark, sf)).select("id", "my_id")
+SQL["add_doc_id"] = sql(f"SELECT id, {ID} AS my_id FROM code_files", "code_files")
+
+Q["exact_duplicate_groups"] = lambda spark, sf: E.exact_duplicate_groups(_files(spark, sf), "id")
+SQL["exact_duplicate_groups"] = sql(
+    """SELECT md5(text) AS text_md5, min(id) AS keep_id, count(*) AS copies FROM code_files
+       GROUP BY 1 HAVING count(*) > 1""",
+    "code_files",
+)
+Q["exact_dedup"] = lambda spark, sf: E.exact_dedup(_files(spark, sf).drop("month"), "id")
+SQL["exact_dedup"] = sql(
+    "SELECT * FROM code_files WHERE id IN (SELECT min(id) FROM code_files GROUP BY text)", "code_files"
+)
+Q["exact_dedup_by_month"] = lambda spark, sf: E.exact_dedup(
+    _files(spark, sf).drop("month"), "id", scope=("month_no",)
+)
+SQL["exact_dedup_by_month"] = sql(
+    "SELECT * FROM code_files WHERE id IN (SELECT min(id) FROM code_files GROUP BY month_no, text)", "code_files"
+)
+
+Q["char_shingles"] = lambda spark, sf: M.char_shingles(_files(spark, sf), "id").groupBy("id").agg(
+    F.count(F.lit(1)).alias("shingles"), F.max("shingle").alias("last_shingle")
+)
+SQL["char_shingles"] = sql(
+    """SELECT id, count(DISTINCT s) AS shingles, max(s) AS last_shingle FROM (
+         SELECT id, unnest(list_transform(range(1, greatest(length(text) - 23, 1) + 1), lambda i: substr(text, i, 24))) AS s
+         FROM code_files) t GROUP BY id""",
+    "code_files",
+)
+
+
+def minhash_ctes(docs: str) -> str:
+    """``signed(id, signature)`` and ``buckets(id, band, bucket)`` of ``docs(id, text)``."""
+    weights, multipliers, offsets = M.hash_parameters(CHAR_NGRAMS, NUM_BANDS * HASHES_PER_BAND, MINHASH_SEED)
+    total = " + ".join(f"lead(cp, {k}, 0) OVER w * {weight}" for k, weight in enumerate(weights.tolist()))
+    mask = "4294967295::UBIGINT"
+    minima = ", ".join(
+        f"min((((h * {a}::UBIGINT) & {mask}) + {b}::UBIGINT) & {mask})"
+        for a, b in zip(multipliers.tolist(), offsets.tolist())
+    )
+    bands = ", ".join(
+        f"md5(array_to_string(signature[{b * HASHES_PER_BAND + 1}:{(b + 1) * HASHES_PER_BAND}], ','))"
+        for b in range(NUM_BANDS)
+    )
+    return f"""
+codes AS (SELECT id, unnest(cps)::BIGINT AS cp, generate_subscripts(cps, 1) AS pos, len(cps) AS n
+          FROM (SELECT id, CASE WHEN text = '' THEN [0] ELSE
+                list_transform(range(1, length(text) + 1), lambda i: unicode(substr(text, i, 1))) END AS cps FROM {docs}) d),
+sums AS (SELECT id, pos, n, {total} AS total FROM codes WINDOW w AS (PARTITION BY id ORDER BY pos)),
+h0 AS (SELECT id, (total % 4294967291)::UBIGINT AS h FROM sums WHERE pos <= greatest(n - {CHAR_NGRAMS - 1}, 1)),
+h1 AS (SELECT id, (xor(h, h >> 16) * 2246822507::UBIGINT) & {mask} AS h FROM h0),
+h2 AS (SELECT id, (xor(h, h >> 13) * 3266489909::UBIGINT) & {mask} AS h FROM h1),
+h3 AS (SELECT id, xor(h, h >> 16) AS h FROM h2),
+signed AS (SELECT id, [{minima}] AS signature FROM h3 GROUP BY id),
+buckets AS (SELECT id, unnest(range(0, {NUM_BANDS}))::INT AS band, unnest([{bands}]) AS bucket FROM signed)"""
+
+
+EDGES = """
+edges AS (SELECT DISTINCT b.id, h.head FROM buckets b
+          JOIN (SELECT band, bucket, min(id) AS head FROM buckets GROUP BY band, bucket) h USING (band, bucket)
+          WHERE b.id <> h.head)"""
+COMPONENTS = """
+links AS (SELECT id AS a, head AS b FROM edges UNION SELECT head, id FROM edges),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+roots AS (SELECT a AS id, min(b) AS root FROM reach GROUP BY a HAVING min(b) < a)"""
+
+NEAR = minhash_ctes("near_docs")
+Q["minhash_signatures"] = lambda spark, sf: M.minhash_signatures(_near(spark, sf), "id").select(
+    "id", F.array_join(F.col("signature").cast("array<string>"), ",").alias("signature")
+)
+SQL["minhash_signatures"] = sql(
+    "SELECT id, array_to_string(signature, ',') AS signature FROM signed", "near_docs", ctes=NEAR
+)
+
+
+def _buckets(spark, sf):
+    return M.lsh_band_buckets(M.minhash_signatures(_near(spark, sf), "id"), "id").withColumn(
+        "bucket", F.lower(F.hex("bucket"))
+    )
+
+
+Q["lsh_band_buckets"] = _buckets
+SQL["lsh_band_buckets"] = sql("SELECT * FROM buckets", "near_docs", ctes=NEAR)
+
+Q["lsh_candidate_edges"] = lambda spark, sf: M.lsh_candidate_edges(M.document_buckets(_near(spark, sf), "id"), "id")
+SQL["lsh_candidate_edges"] = sql("SELECT id, head FROM edges", "near_docs", ctes=NEAR + "," + EDGES)
+
+
+def _components(spark, sf):
+    edges = M.lsh_candidate_edges(M.document_buckets(_near(spark, sf), "id"), "id")
+    return C.duplicate_components(edges)
+
+
+Q["duplicate_components"] = _components
+SQL["duplicate_components"] = sql(
+    "SELECT id, root FROM roots", "near_docs", ctes=",".join((NEAR, EDGES, COMPONENTS)), recursive=True
+)
+
+Q["fuzzy_dedup"] = lambda spark, sf: Z.fuzzy_dedup(_near(spark, sf), "id")
+SQL["fuzzy_dedup"] = sql(
+    "SELECT * FROM near_docs WHERE id NOT IN (SELECT id FROM roots)",
+    "near_docs", ctes=",".join((NEAR, EDGES, COMPONENTS)), recursive=True,
+)
+
+
+def _pairs(spark, sf):
+    docs = _near(spark, sf)
+    edges = M.lsh_candidate_edges(M.document_buckets(docs, "id"), "id")
+    return Z.near_duplicate_pairs(edges, docs).withColumn("jaccard", F.round("jaccard", 6))
+
+
+SHINGLES = "list_distinct(list_transform(range(1, greatest(length({0}.text) - 23, 1) + 1), lambda i: substr({0}.text, i, 24)))"
+Q["near_duplicate_pairs"] = _pairs
+SQL["near_duplicate_pairs"] = sql(
+    f"""SELECT id, head, round(shared::DOUBLE / (na + nb - shared), 6) AS jaccard
+        FROM (SELECT id, head, len(a) AS na, len(b) AS nb, len(list_intersect(a, b)) AS shared
+              FROM (SELECT e.id, e.head, {SHINGLES.format('x')} AS a, {SHINGLES.format('y')} AS b
+                    FROM edges e JOIN near_docs x ON x.id = e.id JOIN near_docs y ON y.id = e.head) s) t
+        WHERE shared::DOUBLE / (na + nb - shared) >= 0.8""",
+    "near_docs", ctes=NEAR + "," + EDGES,
+)
+
+
+def _deduplicate(scope: str):
+    def run(spark, sf):
+        return Z.deduplicate(_files(spark, sf), scope).select("my_id", "repo_name", "file_name", "month_no", "text")
+
+    return run
+
+
+def _dedup_sql(identity: str, by: str) -> str:
+    """Exact copies first, then near copies among the survivors, within ``by`` groups."""
+    first = f"""
+identified AS (SELECT *, {identity} AS my_id FROM (SELECT *, month_no AS month FROM code_files) c),
+kept AS (SELECT my_id AS id, any_value(text) AS text, any_value(repo_name) AS repo_name, any_value(file_name) AS file_name,
+                any_value(month_no) AS month_no FROM identified
+         WHERE my_id IN (SELECT min(my_id) FROM identified GROUP BY {by} text) GROUP BY my_id)"""
+    scoped = minhash_ctes("kept")
+    edges = EDGES
+    if by:
+        scoped = scoped.replace("md5(array_to_string(", "md5(CAST(month_no AS VARCHAR) || ',' || array_to_string(").replace(
+            "FROM signed)", "FROM signed JOIN (SELECT id, month_no FROM kept) k USING (id))")
+    return sql(
+        """SELECT id AS my_id, repo_name, file_name, month_no, text FROM kept
+           WHERE id NOT IN (SELECT id FROM roots)""",
+        "code_files", ctes=",".join((first, scoped, edges, COMPONENTS)), recursive=True,
+    )
+
+
+Q["deduplicate"] = lambda spark, sf: _deduplicate("global")(spark, sf).drop("month_no")
+SQL["deduplicate"] = _dedup_sql(ID, "").replace("file_name, month_no, text FROM kept", "file_name, text FROM kept")
+Q["deduplicate_by_month"] = _deduplicate("month")
+SQL["deduplicate_by_month"] = _dedup_sql(SCOPED_ID, "month_no,")
+
+
+def _curate(spark, sf):
+    kept = quality_filter_chain(Z.deduplicate(_files(spark, sf)))
+    return kept.select("my_id", "language", "loc", F.round("alpha", 6).alias("alpha"))
+
+
+Q["curate_job"] = _curate
