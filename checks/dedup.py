@@ -4,19 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from checks import quality as G
 from checks.views import sql, view
 from srcsieve.constants import CHAR_NGRAMS, HASHES_PER_BAND, MINHASH_SEED, NUM_BANDS
 from srcsieve.operators import components as C
 from srcsieve.operators import exact_dedup as E
 from srcsieve.operators import fuzzy_dedup as Z
 from srcsieve.operators import minhash as M
-from srcsieve.operators.quality import quality_filter_chain
+from srcsieve.plans import jobs
+from srcsieve.session import scratch_path
 
 Q: dict = {}
 SQL: dict[str, str] = {}
 
 ID = """'doc_prefix-' || sha256(coalesce(repo_name, '') || chr(10) || coalesce(file_name, '') || chr(10) || md5(text))"""
-SCOPED_ID = ID.replace("sha256(", "sha256(CAST(month AS VARCHAR) || chr(10) || ")
 
 
 def _files(spark, sf):
@@ -50,11 +51,20 @@ SQL["exact_dedup_by_month"] = sql(
 Q["char_shingles"] = lambda spark, sf: M.char_shingles(_files(spark, sf), "id").groupBy("id").agg(
     F.count(F.lit(1)).alias("shingles"), F.max("shingle").alias("last_shingle")
 )
+
+def shingle_ctes(docs: str) -> str:
+    """``shingles(id, s)``, the distinct shingles of ``docs(id, text)``."""
+    joined = " || ".join(f"lead(ch, {k}, '') OVER w" for k in range(CHAR_NGRAMS))
+    return f"""
+chars AS (SELECT id, unnest(cs) AS ch, generate_subscripts(cs, 1) AS pos, len(cs) AS n
+          FROM (SELECT id, CASE WHEN text = '' THEN [''] ELSE string_split(text, '') END AS cs FROM {docs}) d),
+grams AS (SELECT id, pos, n, {joined} AS s FROM chars WINDOW w AS (PARTITION BY id ORDER BY pos)),
+shingles AS (SELECT DISTINCT id, s FROM grams WHERE pos <= greatest(n - {CHAR_NGRAMS - 1}, 1))"""
+
+
 SQL["char_shingles"] = sql(
-    """SELECT id, count(DISTINCT s) AS shingles, max(s) AS last_shingle FROM (
-         SELECT id, unnest(list_transform(range(1, greatest(length(text) - 23, 1) + 1), lambda i: substr(text, i, 24))) AS s
-         FROM code_files) t GROUP BY id""",
-    "code_files",
+    "SELECT id, count(*) AS shingles, max(s) AS last_shingle FROM shingles GROUP BY id",
+    "code_files", ctes=shingle_ctes("code_files"),
 )
 
 
@@ -74,7 +84,7 @@ def minhash_ctes(docs: str) -> str:
     return f"""
 codes AS (SELECT id, unnest(cps)::BIGINT AS cp, generate_subscripts(cps, 1) AS pos, len(cps) AS n
           FROM (SELECT id, CASE WHEN text = '' THEN [0] ELSE
-                list_transform(range(1, length(text) + 1), lambda i: unicode(substr(text, i, 1))) END AS cps FROM {docs}) d),
+                list_transform(string_split(text, ''), lambda c: unicode(c)) END AS cps FROM {docs}) d),
 sums AS (SELECT id, pos, n, {total} AS total FROM codes WINDOW w AS (PARTITION BY id ORDER BY pos)),
 h0 AS (SELECT id, (total % 4294967291)::UBIGINT AS h FROM sums WHERE pos <= greatest(n - {CHAR_NGRAMS - 1}, 1)),
 h1 AS (SELECT id, (xor(h, h >> 16) * 2246822507::UBIGINT) & {mask} AS h FROM h0),
@@ -138,15 +148,18 @@ def _pairs(spark, sf):
     return Z.near_duplicate_pairs(edges, docs).withColumn("jaccard", F.round("jaccard", 6))
 
 
-SHINGLES = "list_distinct(list_transform(range(1, greatest(length({0}.text) - 23, 1) + 1), lambda i: substr({0}.text, i, 24)))"
 Q["near_duplicate_pairs"] = _pairs
+PAIRS = """
+tied AS (SELECT * FROM near_docs WHERE id IN (SELECT id FROM edges UNION SELECT head FROM edges))"""
+SHARED = """
+sizes AS (SELECT id, count(*) AS n FROM shingles GROUP BY id),
+shared AS (SELECT e.id, e.head, count(*) AS n FROM edges e JOIN shingles x ON x.id = e.id
+           JOIN shingles y ON y.id = e.head AND y.s = x.s GROUP BY 1, 2)"""
 SQL["near_duplicate_pairs"] = sql(
-    f"""SELECT id, head, round(shared::DOUBLE / (na + nb - shared), 6) AS jaccard
-        FROM (SELECT id, head, len(a) AS na, len(b) AS nb, len(list_intersect(a, b)) AS shared
-              FROM (SELECT e.id, e.head, {SHINGLES.format('x')} AS a, {SHINGLES.format('y')} AS b
-                    FROM edges e JOIN near_docs x ON x.id = e.id JOIN near_docs y ON y.id = e.head) s) t
-        WHERE shared::DOUBLE / (na + nb - shared) >= 0.8""",
-    "near_docs", ctes=NEAR + "," + EDGES,
+    """SELECT c.id, c.head, round(c.n::DOUBLE / (x.n + y.n - c.n), 6) AS jaccard
+       FROM shared c JOIN sizes x ON x.id = c.id JOIN sizes y ON y.id = c.head
+       WHERE c.n::DOUBLE / (x.n + y.n - c.n) >= 0.8""",
+    "near_docs", ctes=",".join((NEAR, EDGES, PAIRS, shingle_ctes("tied"), SHARED)),
 )
 
 
@@ -157,34 +170,68 @@ def _deduplicate(scope: str):
     return run
 
 
-def _dedup_sql(identity: str, by: str) -> str:
-    """Exact copies first, then near copies among the survivors, within ``by`` groups."""
+def _dedup_ctes(scope: list[str]) -> str:
+    """``kept``, one row per text, and the ``roots`` of near copies, within ``scope`` groups."""
+    parts = [f"CAST({c} AS VARCHAR)" for c in scope]
+    identity = ID.replace("sha256(", "sha256(" + "".join(f"{p} || chr(10) || " for p in parts))
+    groups = ", ".join([*scope, "text"])
     first = f"""
 identified AS (SELECT *, {identity} AS my_id FROM (SELECT *, month_no AS month FROM code_files) c),
-kept AS (SELECT my_id AS id, any_value(text) AS text, any_value(repo_name) AS repo_name, any_value(file_name) AS file_name,
-                any_value(month_no) AS month_no FROM identified
-         WHERE my_id IN (SELECT min(my_id) FROM identified GROUP BY {by} text) GROUP BY my_id)"""
-    scoped = minhash_ctes("kept")
-    edges = EDGES
-    if by:
-        scoped = scoped.replace("md5(array_to_string(", "md5(CAST(month_no AS VARCHAR) || ',' || array_to_string(").replace(
-            "FROM signed)", "FROM signed JOIN (SELECT id, month_no FROM kept) k USING (id))")
+kept AS (SELECT * EXCLUDE (rn, id), my_id AS id
+         FROM (SELECT *, row_number() OVER (PARTITION BY {groups} ORDER BY my_id) AS rn FROM identified) r WHERE rn = 1)"""
+    signed = minhash_ctes("kept")
+    if scope:
+        key = "".join(f"{p} || ',' || " for p in parts)
+        signed = signed.replace("md5(array_to_string(", f"md5({key}array_to_string(").replace(
+            "FROM signed)", "FROM signed JOIN (SELECT id, month, batch FROM kept) k USING (id))"
+        )
+    return ",".join((first, signed, EDGES, COMPONENTS))
+
+
+def _dedup_sql(scope: list[str], columns: str) -> str:
     return sql(
-        """SELECT id AS my_id, repo_name, file_name, month_no, text FROM kept
-           WHERE id NOT IN (SELECT id FROM roots)""",
-        "code_files", ctes=",".join((first, scoped, edges, COMPONENTS)), recursive=True,
+        f"SELECT {columns} FROM kept WHERE id NOT IN (SELECT id FROM roots)",
+        "code_files", ctes=_dedup_ctes(scope), recursive=True,
     )
 
 
+# Which of two identical rows is kept is not defined, so only their shared columns are compared.
 Q["deduplicate"] = lambda spark, sf: _deduplicate("global")(spark, sf).drop("month_no")
-SQL["deduplicate"] = _dedup_sql(ID, "").replace("file_name, month_no, text FROM kept", "file_name, text FROM kept")
+SQL["deduplicate"] = _dedup_sql([], "id AS my_id, repo_name, file_name, text")
 Q["deduplicate_by_month"] = _deduplicate("month")
-SQL["deduplicate_by_month"] = _dedup_sql(SCOPED_ID, "month_no,")
-
-
-def _curate(spark, sf):
-    kept = quality_filter_chain(Z.deduplicate(_files(spark, sf)))
-    return kept.select("my_id", "language", "loc", F.round("alpha", 6).alias("alpha"))
-
+SQL["deduplicate_by_month"] = _dedup_sql(["month"], "id AS my_id, repo_name, file_name, month_no, text")
+
+
+def _curate_job(spark, sf):
+    """Two runs over the same folders: the first does half of the months, the second resumes."""
+    deduped, filtered = scratch_path(spark, "deduped"), scratch_path(spark, "filtered")
+    records = _files(spark, sf).drop("id")
+    manifest = spark.createDataFrame([], "month int, batch long, stage string")
+    done = jobs.curate_job(records.where("month <= 6"), manifest, deduped, filtered)
+    half = done.where("month > 3 OR stage = 'deduped'")  # as if the run had stopped while filtering
+    jobs.curate_job(records, half, deduped, filtered)
+    schema = "my_id string, language string, loc int, alpha double, html_skipped boolean, month int, batch long"
+    written = spark.read.schema(schema).json(filtered)
+    return written.withColumn("alpha", F.round("alpha", 6))
+
+
+Q["curate_job"] = _curate_job
+SQL["curate_job"] = sql(
+    f"""SELECT id AS my_id, language, loc, alpha, html_skipped, month, batch FROM (
+          SELECT *, bool_or(unparsed AND xml_ok) OVER (PARTITION BY month, batch) AS html_skipped
+          FROM (SELECT *, {G.LOC} AS loc, {G.ROUND_ALPHA}, {G.LOC_OK} AND {G.ALPHA_OK} AND {G.XML_OK} AS xml_ok,
+                       {G.HTML_OK} AS html_ok, {G.UNPARSED} AS unparsed, {G.TOKENS_OK} AS tokens_ok
+                FROM kept WHERE id NOT IN (SELECT id FROM roots)) s) t
+        WHERE xml_ok AND tokens_ok AND (html_ok OR html_skipped)""",
+    "code_files", ctes=_dedup_ctes(["month", "batch"]), recursive=True,
+)
 
-Q["curate_job"] = _curate
+Q["curate"] = lambda spark, sf: jobs.curate(_files(spark, sf)).select(
+    "my_id", "language", "loc", F.round("alpha", 6).alias("alpha"), "html_skipped"
+)
+SQL["curate"] = sql(
+    f"""SELECT id AS my_id, language, {G.LOC} AS loc, {G.ROUND_ALPHA}, {G.UNPARSED} AS html_skipped FROM kept
+        WHERE id NOT IN (SELECT id FROM roots) AND {G.LOC_OK} AND {G.ALPHA_OK} AND {G.XML_OK}
+          AND ({G.HTML_OK} OR {G.UNPARSED}) AND {G.TOKENS_OK}""",
+    "code_files", ctes=_dedup_ctes([]), recursive=True,
+)

@@ -15,7 +15,7 @@ from srcsieve.session import materialise
 
 SHINGLE_MODULUS = 4_294_967_291  # the largest prime below 2**32
 BLOCK = 2048  # shingles hashed at a time, so a block of all hashes stays in cache
-PIECE = 1000  # shingles per piece when they are listed one by one
+PIECE = 256  # shingles per piece when they are listed one by one
 WINDOW = 1 << 16  # characters taken at a time, so memory does not grow with the text
 
 
@@ -81,8 +81,8 @@ def char_shingles(df: DataFrame, id_col: str, n: int = CHAR_NGRAMS, text: str =
     )
     piece = F.col("_piece")
     starts = F.sequence(F.lit(1), F.greatest(F.length(piece) - (n - 1), F.lit(1)))
-    shingles = F.array_distinct(F.transform(starts, lambda at: F.substr(piece, at, F.lit(n))))
-    cut = df.select(id_col, F.explode(pieces).alias("_piece"))
+    shingles = F.transform(starts, lambda at: F.substr(piece, at, F.lit(n)))
+    cut = spread(df.select(id_col, text), id_col).select(id_col, F.explode(pieces).alias("_piece"))
     return cut.select(id_col, F.explode(shingles).alias("shingle")).distinct()
 
 
