@@ -14,7 +14,7 @@ from srcsieve.operators.joins import attach_group, spread
 from srcsieve.session import materialise
 
 SHINGLE_MODULUS = 4_294_967_291  # the largest prime below 2**32
-BLOCK = 2048  # shingles hashed at a time, so a block of all hashes stays in cache
+BLOCK = 512  # shingles hashed at a time, so a block of all hashes stays in cache
 PIECE = 256  # shingles per piece when they are listed one by one
 WINDOW = 1 << 16  # characters taken at a time, so memory does not grow with the text
 
@@ -29,43 +29,50 @@ def hash_parameters(n: int, hashes: int, seed: int) -> tuple[np.ndarray, np.ndar
     return weights, multipliers, offsets
 
 
-def _shingle_hashes(codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """32-bit hash of every shingle: a weighted sum of code points, then mixed.
-
-    A text shorter than a shingle is one shingle, padded with zeros.
-    """
-    n = len(weights)
-    codes = codes.astype(np.uint64)
-    if len(codes) < n:
-        codes = np.pad(codes, (0, n - len(codes)))
-    count = len(codes) - n + 1
-    total = np.zeros(count, dtype=np.uint64)
-    for offset in range(n):
-        total += codes[offset : offset + count] * weights[offset]
-    h = (total % np.uint64(SHINGLE_MODULUS)).astype(np.uint32)
-    h ^= h >> np.uint32(16)
-    h *= np.uint32(0x85EBCA6B)
-    h ^= h >> np.uint32(13)
-    h *= np.uint32(0xC2B2AE35)
-    h ^= h >> np.uint32(16)
-    return h
-
-
-def signature(text: str, n: int, hashes: int, seed: int) -> np.ndarray:
-    """The minimum of each hash over all shingles of ``text``."""
-    weights, multipliers, offsets = hash_parameters(n, hashes, seed)
-    a = multipliers.astype(np.uint32)[:, None]
-    b = offsets.astype(np.uint32)[:, None]
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    lowest = np.full(hashes, 0xFFFFFFFF, dtype=np.uint32)
-    last = max(len(codes) - n + 1, 1)
-    for start in range(0, last, WINDOW):
-        shingles = _shingle_hashes(codes[start : start + WINDOW + n - 1], weights)
-        for block in range(0, len(shingles), BLOCK):
-            permuted = shingles[None, block : block + BLOCK] * a
-            permuted += b
-            np.minimum(lowest, permuted.min(axis=1), out=lowest)
-    return lowest
+class Signer:
+    """MinHash of one text at a time, with buffers kept between texts."""
+
+    def __init__(self, n: int, hashes: int, seed: int) -> None:
+        self.n = n
+        self.weights, multipliers, offsets = hash_parameters(n, hashes, seed)
+        self.a = multipliers.astype(np.uint32)[None, :]
+        self.b = offsets.astype(np.uint32)[None, :]
+        self.block = np.empty((BLOCK, hashes), dtype=np.uint32)
+
+    def shingle_hashes(self, codes: np.ndarray) -> np.ndarray:
+        """32-bit hash of every shingle: a weighted sum of code points, then mixed.
+
+        A text shorter than a shingle is one shingle, padded with zeros.
+        """
+        codes = codes.astype(np.uint64)
+        if len(codes) < self.n:
+            codes = np.pad(codes, (0, self.n - len(codes)))
+        count = len(codes) - self.n + 1
+        total, term = np.zeros(count, dtype=np.uint64), np.empty(count, dtype=np.uint64)
+        for offset, weight in enumerate(self.weights):
+            np.multiply(codes[offset : offset + count], weight, out=term)
+            total += term
+        h = (total % np.uint64(SHINGLE_MODULUS)).astype(np.uint32)
+        h ^= h >> np.uint32(16)
+        h *= np.uint32(0x85EBCA6B)
+        h ^= h >> np.uint32(13)
+        h *= np.uint32(0xC2B2AE35)
+        h ^= h >> np.uint32(16)
+        return h
+
+    def sign(self, text: str) -> np.ndarray:
+        """The minimum of each hash over all shingles of ``text``."""
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        lowest = np.full(self.block.shape[1], 0xFFFFFFFF, dtype=np.uint32)
+        for start in range(0, max(len(codes) - self.n + 1, 1), WINDOW):
+            shingles = self.shingle_hashes(codes[start : start + WINDOW + self.n - 1])
+            for at in range(0, len(shingles), BLOCK):
+                part = shingles[at : at + BLOCK, None]
+                permuted = self.block[: len(part)]
+                np.multiply(part, self.a, out=permuted)
+                np.add(permuted, self.b, out=permuted)
+                np.minimum(lowest, permuted.min(axis=0), out=lowest)
+        return lowest
 
 
 def char_shingles(df: DataFrame, id_col: str, n: int = CHAR_NGRAMS, text: str = "text") -> DataFrame:
@@ -101,8 +108,9 @@ def minhash_signatures(
 
     @F.pandas_udf("array<bigint>")
     def signatures(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        signer = Signer(n, hashes, seed)
         for texts in batches:
-            yield texts.map(lambda t: signature(t or "", n, hashes, seed).astype(np.int64))
+            yield texts.map(lambda text: signer.sign(text or "").astype(np.int64))
 
     narrow = df.select(*keep, id_col, text)
     kept = [c for c in narrow.columns if c != text]
