@@ -15,7 +15,7 @@ from srcsieve.operators.joins import small_table
 
 def read_language_map(spark: SparkSession, path: str) -> DataFrame:
     """Read a dictionary file: one JSON object from language to list of extensions."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     parsed = F.from_json("value", "map<string, array<string>>")
     return whole.select(F.posexplode(parsed).alias("pos", "language", "extensions")).withColumn(
         "pos", F.col("pos").cast("long")

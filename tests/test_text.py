@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from srcsieve.functions import text as X
 
 LOOSE = settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
-# No surrogates, which are not text, and no null character, which JSON-born text seldom has.
-CHARS = st.characters(exclude_categories=("Cs",), exclude_characters="\x00")
+# The JVM and Python know different Unicode versions, so newer letters are left out.
+CHARS = st.one_of(st.characters(max_codepoint=0x52F), st.sampled_from("日本語한글ก😀𝒜\u2028\u3000"))
 
 
 def evaluate(spark, expression, texts):
@@ -38,7 +38,11 @@ def test_strip_notebook_magics(spark):
 
 
 @LOOSE
-@given(st.lists(st.text(st.sampled_from(list("ab%! \t　") + BREAKS), max_size=12), min_size=40, max_size=60))
+@given(
+    st.lists(
+        st.lists(st.sampled_from(list("ab%! \t\u3000") + BREAKS), max_size=12).map("".join), min_size=40, max_size=60
+    )
+)
 def test_strip_notebook_magics_any(spark, texts):
     assert evaluate(spark, X.strip_notebook_magics("t"), texts) == [without_magics(t) for t in texts]
 
