@@ -6,6 +6,7 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from srcsieve.operators.joins import spread
 from srcsieve.session import ship_package
 
 TABLES = ("customer", "part", "events", "documents", "pages", "conversations")
@@ -147,8 +148,13 @@ def sql(query: str, *views: str, ctes: str = "", recursive: bool = False) -> str
     return (word + ",\n".join(parts) + "\n" if parts else "") + query.strip()
 
 
+#: Text tables come as files of one row group, which one task would read.
+TEXT_KEYS = {"documents": "doc_id", "pages": "page_id", "conversations": "conv_id"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(rows, TEXT_KEYS[name]) if name in TEXT_KEYS else rows
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

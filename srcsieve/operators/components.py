@@ -19,9 +19,9 @@ def _star(directed: DataFrame, larger_only: bool, hot_key_rows: int) -> DataFram
     if larger_only:
         pairs = tied.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
-        own = nearest.select("u", F.col("m").alias("v"))
-        pairs = tied.where(F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        pairs = pairs.unionByName(own)
+        # The row that holds the smallest neighbour stands for the node itself.
+        own = F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
+        pairs = tied.select(own.alias("u"), F.col("m").alias("v"))
     return pairs.where(F.col("u") != F.col("v")).distinct()
 
 

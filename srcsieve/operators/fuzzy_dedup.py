@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from srcsieve.constants import CHAR_NGRAMS
 from srcsieve.operators.components import duplicate_components
 from srcsieve.operators.exact_dedup import ID_KEYS, Removal, add_doc_id, exact_removal, text_digest
-from srcsieve.operators.joins import HOT_KEY_ROWS, drop_ids
+from srcsieve.operators.joins import HOT_KEY_ROWS, drop_ids, lookup_join
 from srcsieve.operators.minhash import band_keys, document_buckets, lsh_candidate_edges, minhash_signatures
 from srcsieve.session import materialise
 
@@ -46,7 +46,9 @@ def near_duplicate_pairs(
                 scores.append(shared / (len(a) + len(b) - shared))
             yield pd.Series(scores, dtype="float64")
 
+    named = edges.select(F.col(id_col).alias("_id")).union(edges.select("head")).distinct()
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))
+    texts = lookup_join(texts, named, ["_id"], "left_semi")
     heads = edges.groupBy("head").agg(F.floor(F.count(F.lit(1)) / hot_key_rows).cast("long").alias("_more"))
     hot = heads.where(F.col("_more") > 0)
     copies = (

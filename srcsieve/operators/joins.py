@@ -71,7 +71,10 @@ def attach_group(
     Members of a large group are matched where they are, against a broadcast of the few
     large groups; all others meet in a shuffle where no key has ``hot_key_rows`` rows.
     """
+    groups = materialise(groups, "groups")  # aggregated once, though used up to three times
     hot = groups.where(F.col(size) >= hot_key_rows)
+    if hot.isEmpty():
+        return members.join(groups, on)
     cold = groups.where(F.col(size) < hot_key_rows)
     in_place = members.join(F.broadcast(hot), on)
     shuffled = members.join(F.broadcast(hot.select(*on)), on, "left_anti").join(cold, on)

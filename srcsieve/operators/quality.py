@@ -63,10 +63,6 @@ def malformed_html_filter(df: DataFrame) -> DataFrame:
     return df.where(~_language_is("html") | ~X.has_malformed_html("text"))
 
 
-def _html_score(min_chars: int = K.MIN_VISIBLE_CHARS) -> Column:
-    return X.visible_ratio("text", min_chars)
-
-
 def html_boilerplate_filter(
     df: DataFrame, min_ratio: float = K.MIN_VISIBLE_RATIO, min_chars: int = K.MIN_VISIBLE_CHARS
 ) -> DataFrame:
@@ -112,13 +108,10 @@ def token_fertility_filter(
     return score_filter(df, _fertility(tokenizer), lambda ratio: ratio >= min_ratio)
 
 
-def score_quality(df: DataFrame, html: str = "apply", tokenizer: str | None = None) -> DataFrame:
-    """Add every score and rule outcome in one pass over the text.
+def score_markup(df: DataFrame, html: bool = True) -> DataFrame:
+    """Add ``loc``, ``alpha``, ``xml_ok``, ``html_failed`` and ``html_ok``.
 
     Each dearer score is computed only if the cheaper rules pass, and is null otherwise.
-    Adds ``loc``, ``alpha``, ``xml_ok``, ``html_failed``, ``html_ok`` and ``tokens_ok``.
-    ``html`` is ``apply``, ``off`` to pass every HTML file, or ``both`` to score HTML and yet
-    count tokens of files that fail it.
     """
     loc, alpha = F.col("loc"), F.col("alpha")
     first = df.select("*", once(X.line_count("text").alias("loc")))
@@ -126,24 +119,31 @@ def score_quality(df: DataFrame, html: str = "apply", tokenizer: str | None = No
         "*", once(F.when(loc.between(K.MIN_LINES, K.MAX_LINES), X.alpha_ratio("text")).alias("alpha"))
     )
     third = second.select("*", once(F.when(alpha >= K.MIN_ALPHA_RATIO, _xml_passes()).alias("xml_ok")))
-    if html == "off":
-        fourth = third.select("*", F.lit(False).alias("html_failed"), F.col("xml_ok").alias("html_ok"))
-    else:
-        is_html = F.col("xml_ok") & _language_is("html")
-        broken = X.has_malformed_html("text")
-        fourth = third.select(
-            "*",
-            once(
-                F.when(is_html, ~broken & X.has_unknown_section("text")).otherwise(F.lit(False)).alias("html_failed"),
-                F.when(
-                    F.col("xml_ok"),
-                    ~_language_is("html") | (~broken & F.coalesce(_html_score() > K.MIN_VISIBLE_RATIO, F.lit(False))),
-                ).alias("html_ok"),
-            ),
-        )
-    reaches_tokens = F.col("xml_ok") if html == "both" else F.col("html_ok") | F.col("html_failed")
-    fertility = F.when(reaches_tokens, _fertility(tokenizer))
-    return fourth.select("*", once((fertility >= K.MIN_CHARS_PER_TOKEN).alias("tokens_ok")))
+    if not html:
+        return third.select("*", F.lit(False).alias("html_failed"), F.col("xml_ok").alias("html_ok"))
+    is_html = F.col("xml_ok") & _language_is("html")
+    broken = X.has_malformed_html("text")
+    visible = X.visible_ratio("text", K.MIN_VISIBLE_CHARS) > K.MIN_VISIBLE_RATIO
+    return third.select(
+        "*",
+        once(
+            F.when(is_html, ~broken & X.has_unknown_section("text")).otherwise(F.lit(False)).alias("html_failed"),
+            F.when(
+                F.col("xml_ok"), ~_language_is("html") | (~broken & F.coalesce(visible, F.lit(False)))
+            ).alias("html_ok"),
+        ),
+    )
+
+
+def score_tokens(scored: DataFrame, reached: Column, tokenizer: str | None = None) -> DataFrame:
+    """Add ``tokens_ok`` to the rows that ``reached`` this rule, null to the others."""
+    fertility = F.when(reached, _fertility(tokenizer))
+    return scored.select("*", once((fertility >= K.MIN_CHARS_PER_TOKEN).alias("tokens_ok")))
+
+
+def score_quality(df: DataFrame, html: bool = True, tokenizer: str | None = None) -> DataFrame:
+    """Add every score and rule outcome in one pass over the text."""
+    return score_tokens(score_markup(df, html), F.col("html_ok") | F.col("html_failed"), tokenizer)
 
 
 RULES = ["xml_ok", "html_failed", "html_ok", "tokens_ok"]
@@ -157,7 +157,7 @@ def quality_filter_chain(df: DataFrame, tokenizer: str | None = None) -> DataFra
 
 def quality_filter_chain_no_html(df: DataFrame, tokenizer: str | None = None) -> DataFrame:
     """The same without the HTML rules."""
-    scored = score_quality(df, html="off", tokenizer=tokenizer)
+    scored = score_quality(df, html=False, tokenizer=tokenizer)
     return scored.where(F.col("tokens_ok")).drop(*RULES)
 
 
@@ -176,10 +176,11 @@ def filter_with_fallback(
         scored = score_quality(df, tokenizer=tokenizer)
     else:
         # Only records that reach the HTML step can make it fail.
-        scored = score_quality(df, html="both", tokenizer=tokenizer)
-        failed = scored.where(skipped).select(*scope).distinct().withColumn("_file_failed", F.lit(True))
-        scored = lookup_join(scored, failed, list(scope), "left")
+        marked = score_markup(df)
+        failed = marked.where(skipped).select(*scope).distinct().withColumn("_file_failed", F.lit(True))
         skipped = F.coalesce("_file_failed", F.lit(False))
+        joined = lookup_join(marked, failed, list(scope), "left")
+        scored = score_tokens(joined, F.col("html_ok") | (F.col("xml_ok") & skipped), tokenizer)
     kept = scored.where((F.col("html_ok") | skipped) & F.col("tokens_ok"))
     return kept.select(*columns, skipped.alias("html_skipped"))
 

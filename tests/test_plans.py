@@ -5,6 +5,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from checks import views
 from checks.views import table, view
 from srcsieve.operators import discovery as D
 from srcsieve.operators import exact_dedup as E
@@ -15,6 +16,11 @@ SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test tables are absent")
 
 
+@pytest.fixture(autouse=True)
+def unspread_tables(monkeypatch):
+    monkeypatch.setattr(views, "TEXT_KEYS", {})
+
+
 def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
