@@ -21,8 +21,8 @@ XML_OK = f"NOT ({IS_XML} AND contains(substr(text, 1, 100), '<?xml version='))"
 CLEAN = r"NOT regexp_matches(text, '(<!\[[^\p{L}\p{N}_])|([\x00-\x08\x0B\x0C\x0E-\x1F])')"
 VISIBLE = "text"
 for pattern in (
-    r"(?is)<script\b[^>]*>.*?</script\s*>", r"(?is)<style\b[^>]*>.*?</style\s*>",
-    r"(?s)<!--.*?-->", r"(?s)<[!/?a-zA-Z][^>]*>",
+    r"(?is)<script\b[^>]*(?:>.*?(?:</script\s*>|\z)|\z)", r"(?is)<style\b[^>]*(?:>.*?(?:</style\s*>|\z)|\z)",
+    r"(?s)<!--.*?(?:-->|\z)", r"(?s)<[!/?a-zA-Z][^>]*(?:>|\z)",
 ):
     VISIBLE = f"regexp_replace({VISIBLE}, '{pattern}', '', 'g')"
 VISIBLE = f"length(regexp_replace({VISIBLE}, '&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);', 'x', 'g'))"

@@ -50,6 +50,7 @@ SELECT page_id AS id, CASE WHEN page_id % 3 = 0 THEN 'html' ELSE 'HTML' END AS l
        CASE WHEN page_id % 5 = 1 THEN '<script>' || html || '</script>'
             WHEN page_id % 5 = 2 THEN '<!-- ' || replace(html, '-->', '') || ' --><p>short &amp; plain</p>'
             WHEN page_id % 25 = 3 THEN '<![ x' || html
+            WHEN page_id % 25 = 4 THEN '<p>shown</p><style>' || html
             ELSE html END AS text
 FROM pages
 """

@@ -1,4 +1,4 @@
-"""Text expressions. All run in the JVM; patterns use no syntax beyond what RE2 also has."""
+"""Text expressions. All run in the JVM, inside code generation."""
 
 from __future__ import annotations
 
@@ -17,12 +17,13 @@ SPACE_RUN = r"[ \t\n\f\r]+"
 
 MALFORMED_HTML = r"(<!\[[^\p{L}\p{N}_])|([\x00-\x08\x0B\x0C\x0E-\x1F])"
 
-#: Applied in order: script bodies may hold text that looks like a tag.
+#: Applied in order: script bodies may hold text that looks like a tag. What is never closed
+#: ends with the text, so no opening is scanned for in vain over and over.
 HTML_REMOVALS = (
-    r"(?is)<script\b[^>]*>.*?</script\s*>",
-    r"(?is)<style\b[^>]*>.*?</style\s*>",
-    r"(?s)<!--.*?-->",
-    r"(?s)<[!/?a-zA-Z][^>]*>",
+    r"(?is)<script\b[^>]*+(?:>.*?(?:</script\s*>|\z)|\z)",
+    r"(?is)<style\b[^>]*+(?:>.*?(?:</style\s*>|\z)|\z)",
+    r"(?s)<!--.*?(?:-->|\z)",
+    r"(?s)<[!/?a-zA-Z][^>]*+(?:>|\z)",
 )
 HTML_ENTITY = r"&(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 

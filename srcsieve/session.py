@@ -69,6 +69,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote to the scratch folder.
+
+    For the end of a job: results that are read from scratch tables must be written first.
+    """
+    folder = os.path.join(scratch_root(spark), f"srcsieve-{spark.sparkContext.applicationId}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _shipped: set[str] = set()
 
 

@@ -40,10 +40,13 @@ def write_code_records(
     """Write records as JSON lines below one folder per month.
 
     Only the months present in ``df`` are replaced, and the commit protocol stands in for
-    writing a temporary file and renaming it. Null fields are written out.
+    writing a temporary file and renaming it. Null fields are written out. Records are
+    brought together by folder first, as else every task would write a file into every
+    folder; the hint lets large folders be split over tasks again.
     """
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", *[F.col(c) for c in partition_by])
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", False)
         .option("maxRecordsPerFile", rows_per_file)

@@ -86,6 +86,7 @@ def test_visible_chars(spark):
     pages = [
         "<p>one &amp; two</p>", "<script>if (a < b) x('<b>')</script>after", "<style>p { }</style><b>x</b>",
         "a<!-- <p>no</p> -->b", "<!DOCTYPE html><html><body>t</body></html>", "1 < 2 &#65; &#x41;", "",
+        "seen<script>never closed <b>x</b>",
     ]
     want = []
     for page in pages:
@@ -96,6 +97,11 @@ def test_visible_chars(spark):
     assert evaluate(spark, X.visible_chars("t"), pages) == want
 
 
+def test_unclosed_markup_takes_linear_time(spark):
+    pages = ["<script " * 40_000, "<!--" * 100_000, "<script>" * 60_000, "<a" * 100_000]
+    assert evaluate(spark, X.visible_chars("t"), pages) == [0, 0, 0, 0]
+
+
 def test_malformed_and_unknown_sections(spark):
     texts = ["<![ x", "<![if x]>", "<![CDATA[x]]>", "<![foo[x]]>", "<![é", "<![_", "a\x01b", "a\tb\r\nc", None]
     bad = [bool(re.search(r"(<!\[[^\w])|([\x00-\x08\x0B\x0C\x0E-\x1F])", t or "")) for t in texts]
