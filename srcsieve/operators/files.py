@@ -55,15 +55,19 @@ def repo_file_count(files: DataFrame) -> DataFrame:
     return lookup_join(files, file_counts(files), ["repo_name"])
 
 
+def describe_files(files: DataFrame, counts: DataFrame, meta: DataFrame, dim: DataFrame) -> DataFrame:
+    """Add the attributes of its repository and its language to each file."""
+    attributes = meta.join(counts, "repo_name").select(
+        "repo_name", "description", "stars", "file_count", F.col("size").alias("size_kb"), "license"
+    )
+    return detect_language(lookup_join(files, attributes, ["repo_name"]), dim)
+
+
 def assemble_code_records(contents: DataFrame, counts: DataFrame, meta: DataFrame, dim: DataFrame) -> DataFrame:
     """Files with text × repository attributes → nine-column records.
 
     ``counts`` comes from the valid files before any was found unreadable; files without
     text are skipped.
     """
-    attributes = meta.join(counts, "repo_name").select(
-        "repo_name", "description", "stars", "file_count", F.col("size").alias("size_kb"), "license"
-    )
     readable = contents.where(F.col("text").isNotNull()).select("repo_name", "file_name", "text")
-    records = lookup_join(readable, attributes, ["repo_name"])
-    return detect_language(records, dim).select(*CODE_RECORD.fieldNames())
+    return describe_files(readable, counts, meta, dim).select(*CODE_RECORD.fieldNames())

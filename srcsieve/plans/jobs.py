@@ -9,6 +9,7 @@ from srcsieve.operators.fuzzy_dedup import deduplicate
 from srcsieve.operators.joins import lookup_join
 from srcsieve.operators.notebooks import process_notebooks
 from srcsieve.operators.quality import filter_with_fallback
+from srcsieve.schema import CODE_RECORD
 from srcsieve.session import materialise
 from srcsieve.sources.records import assign_output_batches, write_code_records
 from srcsieve.sources.tree import decode_text, list_source_files, read_file_contents
@@ -47,13 +48,14 @@ def collect_records(
     """Read the trees of selected repositories into numbered batches of records.
 
     Files are chosen from the listing, so unwanted ones are never opened; they are counted
-    before any is found unreadable.
+    before any is found unreadable. They are described before they are read, so no join
+    moves their texts.
     """
     listed = file_ops.valid_code_files(list_source_files(meta.select("repo_name"), root), extensions)
     chosen = materialise(listed, "listing")
-    counts = file_ops.file_counts(chosen)
-    contents = decode_text(read_file_contents(chosen, root))
-    records = materialise(file_ops.assemble_code_records(contents, counts, meta, lang_dim), "records")
+    described = file_ops.describe_files(chosen.drop("length"), file_ops.file_counts(chosen), meta, lang_dim)
+    read = decode_text(read_file_contents(described, root)).select(*CODE_RECORD.fieldNames())
+    records = materialise(read, "records")
     return assign_output_batches(records, order or ["repo_name"], next_batch)
 
 

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from urllib.parse import urlparse
 
 import pandas as pd
+import pyarrow as pa
 from pyarrow.fs import FileSelector, FileSystem, FileType, LocalFileSystem
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
@@ -55,29 +56,35 @@ def read_file_contents(files: DataFrame, root: str, batch_bytes: int = 32 << 20)
     so a repository with most of the files is read by all tasks.
     """
     schema = T.StructType(files.schema.fields + [T.StructField("content", T.BinaryType())])
-    columns = files.columns
+    columns = [*files.columns, "content"]
 
-    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened, base = _open_root(root)
+
+        def joined(batch: pa.RecordBatch, places: list[int], contents: list[bytes]) -> pa.RecordBatch:
+            part = batch.take(pa.array(places, pa.int32()))
+            return pa.RecordBatch.from_arrays([*part.columns, pa.array(contents, pa.binary())], columns)
+
         for batch in batches:
-            rows, held = [], 0
-            for row in batch.itertuples(index=False):
+            places, contents, held = [], [], 0
+            repos, names = batch.column("repo_name").to_pylist(), batch.column("file_name").to_pylist()
+            for place, (repo, name) in enumerate(zip(repos, names)):
+                path = f"{base}/{repo.replace('/', '__')}/{name}"
                 try:
-                    path = f"{base}/{row.repo_name.replace('/', '__')}/{row.file_name}"
                     with opened.open_input_stream(path, compression=None) as stream:
-                        content = stream.read()
+                        contents.append(stream.read())
                 except OSError:
                     continue
-                rows.append((*row, content))
-                held += len(content)
+                places.append(place)
+                held += len(contents[-1])
                 if held >= batch_bytes:
-                    yield pd.DataFrame(rows, columns=[*columns, "content"])
-                    rows, held = [], 0
-            if rows:
-                yield pd.DataFrame(rows, columns=[*columns, "content"])
+                    yield joined(batch, places, contents)
+                    places, contents, held = [], [], 0
+            if places:
+                yield joined(batch, places, contents)
 
     tasks = files.sparkSession.sparkContext.defaultParallelism * 4
-    return files.repartition(tasks, "repo_name", "file_name").mapInPandas(read, schema)
+    return files.repartition(tasks, "repo_name", "file_name").mapInArrow(read, schema)
 
 
 def read_source_tree(repos: DataFrame, root: str) -> DataFrame:
