@@ -64,7 +64,9 @@ def duplicate_components(
     for _ in range(max_rounds):
         if seen[0] == 0:
             break
-        current = materialise(_small_star(_large_star(current, hot_key_rows), hot_key_rows), "stars")
+        # Each star reads its input twice, so the one between the two is written as well.
+        large = materialise(_large_star(current, hot_key_rows), "large-stars")
+        current = materialise(_small_star(large, hot_key_rows), "stars")
         now = _fingerprint(current)
         if now == seen:
             break

@@ -176,11 +176,10 @@ def filter_with_fallback(
         scored = score_quality(df, tokenizer=tokenizer)
     else:
         # Only records that reach the HTML step can make it fail.
-        marked = score_markup(df)
-        failed = marked.where(skipped).select(*scope).distinct().withColumn("_file_failed", F.lit(True))
+        failed = score_markup(df).where(skipped).select(*scope).distinct().withColumn("_file_failed", F.lit(True))
         skipped = F.coalesce("_file_failed", F.lit(False))
-        joined = lookup_join(marked, failed, list(scope), "left")
-        scored = score_tokens(joined, F.col("html_ok") | (F.col("xml_ok") & skipped), tokenizer)
+        marked = score_markup(lookup_join(df, failed, list(scope), "left"))
+        scored = score_tokens(marked, F.col("html_ok") | (F.col("xml_ok") & skipped), tokenizer)
     kept = scored.where((F.col("html_ok") | skipped) & F.col("tokens_ok"))
     return kept.select(*columns, skipped.alias("html_skipped"))
 
