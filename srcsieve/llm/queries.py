@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from srcsieve.llm import packing, quality_rules, simhash
+from srcsieve.llm import decontaminate, line_dedup, packing, quality_rules, simhash
 from srcsieve.session import ship_package
 
 Q: dict = {}
@@ -35,6 +35,42 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+@query
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    return cut.select(
+        "doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_removed").alias("n_removed"),
+        F.md5(F.col("text").cast("binary")).alias("kept_md5"),
+    )
+
+
+SQL["op5_line_dedup"] = """
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
+  FROM documents),
+worded AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS k
+  FROM lines WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+windows AS (
+  SELECT doc_id, k, line AS l0, lead(line, 1) OVER w AS l1, lead(line, 2) OVER w AS l2
+  FROM worded WINDOW w AS (PARTITION BY doc_id ORDER BY k)),
+later AS (
+  SELECT doc_id, k FROM (
+    SELECT doc_id, k, row_number() OVER (PARTITION BY l0, l1, l2 ORDER BY doc_id, k) AS nth
+    FROM windows WHERE l2 IS NOT NULL)
+  WHERE nth > 1),
+gone AS (SELECT DISTINCT doc_id, k + o AS k FROM later, (VALUES (0), (1), (2)) AS v(o)),
+marked AS (
+  SELECT lines.doc_id, lines.place, lines.line, worded.k IS NOT NULL AS has_word, gone.k IS NOT NULL AS removed
+  FROM lines LEFT JOIN worded USING (doc_id, place) LEFT JOIN gone ON gone.doc_id = lines.doc_id AND gone.k = worded.k)
+SELECT doc_id, CAST(count(*) FILTER (has_word) AS INTEGER) AS n_lines,
+       CAST(count(*) FILTER (removed) AS INTEGER) AS n_removed,
+       md5(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT removed), '')) AS kept_md5
+FROM marked GROUP BY doc_id
+"""
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = quality_rules.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -43,6 +79,11 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
