@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from srcsieve.llm import decontaminate, line_dedup, packing, quality_rules, simhash
-from srcsieve.session import ship_package
+from srcsieve.llm import (
+    decontaminate, licenses, line_dedup, packing, quality_model, quality_rules, secret_scan, simhash, suffix_dedup, token_count,
+)
+from srcsieve.session import scratch_path, ship_package
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -35,6 +37,21 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", digits.alias("fingerprint"), "component_id")
 
 
+@query
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_tokens(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
+@query
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"), with_kept=False)
+
+
+@query
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
@@ -71,6 +88,19 @@ FROM marked GROUP BY doc_id
 """
 
 
+@query
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"), scratch_path(spark, "secret-ledger"))
+    of_kind = lambda *kinds: F.filter("findings", lambda f: f["kind"].isin(*kinds))
+    base = [rule.kind for rule in secret_scan.BASE]
+    return found.select(
+        "doc_id",
+        *[F.size(of_kind(kind)).cast("long").alias(f"n_{kind}") for kind in base],
+        F.sha2(secret_scan.listed(of_kind(*base)).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.listed(F.col("findings")).alias("spans"),
+    )
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = quality_rules.quality_verdicts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -79,6 +109,14 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_labels(table(spark, sf_dir, "documents"))
+
+
+SQL["op8_license_scan"] = licenses.oracle_sql()
+
+
 @query
 def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
