@@ -73,7 +73,7 @@ def segments(data: bytes, ends: list[int], length: int, gram: int) -> tuple[np.n
     low = np.uint64(BUFFER - 1)
     place = np.arange(len(hashes), dtype=np.uint64)
     least = sliding_min((hashes & ~low) | place, length - gram + 1) & low
-    begins = np.append(0, ends[:-1])
+    begins = np.array([0, *ends[:-1]], dtype=np.int64)
     inside = np.zeros(len(data) + 1, dtype=np.int32)
     room = np.maximum(np.array(ends) - begins - length + 1, 0)
     np.add.at(inside, begins, (room > 0).astype(np.int32))
@@ -126,7 +126,7 @@ def _lister(length: int, gram: int, only_anchors: bool):
                     continue
                 piece = np.searchsorted(np.array(ends), begin, "right")
                 text = np.array([t for t, _ in owners], dtype=np.int64)[piece]
-                offset = np.array([o for _, o in owners], dtype=np.int64)[piece] - np.append(0, ends[:-1])[piece]
+                offset = np.array([o for _, o in owners], dtype=np.int64)[piece] - np.array([0, *ends[:-1]], dtype=np.int64)[piece]
                 spans = zip(begin.tolist(), end.tolist())
                 digest = np.fromiter((xxh64_intdigest(data[a:b]) for a, b in spans), dtype=np.uint64, count=len(begin))
                 at = ((begin + offset) << 24) | ((end - begin) << 12) | (place - begin)
