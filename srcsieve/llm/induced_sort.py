@@ -196,22 +196,29 @@ def _names(text: np.ndarray, lms: np.ndarray, depth: int) -> np.ndarray:
 
 
 def _doubling(text: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of a text in memory, in the order of their first ``depth`` symbols or more."""
-    n = len(text)
-    rank = text.astype(np.int64)
-    reach = 1
-    order = np.argsort(rank, kind="stable")
-    while reach < depth:
-        key = rank * (n + 1)
-        key[: n - reach] += rank[reach:] + 1
-        order = np.argsort(key)
-        ranked = key[order]
-        changed = np.append(False, ranked[1:] != ranked[:-1])
-        rank[order] = np.cumsum(changed)
-        if changed[1:].all():
-            break
+    """Suffixes of a text in memory, in the order of their first ``depth`` symbols or more.
+
+    A rank is the place of the first suffix of its group in the order; only groups that are
+    still tied are sorted again, by the rank of what follows.
+    """
+    n, reach = len(text), 1
+    order = np.argsort(text)
+    slots, key = np.arange(n), text[order]
+    rank = np.zeros(n, dtype=np.int64)
+    while True:
+        fresh = np.append(True, key[1:] != key[:-1])
+        items = order[slots]
+        rank[items] = slots[np.maximum.accumulate(np.where(fresh, np.arange(len(slots)), 0))]
+        slots = slots[~(fresh & np.append(fresh[1:], True))]
+        if reach >= depth or not len(slots):
+            return order
+        items = order[slots]
+        after = items + reach
+        key = rank[items] * (n + 1) + np.where(after < n, rank[np.minimum(after, n - 1)] + 1, 0)
+        again = np.argsort(key)
+        key = key[again]
+        order[slots] = items[again]
         reach *= 2
-    return order
 
 
 def shared_prefix(text: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
@@ -288,11 +295,11 @@ def sorted_suffixes(text: np.ndarray, depth: int, scratch: Scratch) -> Iterator[
     lms = _lms(rising)
     names = _names(text, lms, depth)
     if len(lms) <= scratch.memory_limit:
-        order = _doubling(names, depth)
+        order = _doubling(names, depth // 2 + 1)  # a name stands for two symbols or more
     else:
         reduced = scratch.zeros(len(names), np.uint32)
         reduced[:] = names
-        parts = [suffixes for suffixes, _ in sorted_suffixes(reduced, depth, scratch)]
+        parts = [suffixes for suffixes, _ in sorted_suffixes(reduced, depth // 2 + 1, scratch)]
         order = np.concatenate([np.array([len(lms) - 1]), *(part[::-1] for part in parts[::-1])])
     seeds = lms[order]
     seed_shared = np.zeros(len(seeds), dtype=np.uint16)

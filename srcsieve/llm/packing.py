@@ -29,6 +29,9 @@ END_OF_DOCUMENT = 0
 MAX_LOCAL_PIECES = 1 << 18
 #: Bins of a group that go on to the next round; beyond it the fullest are done as they are.
 MAX_OPEN_BINS = 50_000
+#: How the byte-level alphabet writes a space.
+SPACE_TOKEN = "Ġ"
+WORDS_TOGETHER = 4096
 _SPLIT = re.compile(r"(?<!\s) ")
 
 
@@ -37,21 +40,39 @@ class WordEncoder:
 
     The byte-level pattern always starts a new word at a space that follows no white space, so
     a text is encoded piece by piece between such spaces, and ids of pieces met before come
-    from a table. The table is emptied at ``max_words``.
+    from a table. New pieces are encoded together; the first token of each is the one that holds its
+    space. The table is emptied at ``max_words``.
     """
 
-    def __init__(self, path: str, max_words: int = 400_000) -> None:
+    def __init__(self, path: str, max_words: int = 600_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.max_words = max_words
         self.words: dict[str, bytes | None] = {}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.starts_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.starts_word[[i for token, i in vocabulary.items() if token[0] == SPACE_TOKEN]] = True
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
         return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
 
+    def _learn(self, words: list[str]) -> None:
+        # After a word that ends with white space, the next space is not a place to cut.
+        whole = [word for word in words if word and not word[-1].isspace()]
+        for at in range(0, len(whole), WORDS_TOGETHER):
+            part = whole[at : at + WORDS_TOGETHER]
+            found = self.tokenizer.encode_batch_fast(["".join([" " + word for word in part])], add_special_tokens=False)
+            ids = np.array(found[0].ids, dtype="<u4")
+            starts = np.flatnonzero(self.starts_word[ids]).tolist()
+            data = ids.tobytes()
+            ends = [*(4 * s for s in starts[1:]), len(data)]
+            self.words.update(zip(part, [data[4 * a : b] for a, b in zip(starts, ends)], strict=True))
+        if len(whole) < len(words):
+            self.words.update((word, None) for word in words if not word or word[-1].isspace())
+
     def encode(self, text: str) -> bytes:
         first, *rest = text.split(" ")
         missing = [word for word in set(rest) if word not in self.words]
@@ -59,9 +80,7 @@ class WordEncoder:
             if len(self.words) > self.max_words:
                 self.words.clear()
                 missing = list(set(rest))
-            for word, ids in zip(missing, self._encode([" " + word for word in missing])):
-                # The next space would follow white space: not a place to cut.
-                self.words[word] = None if not word or word[-1].isspace() else ids
+            self._learn(missing)
         head = self._encode([first])[0]
         try:
             return head + b"".join(map(self.words.__getitem__, rest))
