@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from srcsieve.llm.text_stats import bound
+from srcsieve.operators.joins import attach_group
 
 WINDOW = 3
 _WORD = r"[^\x20\x09-\x0D]"
@@ -57,9 +58,8 @@ def later_windows(windows: DataFrame, id_col: str) -> DataFrame:
         windows.groupBy("h1", "h2")
         .agg(F.count(F.lit(1)).alias("n"), F.min(order).alias("first"))
         .where(F.col("n") > 1)
-        .drop("n")
     )
-    met = windows.join(first, ["h1", "h2"])
+    met = attach_group(windows, first, ["h1", "h2"], "n").drop("n")
     return met.where(~F.struct(F.col(id_col), F.col("own"), F.col("at")).eqNullSafe(F.col("first")))
 
 

@@ -97,7 +97,7 @@ def close_pairs(prints: DataFrame, distance: int = 2, max_members: int = MAX_KEY
         members = left.select("fingerprint", F.inline(listed))
         shared = members.groupBy("block", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
         last = blocks == LEVELS[-1]
-        keyed = materialise(members.join(shared, ["block", "key"]), "block-members")
+        keyed = materialise(attach_group(members, shared, ["block", "key"], "n"), "block-members")
         small = keyed if last else keyed.where(F.col("n") <= max_members)
         a = small.select("block", "key", F.col("fingerprint").alias("a"))
         b = small.select("block", "key", F.col("fingerprint").alias("b"))

@@ -270,9 +270,10 @@ def repeated_spans(
     source = texts(docs, id_col, text_col).select(id_col, F.xxhash64("text").alias("own"), "text")
     id_field = source.schema[id_col]
     anchors = source.mapInArrow(_lister(length, gram, True), "anchor long")
-    again = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("anchor")
+    again = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     listed = T.StructType([id_field, *T.StructType.fromDDL("own long, anchor long, digest long, at long")])
-    met = materialise(source.mapInArrow(_lister(length, gram, False), listed).join(again, "anchor"), "segments")
+    spelled = source.mapInArrow(_lister(length, gram, False), listed)
+    met = materialise(attach_group(spelled, again, ["anchor"], "n").drop("n"), "segments")
 
     kinds = met.groupBy("anchor", "digest").agg(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct(id_col, "own", "at")).alias("one")
