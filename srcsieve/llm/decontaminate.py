@@ -101,18 +101,20 @@ def ended(codes: list[np.ndarray]) -> np.ndarray:
     return np.concatenate([part for c in codes for part in (c, end)])
 
 
-def edit_distance(pattern: str, text: str) -> int:
-    """The least edit distance of ``pattern`` to any part of ``text``.
+def edit_distance(pattern: str, text: str) -> tuple[int, int]:
+    """The least edit distance of ``pattern`` to any part of ``text``, and where the first such part ends.
 
     Myers' bit-vector algorithm; the bits of one Python integer are a whole column.
     """
     m = len(pattern)
+    if not m:
+        return 0, 0
     full, top = (1 << m) - 1, 1 << (m - 1)
     where: dict[str, int] = {}
     for i, c in enumerate(pattern):
         where[c] = where.get(c, 0) | (1 << i)
-    up, down, score, best = full, 0, m, m
-    for c in text:
+    up, down, score, best, end = full, 0, m, m, 0
+    for j, c in enumerate(text, 1):
         eq = where.get(c, 0)
         xv = eq | down
         xh = (((eq & up) + up) ^ up) | eq
@@ -120,8 +122,9 @@ def edit_distance(pattern: str, text: str) -> int:
         score += 1 if ph & top else -1 if mh & top else 0
         ph, mh = (ph << 1) & full, (mh << 1) & full
         up, down = mh | ~(xv | ph) & full, ph & xv
-        best = min(best, score)
-    return best
+        if score < best:
+            best, end = score, j
+    return best, end
 
 
 def _samples(words: int, count: int, rng: np.random.Generator) -> tuple[tuple[int, ...], ...]:
@@ -259,10 +262,12 @@ class Index:
         if at >= len(words) or known[0] == 0:
             return
         slack = 2 + limit // 2
-        near = words[max(at - slack, 0) : at + pattern.count(" ") + 1 + slack]
-        distance = edit_distance(pattern, b" ".join(near).decode("utf-8", "replace"))
-        if distance <= limit and (distance, first + at) < known:
-            best[doc, item] = (distance, first + at)
+        begin = max(at - slack, 0)
+        near = b" ".join(words[begin : at + pattern.count(" ") + 1 + slack]).decode("utf-8", "replace")
+        distance, end = edit_distance(pattern, near)
+        if distance <= limit and distance <= known[0]:
+            _, size = edit_distance(pattern[::-1], near[:end][::-1])  # back from its end, to where it starts
+            best[doc, item] = min(known, (distance, first + begin + near[: end - size].count(" ")))
 
 
 def _finder(index: Broadcast, similarity: float):
