@@ -112,12 +112,16 @@ SQL["notebook_language_metadata"] = f"""WITH {CODE}
     SELECT conv_id, CASE conv_id % 8 WHEN 3 THEN 'R' WHEN 7 THEN 'Ir' ELSE lang END AS language
     FROM judged WHERE {NOTEBOOK} AND NOT {BROKEN}"""
 
-Q["process_notebooks"] = lambda spark, sf: jobs.process_months(notebook_files(spark, sf)).withColumn(
-    "text", F.when(~F.expr(OTHER), F.col("text"))
-)
+# Other files keep their text, which SQL cannot rebuild: it is compared with what went in.
+Q["process_notebooks"] = lambda spark, sf: jobs.process_months(
+    notebook_files(spark, sf).withColumn("was", F.col("text"))
+).select(
+    "conv_id", "month_no", "language", F.when(~F.expr(OTHER), F.col("text")).alias("text"),
+    F.when(F.expr(OTHER), F.col("text").eqNullSafe(F.col("was"))).alias("unchanged"),
+)
 SQL["process_notebooks"] = f"""WITH {CODE}
     SELECT conv_id, month_no, CASE WHEN {OTHER} THEN 'Python' ELSE lang END AS language,
-           CASE WHEN NOT ({OTHER}) THEN code END AS text
+           CASE WHEN NOT ({OTHER}) THEN code END AS text, CASE WHEN {OTHER} THEN TRUE END AS unchanged
     FROM judged WHERE {OTHER} OR ({NOTEBOOK} AND NOT {BROKEN} AND code IS NOT NULL AND lang IS NOT NULL)"""
 Q["monthly_notebook_job"] = lambda spark, sf: jobs.process_months(notebook_files(spark, sf), "both").groupBy(
     "month_no", "language"

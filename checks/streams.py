@@ -66,8 +66,8 @@ SQL["stream_hourly_counts"] = sql(
 def _curated(spark, sf):
     landed = scratch_path(spark, "records")
     files = view(spark, sf, "code_files").select(*CODE_RECORD.fieldNames())
-    files.repartition(4, "repo_name").write.json(landed)
-    records = spark.readStream.schema(CODE_RECORD).option("maxFilesPerTrigger", 2).json(landed)
+    files.repartition(4).write.json(landed)  # repositories are spread over the files
+    records = spark.readStream.schema(CODE_RECORD).option("maxFilesPerTrigger", 1).json(landed)
     path, checkpoint = scratch_path(spark, "curated"), scratch_path(spark, "offsets")
     A.stream_curate_to_table(records, quality_filter_chain, path, checkpoint).awaitTermination()
     schema = quality_filter_chain(files).schema

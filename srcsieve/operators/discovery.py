@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from srcsieve.constants import EVENT_TYPES, MAX_SIZE_KB, MIN_SIZE_KB, MIN_STARS
-from srcsieve.operators.joins import small_table
+from srcsieve.operators.joins import dimension
 
 
 def filter_event_types(events: DataFrame, types: tuple[str, ...] = EVENT_TYPES) -> DataFrame:
@@ -70,7 +70,7 @@ def filter_has_language(meta: DataFrame) -> DataFrame:
 
 def filter_supported_language(meta: DataFrame, languages: DataFrame) -> DataFrame:
     """Keep repositories whose main language is in ``languages``."""
-    names = small_table(languages.select("language").distinct())
+    names = dimension(languages.select("language").distinct())
     return meta.join(names, "language", "left_semi").select(*meta.columns)
 
 
@@ -95,7 +95,7 @@ def _reason(supported: Column) -> Column:
 
 def repo_reject_reason(meta: DataFrame, languages: DataFrame) -> DataFrame:
     """Add ``reason``: the first rule a repository fails, null if it is selected."""
-    names = small_table(languages.select("language").distinct().withColumn("_known", F.lit(True)))
+    names = dimension(languages.select("language").distinct().withColumn("_known", F.lit(True)))
     joined = meta.join(names, "language", "left")
     supported = F.coalesce("_known", F.lit(False))
     return joined.select(*meta.columns, _reason(supported).alias("reason"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from srcsieve.constants import EXCLUDED_EXTENSIONS, IGNORED_DIRS
 from srcsieve.functions.text import file_suffix
-from srcsieve.operators.joins import lookup_join, small_table
+from srcsieve.operators.joins import lookup_join, dimension
 from srcsieve.operators.languages import detect_language
 from srcsieve.schema import CODE_RECORD
 
@@ -22,7 +22,7 @@ def filter_supported_extension(files: DataFrame, extensions: DataFrame) -> DataF
 
     Tokens keep their case, so one stored in upper case matches no file.
     """
-    tokens = small_table(extensions.select(F.col("extension").alias("_ext")))
+    tokens = dimension(extensions.select(F.col("extension").alias("_ext")))
     return files.join(tokens, file_suffix("file_name") == F.col("_ext"), "left_semi")
 
 

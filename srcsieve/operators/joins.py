@@ -31,6 +31,14 @@ def small_table(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFra
     return F.broadcast(table) if table.count() <= max_rows else table
 
 
+def dimension(table: DataFrame) -> DataFrame:
+    """A table bounded by the language dictionary, a few thousand rows of one file: always broadcast.
+
+    Nothing runs while the plan is built.
+    """
+    return F.broadcast(table)
+
+
 def lookup_join(
     rows: DataFrame,
     table: DataFrame,

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from srcsieve.constants import EXCLUDED_LANGUAGES, EXTRA_MIME_TYPES, UNKNOWN_LANGUAGE
 from srcsieve.functions.text import file_suffix
-from srcsieve.operators.joins import small_table
+from srcsieve.operators.joins import dimension
 
 
 def read_language_map(spark: SparkSession, path: str) -> DataFrame:
@@ -51,7 +51,7 @@ def supported_extensions(lang_map: DataFrame) -> DataFrame:
 
 def detect_language(df: DataFrame, dim: DataFrame, file_name: str = "file_name", name: str = "language") -> DataFrame:
     """Set ``name`` to the language of the file's extension, else ``Unknown``."""
-    known = small_table(dim.select(F.col("extension").alias("_ext"), F.col("language").alias("_lang")))
+    known = dimension(dim.select(F.col("extension").alias("_ext"), F.col("language").alias("_lang")))
     others = [c for c in df.columns if c != name]
     joined = df.join(known, file_suffix(file_name) == F.col("_ext"), "left")
     return joined.select(*others, F.coalesce("_lang", F.lit(UNKNOWN_LANGUAGE)).alias(name))
@@ -93,5 +93,5 @@ def mime_dim(spark: SparkSession, lexers: DataFrame) -> DataFrame:
 
 def language_mime(df: DataFrame, mimes: DataFrame) -> DataFrame:
     """Add ``mime``, null where the language has none."""
-    known = small_table(mimes.select(F.col("language").alias("_lower"), "mime"))
+    known = dimension(mimes.select(F.col("language").alias("_lower"), "mime"))
     return df.join(known, F.lower("language") == F.col("_lower"), "left").drop("_lower")

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+import json
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from srcsieve.constants import NOTEBOOK_LANGUAGE, UNKNOWN_LANGUAGE
 from srcsieve.functions.text import capitalise, is_blank, strip_notebook_magics
 from srcsieve.operators.joins import once
+from srcsieve.schema import JSON_OPTIONS as READ_OPTIONS
 
 #: Only these parts are read; cell outputs, often most of the bytes, are skipped. ``source``
 #: is a string or a list of strings, and a string may look like a list, so it is a variant.
@@ -14,7 +19,7 @@ NOTEBOOK = """array<struct<
     cells: array<struct<cell_type: string, source: variant>>,
     metadata: struct<language_info: variant, kernelspec: variant>,
     kernelspec: variant>>"""
-JSON_OPTIONS = {"allowSingleQuotes": "false", "maxStringLen": "2147483647", "maxNestingDepth": "100000"}
+JSON_OPTIONS = {"allowSingleQuotes": "false", **READ_OPTIONS}
 
 MALFORMED = "malformed notebook"
 NO_LANGUAGE = "no language"
@@ -34,22 +39,57 @@ def split_notebooks(df: DataFrame) -> DataFrame:
     return df.where(~is_notebook() | _has_text()).withColumn("is_notebook", is_notebook())
 
 
-def _parsed() -> Column:
-    """The notebook, or null if the text is not one JSON object.
+def _parsed(text: Column) -> Column:
+    """The notebook in ``text``, or null if that is not one JSON object.
 
     Inside brackets, text after the object is an error and a second object is counted.
     """
-    wrapped = F.from_json(F.concat(F.lit("["), F.col("text"), F.lit("]")), NOTEBOOK, JSON_OPTIONS)
-    return F.when(is_notebook() & _has_text(), wrapped)
+    return F.from_json(F.concat(F.lit("["), text, F.lit("]")), NOTEBOOK, JSON_OPTIONS)
 
 
 def _open(notebooks: Column) -> Column:
     return F.when(F.size(notebooks) == 1, F.get(notebooks, F.lit(0)))
 
 
+def _named(spec):
+    return {k: spec[k] for k in ("name", "language") if k in spec} if isinstance(spec, dict) else spec
+
+
+def read_parts(text: str | None) -> str | None:
+    """The parts of a notebook that are used, as JSON again, by the standard parser; null if it fails."""
+    try:
+        whole = json.loads(text or "", parse_int=str)
+        metadata = whole.get("metadata") or {}
+        kept = {
+            "cells": [{k: cell[k] for k in ("cell_type", "source") if k in cell} for cell in whole.get("cells") or []],
+            "metadata": {k: _named(metadata[k]) for k in ("language_info", "kernelspec") if k in metadata},
+        }
+        if "kernelspec" in whole:
+            kept["kernelspec"] = _named(whole["kernelspec"])
+        return json.dumps(kept)
+    except (ValueError, TypeError, AttributeError, RecursionError):
+        return None
+
+
+@F.pandas_udf(T.StringType())
+def _read_again(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    for batch in texts:
+        yield batch.map(read_parts)
+
+
 def parse_notebook(df: DataFrame) -> DataFrame:
-    """Add ``nb``, the parsed notebook; null for malformed ones and for other files."""
-    return df.select("*", once(_parsed().alias("_nbs"))).select(*df.columns, once(_open(F.col("_nbs")).alias("nb")))
+    """Add ``nb``, the parsed notebook; null for malformed ones and for other files.
+
+    The JVM's parser refuses names beyond a length and repeated names, which may stand in parts
+    that are never used. Texts it refuses, and no others, are read again by the standard parser.
+    """
+    first = df.select("*", once(F.when(is_notebook() & _has_text(), _parsed(F.col("text"))).alias("_nbs")))
+    opened = first.select(*df.columns, once(_open(F.col("_nbs")).alias("_nb")))
+    lost = F.col("_nb")["metadata"]["language_info"].isNull() & F.contains("text", F.lit('"language_info"'))
+    refused = is_notebook() & _has_text() & (F.col("_nb").isNull() | lost)
+    again = opened.withColumn("_again", _read_again(F.when(refused, F.col("text"))))
+    second = F.when(F.col("_again").isNotNull(), _open(_parsed(F.col("_again")))).otherwise(F.col("_nb"))
+    return again.select(*df.columns, once(second.alias("nb")))
 
 
 def _source_text(source: Column) -> Column:

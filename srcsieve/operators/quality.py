@@ -92,8 +92,11 @@ def model_token_count(model_path: str) -> Callable[[Column], Column]:
     return count
 
 
-def _fertility(tokenizer: str | None) -> Column:
-    tokens = model_token_count(tokenizer)(F.col("text")) if tokenizer else None
+def _fertility(tokenizer: str | None, reached: Column | None = None) -> Column:
+    """Characters per token. A model gets only texts that ``reached`` the rule: a condition
+    around a Python function does not keep it from running, so the others go in as null."""
+    text = F.col("text") if reached is None else F.when(reached, F.col("text"))
+    tokens = model_token_count(tokenizer)(text) if tokenizer else None
     return X.chars_per_token("text", tokens)
 
 
@@ -137,7 +140,7 @@ def score_markup(df: DataFrame, html: bool = True) -> DataFrame:
 
 def score_tokens(scored: DataFrame, reached: Column, tokenizer: str | None = None) -> DataFrame:
     """Add ``tokens_ok`` to the rows that ``reached`` this rule, null to the others."""
-    fertility = F.when(reached, _fertility(tokenizer))
+    fertility = F.when(reached, _fertility(tokenizer, reached))
     return scored.select("*", once((fertility >= K.MIN_CHARS_PER_TOKEN).alias("tokens_ok")))
 
 

@@ -9,7 +9,7 @@ from srcsieve.operators.fuzzy_dedup import deduplicate
 from srcsieve.operators.joins import lookup_join
 from srcsieve.operators.notebooks import process_notebooks
 from srcsieve.operators.quality import filter_with_fallback
-from srcsieve.schema import CODE_RECORD
+from srcsieve.schema import CODE_RECORD, JSON_OPTIONS
 from srcsieve.session import materialise
 from srcsieve.sources.records import assign_output_batches, write_code_records
 from srcsieve.sources.tree import decode_text, list_source_files, read_file_contents
@@ -79,7 +79,8 @@ def curate_job(
     """Curate the batches that are not finished and write both stages.
 
     ``manifest`` is ``(month, batch, stage)``. A batch with only its deduplicated records is
-    filtered from those. Returns the manifest rows to add once both writes are done.
+    filtered from those. A batch that is done again replaces what an earlier try left of it,
+    also where no row is kept. Returns the manifest rows to add once both writes are done.
     """
     spark = records.sparkSession
     keys = list(partition_by)
@@ -90,12 +91,12 @@ def curate_job(
     to_dedup = work.where(F.col("start_at") == "dedup").select(*keys)
     fresh = lookup_join(records, to_dedup, keys, "left_semi")
     deduped = deduplicate(fresh, "batch")
-    write_code_records(deduped, deduped_path, partition_by)
+    write_code_records(deduped, deduped_path, partition_by, replace=to_dedup)
     schema = deduped.schema
-    stored = spark.read.schema(schema).json(deduped_path)
+    stored = spark.read.schema(schema).options(**JSON_OPTIONS).json(deduped_path)
     pending = lookup_join(stored, work.select(*keys), keys, "left_semi")
     filtered = filter_with_fallback(pending, tuple(keys))
-    write_code_records(filtered, filtered_path, partition_by)
+    write_code_records(filtered, filtered_path, partition_by, replace=work.select(*keys))
     return work.select(*keys, F.explode(F.array(F.lit("deduped"), F.lit("filtered"))).alias("stage")).join(
         manifest, [*keys, "stage"], "left_anti"
     )

@@ -43,3 +43,6 @@ LANGUAGE_MAP = T.StructType(
         T.StructField("extensions", T.ArrayType(T.StringType())),
     ]
 )
+
+#: For every JSON read: no length, digit or depth limit of the parser loses a record.
+JSON_OPTIONS = {"maxStringLen": "2147483647", "maxNumLen": "2147483647", "maxNestingDepth": "100000"}

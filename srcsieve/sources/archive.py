@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from srcsieve.schema import ARCHIVE_EVENT
+from srcsieve.schema import ARCHIVE_EVENT, JSON_OPTIONS
 
 
 def archive_hours(start: Column, end: Column) -> Column:
@@ -33,14 +33,30 @@ def named_events(raw: DataFrame) -> DataFrame:
     )
 
 
-def read_archive_events(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """Read gzipped JSON lines.
+def existing_paths(spark: SparkSession, paths: list[str]) -> list[str]:
+    """The paths, or patterns, that match something: one look-up per archive hour."""
+    hadoop, found = spark._jsc.hadoopConfiguration(), []
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        if path.getFileSystem(hadoop).globStatus(path):
+            found.append(name)
+    return found
+
+
+def read_archive_events(spark: SparkSession, paths: str | list[str] | DataFrame) -> DataFrame:
+    """Read gzipped JSON lines from a folder, a list of files, or the rows of ``archive_paths``.
 
     Missing files are skipped, broken lines too, and a truncated file gives the lines
     before the damage.
     """
+    if isinstance(paths, DataFrame):
+        paths = [row["path"] for row in paths.select("path").distinct().toLocalIterator()]
+    paths = existing_paths(spark, [paths] if isinstance(paths, str) else paths)
+    if not paths:
+        return named_events(spark.createDataFrame([], ARCHIVE_EVENT))
     raw = (
         spark.read.schema(ARCHIVE_EVENT)
+        .options(**JSON_OPTIONS)
         .option("ignoreCorruptFiles", True)
         .option("ignoreMissingFiles", True)
         .json(paths)

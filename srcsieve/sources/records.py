@@ -7,7 +7,7 @@ from pyspark.sql import types as T
 
 from srcsieve.constants import REPOS_PER_FILE
 from srcsieve.operators.joins import global_row_number, lookup_join
-from srcsieve.schema import CODE_RECORD
+from srcsieve.schema import CODE_RECORD, JSON_OPTIONS
 
 CORRUPT = "_corrupt_record"
 
@@ -26,7 +26,7 @@ def read_code_records(
     Lines that are not JSON go to ``_corrupt_record`` if asked for and are dropped otherwise.
     """
     schema = T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])
-    rows = spark.read.schema(schema).option("pathGlobFilter", pattern).json(path)
+    rows = spark.read.schema(schema).options(**JSON_OPTIONS).option("pathGlobFilter", pattern).json(path)
     if month is not None:
         rows = rows.where(F.col("month") == month)
     if keep_corrupt:
@@ -35,15 +35,23 @@ def read_code_records(
 
 
 def write_code_records(
-    df: DataFrame, path: str, partition_by: tuple[str, ...] = ("month",), rows_per_file: int = 100_000
+    df: DataFrame,
+    path: str,
+    partition_by: tuple[str, ...] = ("month",),
+    rows_per_file: int = 100_000,
+    replace: DataFrame | None = None,
 ) -> None:
     """Write records as JSON lines below one folder per month.
 
-    Only the months present in ``df`` are replaced, and the commit protocol stands in for
+    The months present in ``df`` are replaced. ``replace`` lists folders, by their
+    ``partition_by`` values, that are emptied first, so that a rerun which keeps no row of one
+    leaves nothing old in it; ``df`` must not be read from them. The commit protocol stands in for
     writing a temporary file and renaming it. Null fields are written out. Records are
     brought together by folder first, as else every task would write a file into every
     folder; the hint lets large folders be split over tasks again.
     """
+    if replace is not None:
+        remove_folders(replace, path, partition_by)
     (
         df.hint("rebalance", *[F.col(c) for c in partition_by])
         .write.mode("overwrite")
@@ -55,6 +63,17 @@ def write_code_records(
     )
 
 
+def remove_folders(folders: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
+    """Delete the folders below ``path`` that ``folders`` names, one row each; absent ones do nothing."""
+    spark = folders.sparkSession
+    paths = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    hadoop = spark._jsc.hadoopConfiguration()
+    for row in folders.select(*[F.col(c).cast("string") for c in partition_by]).distinct().toLocalIterator():
+        folder = "/".join([path.rstrip("/"), *(paths.getPartitionPathString(c, row[c]) for c in partition_by)])
+        place = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        place.getFileSystem(hadoop).delete(place, True)
+
+
 def assign_output_batches(
     df: DataFrame,
     order: list[str],

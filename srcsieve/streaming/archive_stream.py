@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from srcsieve.operators.joins import lookup_join
-from srcsieve.schema import ARCHIVE_EVENT
+from srcsieve.schema import ARCHIVE_EVENT, JSON_OPTIONS
 from srcsieve.sources.archive import named_events
 
 
@@ -21,6 +21,7 @@ def stream_archive_events(spark: SparkSession, folder: str, files_per_trigger: i
     """Pick up new hourly files; broken lines are skipped as in the batch reader."""
     raw = (
         spark.readStream.schema(ARCHIVE_EVENT)
+        .options(**JSON_OPTIONS)
         .option("maxFilesPerTrigger", files_per_trigger)
         .option("ignoreCorruptFiles", True)
         .json(folder)
@@ -110,18 +111,23 @@ def merge_counts(changes: DataFrame) -> DataFrame:
 def stream_curate_to_table(
     records: DataFrame, curate: Callable[[DataFrame], DataFrame], path: str, checkpoint: str
 ) -> StreamingQuery:
-    """Curate arriving records; a repository already in the table is not added again.
+    """Curate arriving records; a file that an earlier micro-batch brought is not added again.
 
-    Records of one repository arrive together, as the collector appends whole repositories.
+    A file is known by its repository, name and a digest of its text, so a repository may be
+    spread over any number of micro-batches. The keys of all that arrived, kept or not, lie in
+    ``_seen`` below ``path``, where table reads do not look.
     """
     spark = records.sparkSession
-    key = T.StructType([T.StructField("repo_name", T.StringType())])
+    key = T.StructType.fromDDL("_repo string, _file string, _digest binary")
+    keys = [F.coalesce("repo_name", F.lit("")).alias("_repo"), F.coalesce("file_name", F.lit("")).alias("_file"),
+            F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("_digest")]
 
     def fresh(batch: DataFrame, number: int) -> DataFrame:
-        rows = batch
-        if number > 0:
-            done = read_batches(spark, path, key).where(F.col("batch") < number).select("repo_name").distinct()
-            rows = lookup_join(batch, done, ["repo_name"], "left_anti")
-        return curate(rows)
+        batch.select(*keys).distinct().write.mode("overwrite").parquet(f"{path}/_seen/batch={number}")
+        if number == 0:
+            return curate(batch)
+        seen = read_batches(spark, f"{path}/_seen", key).where(F.col("batch") < number).drop("batch").distinct()
+        rows = lookup_join(batch.select("*", *keys), seen, key.fieldNames(), "left_anti")
+        return curate(rows.select(*batch.columns))
 
     return write_batches(records, path, checkpoint, "append", fresh)

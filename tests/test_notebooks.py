@@ -71,3 +71,15 @@ def test_large_and_odd_json(spark):
     twice = '{"cells": [], "cells": [{"cell_type": "code", "source": "last"}], "metadata": {"language_info": {"name": "r"}}, "x": NaN}'
     got = {r.id: (r.language, len(r.text)) for r in N.process_notebooks(frame(spark, [big, twice])).collect()}
     assert got == {0: ("Python", 25_000_000), 1: ("R", 4)}
+
+
+def test_what_the_jvm_parser_refuses_is_read_again(spark):
+    code = '{"cells": [{"cell_type": "code", "source": "a = 1", "outputs": [%s]}], "metadata": {"language_info": %s}}'
+    named = '{"name": "python"}'
+    texts = [
+        code % ("7" * 1500, named), code % ("0." + "7" * 1500, named), code % ('{"%s": 1}' % ("k" * 60_000), named),
+        code % ("1", '{"name": "julia", "name": "python"}'), code % ("1", named) + " tail",
+    ]
+    got = {r.id: (r.text, r.language) for r in N.process_notebooks(frame(spark, texts)).collect()}
+    assert got == {i: ("a = 1", "Python") for i in range(4)}
+    assert [r.id for r in N.notebook_issues(frame(spark, texts), ["id"]).collect()] == [4]

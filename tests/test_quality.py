@@ -1,3 +1,4 @@
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -80,3 +81,25 @@ def test_score_is_stored_only_if_named(spark):
     df = frame(spark, [(None, "abc"), (None, "a")])
     assert G.score_filter(df, F.length("text"), lambda n: n > 1).columns == df.columns
     assert [r.n for r in G.score_filter(df, F.length("text"), lambda n: n > 1, "n").collect()] == [3]
+
+
+def test_the_tokenizer_sees_only_rows_that_reach_it(spark, monkeypatch):
+    from pyspark.sql import functions as F, types as T
+
+    from srcsieve.operators import quality
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(path):
+        @F.pandas_udf(T.IntegerType())
+        def tokens(texts: pd.Series) -> pd.Series:
+            seen.add(int(texts.notna().sum()))
+            return texts.str.len().astype("Int32")
+
+        return tokens
+
+    monkeypatch.setattr(quality, "model_token_count", counted)
+    good = "\n".join(f"some plain words number {i}" for i in range(10))
+    rows = spark.createDataFrame([("Python", good if i < 10 else "1") for i in range(200)], "language string, text string")
+    quality.filter_report(rows, tokenizer="model").collect()
+    assert seen.value == 10

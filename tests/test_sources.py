@@ -9,7 +9,7 @@ from srcsieve.operators import files as FI
 from srcsieve.operators import languages as L
 from srcsieve.operators import seen as S
 from srcsieve.sources import records as R
-from srcsieve.sources.archive import read_archive_events
+from srcsieve.sources.archive import archive_paths, read_archive_events
 from srcsieve.sources.metadata import read_repo_metadata
 from srcsieve.sources.tree import decode_text, list_source_files, read_source_tree
 
@@ -160,3 +160,37 @@ def test_resume_is_idempotent(spark):
     once = S.resume_partial_batch(done, new)
     assert sorted(map(tuple, once.collect())) == [("a", 1), ("b", 3)]
     assert sorted(map(tuple, S.resume_partial_batch(once, new).collect())) == [("a", 1), ("b", 3)]
+
+
+def test_absent_hours_are_skipped(spark, tmp_path):
+    for hour in (0, 2):
+        (tmp_path / f"2025-01-01-{hour}.json.gz").write_bytes(gzip.compress(event(f"a/{hour}").encode()))
+    bounds = spark.sql("SELECT TIMESTAMP '2025-01-01 00:00:00' AS s, TIMESTAMP '2025-01-01 03:00:00' AS e")
+    paths = archive_paths(bounds, "s", "e", f"{tmp_path}/")
+    assert paths.count() == 4
+    assert sorted(r.repo_name for r in read_archive_events(spark, paths).collect()) == ["a/0", "a/2"]
+    assert read_archive_events(spark, [f"{tmp_path}/none.json.gz"]).count() == 0
+
+
+def record(name, text, month="1"):
+    return (name, None, 1, 1, 1, "Python", "mit", "a.py", text, month)
+
+
+RECORDS = "repo_name string, description string, stars long, file_count long, size_kb long, language string, license string, file_name string, text string, month string"
+
+
+def test_a_record_of_any_length_is_read(spark, tmp_path):
+    rows = spark.createDataFrame([record("a/a", "x"), record("a/b", "y")], RECORDS)
+    long = rows.withColumn("text", F.when(F.col("repo_name") == "a/b", F.repeat("text", F.lit(21_000_000))).otherwise(F.col("text")))
+    R.write_code_records(long, str(tmp_path / "out"))
+    got = R.read_code_records(spark, str(tmp_path / "out")).select("repo_name", F.length("text").alias("n"))
+    assert sorted(map(tuple, got.collect())) == [("a/a", 1), ("a/b", 21_000_000)]
+
+
+def test_a_rerun_that_keeps_nothing_leaves_nothing(spark, tmp_path):
+    out = str(tmp_path / "out")
+    rows = spark.createDataFrame([record("a/a", "x", "1"), record("a/b", "y", "2")], RECORDS)
+    R.write_code_records(rows, out)
+    months = spark.createDataFrame([("1",)], "month string")
+    R.write_code_records(rows.where("false"), out, replace=months)
+    assert [r.repo_name for r in R.read_code_records(spark, out).collect()] == ["a/b"]

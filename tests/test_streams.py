@@ -85,3 +85,25 @@ def test_curated_repositories_are_not_added_twice(spark, tmp_path):
     schema = quality_filter_chain(spark.createDataFrame([], CODE_RECORD)).schema
     got = A.read_batches(spark, sink, schema).groupBy("repo_name").count().collect()
     assert {r.repo_name: r["count"] for r in got} == {"o/a": 2, "o/b": 2}
+
+
+def test_a_repository_over_several_micro_batches_is_kept_whole(spark, tmp_path):
+    folder = tmp_path / "records"
+    folder.mkdir()
+    names = CODE_RECORD.fieldNames()
+
+    def land_records(part, first):
+        rows = [dict.fromkeys(names) | {"repo_name": "a/a", "file_name": f"f{i}.py", "text": f"text {i}"} for i in range(first, first + 25)]
+        (folder / f"{part}.json").write_text("\n".join(map(json.dumps, rows)))
+
+    def run():
+        records = spark.readStream.schema(CODE_RECORD).option("maxFilesPerTrigger", 1).json(str(folder))
+        A.stream_curate_to_table(records, lambda df: df, str(tmp_path / "out"), str(tmp_path / "at")).awaitTermination()
+        return A.read_batches(spark, str(tmp_path / "out"), CODE_RECORD).count()
+
+    for part in range(4):
+        land_records(part, 25 * part)
+    assert run() == 100
+    land_records(4, 75)  # the last file once more
+    land_records(5, 100)
+    assert run() == 125
