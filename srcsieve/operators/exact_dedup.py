@@ -27,8 +27,8 @@ def add_doc_id(
 
 
 def text_digest(text: str = "text") -> Column:
-    """128-bit digest; a null text counts as empty."""
-    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary"))).alias("digest")
+    """128-bit digest; null for a null text, which was never read and is no copy of anything."""
+    return F.unhex(F.md5(F.col(text).cast("binary"))).alias("digest")
 
 
 def text_digests(df: DataFrame, id_col: str, text: str = "text", scope: tuple[str, ...] = ()) -> DataFrame:
@@ -38,7 +38,8 @@ def text_digests(df: DataFrame, id_col: str, text: str = "text", scope: tuple[st
 
 def _groups(digests: DataFrame, id_col: str, scope: tuple[str, ...]) -> DataFrame:
     return (
-        digests.groupBy(*scope, "digest")
+        digests.where(F.col("digest").isNotNull())
+        .groupBy(*scope, "digest")
         .agg(F.min(id_col).alias("keep_id"), F.count(F.lit(1)).alias("copies"))
         .where(F.col("copies") > 1)
     )

@@ -31,12 +31,15 @@ def small_table(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFra
     return F.broadcast(table) if table.count() <= max_rows else table
 
 
-def dimension(table: DataFrame) -> DataFrame:
-    """A table bounded by the language dictionary, a few thousand rows of one file: always broadcast.
+def dimension(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """A table drawn from the language dictionary: local rows, broadcast, if there are at most ``max_rows``.
 
-    Nothing runs while the plan is built.
+    One small job checks the size and fetches the rows at once; a larger table stays as it is.
     """
-    return F.broadcast(table)
+    rows = table.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return table
+    return F.broadcast(table.sparkSession.createDataFrame(rows, table.schema))
 
 
 def lookup_join(

@@ -2,27 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from srcsieve.operators import discovery, files as file_ops, seen as state
 from srcsieve.operators.fuzzy_dedup import deduplicate
 from srcsieve.operators.joins import lookup_join
-from srcsieve.operators.notebooks import process_notebooks
+from srcsieve.operators.languages import language_distribution, relabel_language
+from srcsieve.operators.notebooks import notebook_issues, process_notebooks
 from srcsieve.operators.quality import filter_with_fallback
 from srcsieve.schema import CODE_RECORD, JSON_OPTIONS
 from srcsieve.session import materialise
-from srcsieve.sources.records import assign_output_batches, write_code_records
+from srcsieve.sources.records import assign_output_batches, read_code_records, write_code_records, write_language_csv
 from srcsieve.sources.tree import decode_text, list_source_files, read_file_contents
 
 
 def discover_repos(
-    events: DataFrame, raw_meta: DataFrame, seen: DataFrame, languages: DataFrame, month: int
+    events: DataFrame,
+    raw_meta: DataFrame,
+    seen: DataFrame,
+    languages: DataFrame,
+    month: int,
+    max_repos: int | None = None,
 ) -> DataFrame:
     """Judge each newly active repository: metadata plus ``reason``, null if selected.
 
-    Repositories without a landed response are kept with the reason ``no metadata``.
+    ``max_repos`` stops after so many distinct repositories in order of their first event, then
+    of their name. Repositories without a landed response are kept with the reason ``no metadata``.
     """
-    active = discovery.latest_event_per_repo(discovery.filter_event_types(events))
+    events = discovery.filter_event_types(events)
+    if max_repos is not None:
+        events = events.join(discovery.first_n_repos(events, ["created_at"], max_repos), "repo_name", "left_semi")
+    active = discovery.latest_event_per_repo(events)
     fresh = state.skip_seen_repos(active, seen, month)
     fresh = state.skip_repos_seen_in_other_months(fresh, seen, month).select("repo_name")
     meta = discovery.project_repo_metadata(raw_meta).withColumn("_landed", F.lit(True))
@@ -64,6 +74,36 @@ def process_months(records: DataFrame, kernelspec: str = "top") -> DataFrame:
     return process_notebooks(records, kernelspec)
 
 
+def notebook_job(
+    spark: SparkSession, source: str, target: str, partition_by: tuple[str, ...] = ("month",), kernelspec: str = "top"
+) -> DataFrame:
+    """Read record files below ``source``, turn notebooks into code, write every folder to ``target``.
+
+    A folder that keeps no row is emptied there. Returns the log: one row per doubtful notebook.
+    """
+    records = _landed(spark, source, partition_by)
+    folders = materialise(records.groupBy(*partition_by).agg(F.count("repo_name").alias("records")), "folders")
+    write_code_records(process_months(records, kernelspec), target, partition_by, replace=folders)
+    return notebook_issues(records, [*partition_by, "repo_name", "file_name"], kernelspec)
+
+
+def relabel_job(
+    spark: SparkSession, source: str, target: str, lang_dim: DataFrame, partition_by: tuple[str, ...] = ("month",)
+) -> None:
+    """Write the records below ``source`` to ``target`` with the language of their file name."""
+    write_code_records(relabel_language(_landed(spark, source, partition_by), lang_dim), target, partition_by)
+
+
+def language_report_job(spark: SparkSession, source: str, report: str, lang_dim: DataFrame) -> None:
+    """Write how many files below ``source`` each language has."""
+    write_language_csv(language_distribution(_landed(spark, source, ()), lang_dim), report)
+
+
+def _landed(spark: SparkSession, source: str, partition_by: tuple[str, ...]) -> DataFrame:
+    names = [f.name for f in CODE_RECORD if f.name not in partition_by]
+    return read_code_records(spark, source).select(*names, *[F.col(c).cast("string").alias(c) for c in partition_by])
+
+
 def curate(records: DataFrame, scope: str = "global", fallback_scope: tuple[str, ...] = ()) -> DataFrame:
     """Deduplicate, then filter by quality."""
     return filter_with_fallback(deduplicate(records, scope), fallback_scope)
