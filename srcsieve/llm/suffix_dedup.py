@@ -30,6 +30,7 @@ BUFFER = 1 << 20  # bytes hashed at a time; a gram's place in it takes 20 bits
 #: the bytes that all strings of such a part share.
 MAX_SEGMENTS = 4096
 SPLIT = 8
+SHARDS_PER_PARTITION = 3
 _MIX = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -298,7 +299,9 @@ def repeated_spans(
             _splitter(length), "shard long, shift int, anchor long, digest long, copies long, bytes binary"
         )
         parts = cut.join(crowded, "anchor", "left_anti").select(*plain).unionByName(split)
-    found = parts.repartition("shard").mapInArrow(
+    # A sort takes some forty times the bytes of its shard: three shards for each partition of a plain shuffle.
+    shards = SHARDS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = parts.repartition(shards, "shard").mapInArrow(
         _sorter(length), "anchor long, digest long, copies long, spans array<struct<begin:int,end:int>>"
     )
     covered = found.groupBy("anchor", "digest").agg(
