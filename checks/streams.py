@@ -34,9 +34,14 @@ SQL["stream_archive_events"] = sql(
     f"SELECT type, repo_name, created_at FROM archive_events WHERE {INTACT}", "archive_events"
 )
 
-Q["stream_latest_per_repo"] = lambda spark, sf: A.merge_latest(
-    _drained(spark, A.stream_latest_per_repo(filter_event_types(_events(spark, sf))), "update")
-)
+def _latest(spark, sf):
+    path, checkpoint = scratch_path(spark, "latest"), scratch_path(spark, "offsets")
+    events = filter_event_types(_events(spark, sf))
+    A.stream_latest_per_repo(events, path, checkpoint).awaitTermination()
+    return A.merge_latest(A.read_batches(spark, path, events.select("repo_name", "created_at").schema))
+
+
+Q["stream_latest_per_repo"] = _latest
 SQL["stream_latest_per_repo"] = sql(
     f"SELECT repo_name, max(created_at) AS created_at FROM archive_events WHERE {KEPT} GROUP BY 1", "archive_events"
 )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
@@ -17,8 +18,35 @@ from srcsieve.session import materialise
 SCOPES = {"batch": ("month", "batch"), "month": ("month",), "global": ()}
 
 
-def _shingle_set(text: str, n: int) -> set[str]:
-    return {text[i : i + n] for i in range(max(len(text) - n + 1, 1))}
+class ShingleSets:
+    """Distinct ``n``-character shingles of a text as sorted 64-bit hashes.
+
+    A hash is a weighted sum of code points, mixed. Windows bound the scratch memory, so a
+    text takes eight bytes per distinct shingle.
+    """
+
+    def __init__(self, n: int, window: int = 1 << 20) -> None:
+        self.n, self.window = n, window
+        self.weights = np.random.default_rng(n).integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+    def hashes(self, codes: np.ndarray) -> np.ndarray:
+        count = len(codes) - self.n + 1
+        total = np.zeros(count, dtype=np.uint64)
+        for offset, weight in enumerate(self.weights):
+            total += codes[offset : offset + count] * weight
+        total ^= total >> np.uint64(31)
+        total *= np.uint64(0x9E3779B97F4A7C15)
+        total ^= total >> np.uint64(29)
+        return np.unique(total)
+
+    def of(self, text: str) -> np.ndarray:
+        """A text shorter than a shingle is one shingle, padded past the last code point."""
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64) + np.uint64(1)
+        if len(codes) < self.n:
+            codes = np.pad(codes, (0, self.n - len(codes)))
+        last = len(codes) - self.n + 1
+        parts = [self.hashes(codes[at : at + self.window + self.n - 1]) for at in range(0, last, self.window)]
+        return parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))
 
 
 def near_duplicate_pairs(
@@ -30,7 +58,7 @@ def near_duplicate_pairs(
     n: int = CHAR_NGRAMS,
     hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
-    """Edges whose documents share enough shingles, with their exact Jaccard index.
+    """Edges whose documents share enough shingles, with their Jaccard index over all shingles.
 
     This is the optional check of candidates: each is compared with the head of its
     bucket. A head with very many members is copied, so its members meet it in many tasks.
@@ -38,12 +66,15 @@ def near_duplicate_pairs(
 
     @F.pandas_udf("double")
     def jaccard(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        shingles, head, head_set = ShingleSets(n), None, None
         for left, right in batches:
             scores = []
             for a, b in zip(left, right):
-                a, b = _shingle_set(a or "", n), _shingle_set(b or "", n)
-                shared = len(a & b)
-                scores.append(shared / (len(a) + len(b) - shared))
+                if head_set is None or b != head:  # members of a head come one after the other
+                    head, head_set = b, shingles.of(b or "")
+                own = shingles.of(a or "")
+                shared = len(np.intersect1d(own, head_set, assume_unique=True))
+                scores.append(shared / (len(own) + len(head_set) - shared))
             yield pd.Series(scores, dtype="float64")
 
     named = edges.select(F.col(id_col).alias("_id")).union(edges.select("head")).distinct()

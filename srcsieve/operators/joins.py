@@ -64,10 +64,13 @@ def lookup_join(
         keyed.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= hot_key_rows).drop("_n"),
         "hot-keys",
     )
-    hot_table = table.join(F.broadcast(hot), on, "left_semi")
-    joined = keyed.join(F.broadcast(hot), on, "left_anti").join(table, on, how).unionByName(
-        keyed.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(hot_table), on, how)
-    )
+    if hot.isEmpty():
+        joined = keyed.join(table, on, how)
+    else:
+        hot_table = table.join(F.broadcast(hot), on, "left_semi")
+        joined = keyed.join(F.broadcast(hot), on, "left_anti").join(table, on, how).unionByName(
+            keyed.join(F.broadcast(hot), on, "left_semi").join(F.broadcast(hot_table), on, how)
+        )
     if how in ("left", "left_anti"):
         null_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
         joined = joined.unionByName(rows.where(null_key), allowMissingColumns=True)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from srcsieve.operators import discovery, files as file_ops, seen as state
 from srcsieve.operators.fuzzy_dedup import deduplicate
-from srcsieve.operators.joins import lookup_join
+from srcsieve.operators.joins import MAX_BROADCAST_ROWS, lookup_join
 from srcsieve.operators.languages import language_distribution, relabel_language
 from srcsieve.operators.notebooks import notebook_issues, process_notebooks
 from srcsieve.operators.quality import filter_with_fallback
@@ -54,18 +54,25 @@ def collect_records(
     extensions: DataFrame,
     order: list[str] | None = None,
     next_batch: int = 0,
+    unreadable: str | None = None,
 ) -> DataFrame:
     """Read the trees of selected repositories into numbered batches of records.
 
-    Files are chosen from the listing, so unwanted ones are never opened; they are counted
+    ``unreadable`` names a folder for the log ``(repo_name, file_name, error)`` of files that
+    could not be read, written as Parquet. Files are chosen from the listing, so unwanted ones are never opened; they are counted
     before any is found unreadable. They are described before they are read, so no join
     moves their texts.
     """
     listed = file_ops.valid_code_files(list_source_files(meta.select("repo_name"), root), extensions)
     chosen = materialise(listed, "listing")
     described = file_ops.describe_files(chosen.drop("length"), file_ops.file_counts(chosen), meta, lang_dim)
-    read = decode_text(read_file_contents(described, root)).select(*CODE_RECORD.fieldNames())
-    records = materialise(read, "records")
+    names = CODE_RECORD.fieldNames()
+    read = decode_text(read_file_contents(described, root, error="error")).select(*names, "error")
+    landed = materialise(read, "records")
+    if unreadable is not None:
+        failed = landed.where(F.col("error").isNotNull())
+        failed.select("repo_name", "file_name", "error").write.mode("overwrite").parquet(unreadable)
+    records = landed.where(F.col("error").isNull()).select(*names)
     return assign_output_batches(records, order or ["repo_name"], next_batch)
 
 
@@ -109,6 +116,18 @@ def curate(records: DataFrame, scope: str = "global", fallback_scope: tuple[str,
     return filter_with_fallback(deduplicate(records, scope), fallback_scope)
 
 
+def rows_of_batches(rows: DataFrame, work: DataFrame, keys: list[str], start_at: tuple[str, ...]) -> DataFrame:
+    """``rows`` of the batches that ``work`` lists with one of the stages ``start_at``.
+
+    The condition on ``work`` makes the list a pruning filter: a scan of ``rows`` by folders opens
+    only those of its batches.
+    """
+    listed = work.where(F.col("start_at").isin(*start_at)).select(*keys)
+    if work.count() > MAX_BROADCAST_ROWS:
+        return lookup_join(rows, listed, keys, "left_semi")
+    return rows.join(F.broadcast(listed), keys, "left_semi")
+
+
 def curate_job(
     records: DataFrame,
     manifest: DataFrame,
@@ -119,7 +138,7 @@ def curate_job(
     """Curate the batches that are not finished and write both stages.
 
     ``manifest`` is ``(month, batch, stage)``. A batch with only its deduplicated records is
-    filtered from those. A batch that is done again replaces what an earlier try left of it,
+    filtered from those. Only folders of such batches are read. A batch that is done again replaces what an earlier try left of it,
     also where no row is kept. Returns the manifest rows to add once both writes are done.
     """
     spark = records.sparkSession
@@ -129,12 +148,12 @@ def curate_job(
     work = state.skip_finished_batches(todo, named).withColumnRenamed("month_no", "month")
     work = materialise(work, "work")
     to_dedup = work.where(F.col("start_at") == "dedup").select(*keys)
-    fresh = lookup_join(records, to_dedup, keys, "left_semi")
+    fresh = rows_of_batches(records, work, keys, ("dedup",))
     deduped = deduplicate(fresh, "batch")
     write_code_records(deduped, deduped_path, partition_by, replace=to_dedup)
     schema = deduped.schema
     stored = spark.read.schema(schema).options(**JSON_OPTIONS).json(deduped_path)
-    pending = lookup_join(stored, work.select(*keys), keys, "left_semi")
+    pending = rows_of_batches(stored, work, keys, ("dedup", "filter"))
     filtered = filter_with_fallback(pending, tuple(keys))
     write_code_records(filtered, filtered_path, partition_by, replace=work.select(*keys))
     return work.select(*keys, F.explode(F.array(F.lit("deduped"), F.lit("filtered"))).alias("stage")).join(

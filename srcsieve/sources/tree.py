@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
@@ -49,39 +50,57 @@ def list_source_files(repos: DataFrame, root: str) -> DataFrame:
     return names.mapInPandas(walk, "repo_name string, file_name string, length long")
 
 
-def read_file_contents(files: DataFrame, root: str, batch_bytes: int = 32 << 20) -> DataFrame:
+def _read_bytes(opened: FileSystem, path: str, tries: int = 3) -> tuple[bytes | None, str | None]:
+    """The bytes of a file, or why it cannot be read. A store that fails for a moment is asked again."""
+    for attempt in range(1, tries + 1):
+        try:
+            with opened.open_input_stream(path, compression=None) as stream:
+                return stream.read(), None
+        except OSError as error:
+            lasting = isinstance(error, (FileNotFoundError, PermissionError, IsADirectoryError))
+            if lasting or attempt == tries:
+                return None, f"{type(error).__name__}: {error}"
+            time.sleep(0.2 * 2**attempt)
+    raise ValueError("tries must be at least 1")
+
+
+def read_file_contents(
+    files: DataFrame, root: str, batch_bytes: int = 32 << 20, error: str | None = None
+) -> DataFrame:
     """Add the ``content`` bytes of listed files; unreadable files are skipped.
 
+    With ``error`` they stay, their content null and the reason in the column of that name.
     Filter the listing first, so only wanted files are opened. Files are spread by path,
     so a repository with most of the files is read by all tasks.
     """
-    schema = T.StructType(files.schema.fields + [T.StructField("content", T.BinaryType())])
-    columns = [*files.columns, "content"]
+    added = [T.StructField("content", T.BinaryType())] + ([T.StructField(error, T.StringType())] if error else [])
+    schema = T.StructType(files.schema.fields + added)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened, base = _open_root(root)
 
-        def joined(batch: pa.RecordBatch, places: list[int], contents: list[bytes]) -> pa.RecordBatch:
+        def joined(batch: pa.RecordBatch, places: list[int], contents: list, reasons: list) -> pa.RecordBatch:
             part = batch.take(pa.array(places, pa.int32()))
-            return pa.RecordBatch.from_arrays([*part.columns, pa.array(contents, pa.binary())], columns)
+            new = [pa.array(contents, pa.binary())] + ([pa.array(reasons, pa.string())] if error else [])
+            return pa.RecordBatch.from_arrays([*part.columns, *new], schema.fieldNames())
 
         for batch in batches:
-            places, contents, held = [], [], 0
+            places, contents, reasons, held = [], [], [], 0
             repos, names = batch.column("repo_name").to_pylist(), batch.column("file_name").to_pylist()
             for place, (repo, name) in enumerate(zip(repos, names)):
                 path = f"{base}/{repo.replace('/', '__')}/{name}"
-                try:
-                    with opened.open_input_stream(path, compression=None) as stream:
-                        contents.append(stream.read())
-                except OSError:
+                content, reason = _read_bytes(opened, path)
+                if reason and not error:
                     continue
                 places.append(place)
-                held += len(contents[-1])
+                contents.append(content)
+                reasons.append(reason)
+                held += len(content or b"")
                 if held >= batch_bytes:
-                    yield joined(batch, places, contents)
-                    places, contents, held = [], [], 0
+                    yield joined(batch, places, contents, reasons)
+                    places, contents, reasons, held = [], [], [], 0
             if places:
-                yield joined(batch, places, contents)
+                yield joined(batch, places, contents, reasons)
 
     tasks = files.sparkSession.sparkContext.defaultParallelism * 4
     return files.repartition(tasks, "repo_name", "file_name").mapInArrow(read, schema)

@@ -56,13 +56,17 @@ def read_batches(spark: SparkSession, path: str, schema: T.StructType) -> DataFr
     return spark.read.schema(schema).option("basePath", path).option("ignoreMissingFiles", True).parquet(path)
 
 
-def stream_latest_per_repo(events: DataFrame) -> DataFrame:
-    """Running latest event per repository; write it with mode ``update``."""
-    return events.groupBy("repo_name").agg(F.max("created_at").alias("created_at"))
+def stream_latest_per_repo(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Latest event per repository and micro-batch, written to ``path``.
+
+    ``merge_latest`` merges the batches, so the stream holds no state, however many repositories
+    it meets.
+    """
+    return write_batches(events, path, checkpoint, "append", lambda batch, _: merge_latest(batch))
 
 
 def merge_latest(changes: DataFrame) -> DataFrame:
-    """The current state from the changes of ``stream_latest_per_repo``."""
+    """The latest event per repository, from events or from the batches of ``stream_latest_per_repo``."""
     return changes.groupBy("repo_name").agg(F.max("created_at").alias("created_at"))
 
 

@@ -69,6 +69,22 @@ def near_copies():
     return rows
 
 
+def shingle_set(text, n):
+    return {text[i : i + n] for i in range(max(len(text) - n + 1, 1))}
+
+
+def test_shingle_hashes_count_like_strings():
+    rng = random.Random(11)
+    texts = ["", "a", "ab", "x" * 24, "x" * 500, words(rng, 500), words(rng, 500) + "é日😀" * 40, "\0" * 30, "\0" * 23]
+    for window in (1 << 20, 50):
+        sets = Z.ShingleSets(24, window)
+        for a in texts:
+            assert len(sets.of(a)) == len(shingle_set(a, 24))
+            for b in texts:
+                shared = np.intersect1d(sets.of(a), sets.of(b), assume_unique=True)
+                assert len(shared) == len(shingle_set(a, 24) & shingle_set(b, 24))
+
+
 def test_signature_estimates_jaccard():
     rng = random.Random(3)
     signer = M.Signer(24, 2600, 42)
@@ -76,7 +92,7 @@ def test_signature_estimates_jaccard():
         left = words(rng, 400)
         cut = int(len(left) * keep)
         right = left[:cut] + words(rng, 400)[: len(left) - cut]
-        a, b = Z._shingle_set(left, 24), Z._shingle_set(right, 24)
+        a, b = shingle_set(left, 24), shingle_set(right, 24)
         truth = len(a & b) / len(a | b)
         assert abs(np.mean(signer.sign(left) == signer.sign(right)) - truth) < 0.04
 
@@ -94,7 +110,7 @@ def test_recall(spark):
     rows = near_copies()
     docs = spark.createDataFrame(rows, "id long, text string")
     removed = {r.id for r in Z.fuzzy_duplicates(docs, "id").collect()}
-    sets = {i: Z._shingle_set(t, 24) for i, t in rows}
+    sets = {i: shingle_set(t, 24) for i, t in rows}
     probability = found = 0.0
     for i, shingles in sets.items():
         base = sets[i - i % 10]
@@ -155,4 +171,4 @@ def test_char_shingles(spark):
     got = {}
     for row in M.char_shingles(docs, "id").collect():
         got.setdefault(row.id, set()).add(row.shingle)
-    assert got == {i: Z._shingle_set(t, 24) for i, t in enumerate(texts)}
+    assert got == {i: shingle_set(t, 24) for i, t in enumerate(texts)}

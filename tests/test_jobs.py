@@ -68,3 +68,72 @@ def test_null_texts_are_no_copies(spark):
 
     rows = spark.createDataFrame([("1", None), ("2", None), ("3", "x"), ("4", "x")], "my_id string, text string")
     assert sorted(r.my_id for r in exact_dedup(rows).collect()) == ["1", "2", "3"]
+
+
+def test_only_folders_of_the_work_are_read(spark, tmp_path):
+    path = str(tmp_path / "records")
+    rows = spark.range(60).select(F.col("id").cast("string").alias("text"), (F.col("id") % 6).alias("month"), F.lit(0).alias("batch"))
+    rows.write.partitionBy("month", "batch").json(path)
+    work = str(tmp_path / "work")
+    spark.createDataFrame([(1, 0, "dedup"), (4, 0, "filter")], "month long, batch int, start_at string").write.parquet(work)
+    stored = spark.read.schema("text string, month long, batch int").json(path)
+    for stages, months in ((("dedup",), {1}), (("dedup", "filter"), {1, 4})):
+        got = jobs.rows_of_batches(stored, spark.read.parquet(work), ["month", "batch"], stages)
+        assert {r.month for r in got.collect()} == months and got.count() == 10 * len(months)
+        assert "dynamicpruning" in got._jdf.queryExecution().executedPlan().toString()
+
+
+def test_unreadable_files_are_logged(spark, tmp_path, monkeypatch):
+    from srcsieve.sources import tree
+
+    repo = tmp_path / "o__a"
+    repo.mkdir()
+    (repo / "good.py").write_text("x = 1")
+    listed = spark.createDataFrame([("o/a", "good.py"), ("o/a", "gone.py")], "repo_name string, file_name string")
+    assert [r.file_name for r in tree.read_file_contents(listed, str(tmp_path)).collect()] == ["good.py"]
+    read = tree.read_file_contents(listed, str(tmp_path), error="why")
+    got = {r.file_name: (r.text, r.why) for r in tree.decode_text(read).collect()}
+    assert got["good.py"] == ("x = 1", None)
+    assert got["gone.py"][0] is None and "FileNotFoundError" in got["gone.py"][1]
+
+
+def test_a_store_that_fails_for_a_moment_is_asked_again(tmp_path, monkeypatch):
+    from srcsieve.sources import tree
+
+    class Flaky:
+        def __init__(self, failures):
+            self.left = failures
+
+        def open_input_stream(self, path, compression=None):
+            if self.left:
+                self.left -= 1
+                raise OSError("time-out")
+            return open(path, "rb")
+
+    monkeypatch.setattr(tree.time, "sleep", lambda _: None)
+    (tmp_path / "f").write_bytes(b"x")
+    assert tree._read_bytes(Flaky(2), str(tmp_path / "f")) == (b"x", None)
+    assert tree._read_bytes(Flaky(3), str(tmp_path / "f")) == (None, "OSError: time-out")
+
+
+def test_records_are_collected_and_failures_logged(spark, tmp_path, monkeypatch):
+    repo = tmp_path / "tree" / "o__a"
+    repo.mkdir(parents=True)
+    (repo / "good.py").write_text("x = 1")
+    (repo / "link.py").write_text("y")
+    listing = jobs.list_source_files
+
+    def and_a_lost_file(repos, root):
+        extra = spark.createDataFrame([("o/a", "lost.py", 3)], "repo_name string, file_name string, length long")
+        return listing(repos, root).unionByName(extra)
+
+    monkeypatch.setattr(jobs, "list_source_files", and_a_lost_file)
+    meta = spark.createDataFrame(
+        [("o/a", None, 60, "main", "mit", 70_000, "Python")],
+        "repo_name string, description string, stars long, default_branch string, license string, size long, language string",
+    )
+    extensions = spark.createDataFrame([(".py",)], "extension string")
+    log = str(tmp_path / "log")
+    got = jobs.collect_records(meta, str(tmp_path / "tree"), dim(spark), extensions, unreadable=log).collect()
+    assert sorted((r.file_name, r.text, r.file_count) for r in got) == [("good.py", "x = 1", 3), ("link.py", "y", 3)]
+    assert [r.file_name for r in spark.read.parquet(log).collect()] == ["lost.py"]

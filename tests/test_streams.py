@@ -107,3 +107,16 @@ def test_a_repository_over_several_micro_batches_is_kept_whole(spark, tmp_path):
     land_records(4, 75)  # the last file once more
     land_records(5, 100)
     assert run() == 125
+
+
+def test_latest_per_repo_across_runs(spark, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    sink, offsets = str(tmp_path / "latest"), str(tmp_path / "offsets")
+    hours = [("a.json", ["05", "03"]), ("b.json", ["04"]), ("c.json", ["09"])]
+    for name, at in hours:
+        land(folder, name, [("o/a", "PushEvent", f"2025-01-01T{h}:00:00Z") for h in at])
+        A.stream_latest_per_repo(events(spark, folder), sink, offsets).awaitTermination()
+    written = A.read_batches(spark, sink, events(spark, folder).select("repo_name", "created_at").schema)
+    assert [r.created_at[11:13] for r in A.merge_latest(written).collect()] == ["09"]
+    assert written.count() == 3
