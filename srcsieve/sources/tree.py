@@ -24,30 +24,54 @@ def _open_root(root: str) -> tuple[FileSystem, str]:
     return LocalFileSystem(), root.rstrip("/")
 
 
-def list_source_files(repos: DataFrame, root: str) -> DataFrame:
-    """Regular files of each repository as ``(repo_name, file_name, length)``.
+def _walker(root: str, levels: int | None):
+    """Replace folders (``length`` null) by what lies below them; files stay.
 
-    ``repos`` holds distinct ``repo_name`` values; a repository lies in ``root`` under its
-    name with ``/`` written as ``__``. The built-in file sources leave out names that start
-    with ``_`` or ``.``, such as ``__init__.py``, so folders are walked inside the tasks.
+    Folders ``levels`` below a given one are returned unopened; with None every folder is opened.
     """
 
+    def listing(repo: str, names: list[str], sizes: list[int | None]) -> pd.DataFrame:
+        return pd.DataFrame({"repo_name": repo, "file_name": names, "length": pd.array(sizes, dtype="Int64")})
+
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         files, base = _open_root(root)
         for batch in batches:
-            for repo in batch["repo_name"]:
+            known = batch["length"].notna()
+            if known.any():
+                yield batch[known].astype({"length": "int64"})
+            for repo, inner in zip(batch["repo_name"][~known], batch["file_name"][~known]):
                 top = f"{base}/{repo.replace('/', '__')}"
-                pending = [top]
+                pending = [(f"{top}/{inner}" if inner else top, 0)]
                 while pending:
-                    entries = files.get_file_info(FileSelector(pending.pop(), allow_not_found=True))
-                    pending += [e.path for e in entries if e.type == FileType.Directory]
-                    found = [(repo, e.path[len(top) + 1 :], e.size) for e in entries if e.is_file]
+                    folder, depth = pending.pop()
+                    entries = files.get_file_info(FileSelector(folder, allow_not_found=True))
+                    below = [e.path for e in entries if e.type == FileType.Directory]
+                    found = [e for e in entries if e.is_file]
                     if found:
-                        yield pd.DataFrame(found, columns=["repo_name", "file_name", "length"])
+                        yield listing(repo, [e.path[len(top) + 1 :] for e in found], [e.size for e in found])
+                    if depth + 1 == levels:
+                        if below:
+                            yield listing(repo, [path[len(top) + 1 :] for path in below], [None] * len(below))
+                    else:
+                        pending += [(path, depth + 1) for path in below]
+
+    return walk
+
 
+def list_source_files(repos: DataFrame, root: str, levels: int = 2) -> DataFrame:
+    """Regular files of each repository as ``(repo_name, file_name, length)``.
+
+    ``repos`` holds distinct ``repo_name`` values; a repository lies in ``root`` under its
+    name with ``/`` written as ``__``. The built-in file sources leave out names that start
+    with ``_`` or ``.``, such as ``__init__.py``, so folders are walked inside the tasks. The
+    folders found ``levels`` down are dealt out anew, so that one vast repository is walked
+    by many tasks.
+    """
+    schema = "repo_name string, file_name string, length long"
     tasks = repos.sparkSession.sparkContext.defaultParallelism * 4
-    names = repos.select("repo_name").repartition(tasks, "repo_name")
-    return names.mapInPandas(walk, "repo_name string, file_name string, length long")
+    tops = repos.select("repo_name", F.lit("").alias("file_name"), F.lit(None).cast("long").alias("length"))
+    upper = tops.repartition(tasks, "repo_name").mapInPandas(_walker(root, levels), schema)
+    return upper.repartition(tasks, "repo_name", "file_name").mapInPandas(_walker(root, None), schema)
 
 
 def _read_bytes(opened: FileSystem, path: str, tries: int = 3) -> tuple[bytes | None, str | None]:

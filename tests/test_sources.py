@@ -194,3 +194,15 @@ def test_a_rerun_that_keeps_nothing_leaves_nothing(spark, tmp_path):
     months = spark.createDataFrame([("1",)], "month string")
     R.write_code_records(rows.where("false"), out, replace=months)
     assert [r.repo_name for r in R.read_code_records(spark, out).collect()] == ["a/b"]
+
+
+def test_listing_does_not_depend_on_levels(spark, tmp_path):
+    names = ["a.py", "x/b.py", "x/y/c.py", "x/y/z/d.py", "x/y/z/w/e.py", "v/w/f.py"]
+    for name in names:
+        (tmp_path / "o__deep" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "o__deep" / name).write_text("12345")
+    (tmp_path / "o__deep" / "empty" / "inner" / "most").mkdir(parents=True)
+    repos = spark.createDataFrame([("o/deep",), ("o/none",)], "repo_name string")
+    for levels in (1, 2, 3, 9):
+        got = sorted(map(tuple, list_source_files(repos, str(tmp_path), levels).collect()))
+        assert got == sorted(("o/deep", name, 5) for name in names)
