@@ -32,13 +32,17 @@ from srcsieve.llm.common import LOWER, texts, word_blocks
 SIMILARITY = 0.8
 RECALL = 0.99
 #: Share of an item's words that are edited in the trials that set the number of samples.
-DESIGN_EDITS = 0.25
-SAMPLED_STEPS = 6
+DESIGN_EDITS = 0.4
+SAMPLED_STEPS = 5
 #: Words whose steps are sampled; longer items are embedded by their first words.
 LONGEST_WALK = 16
 #: Words walked together, so that pointers and symbols stay in cache.
 WORDS_PER_WALK = 1 << 17
 TABLE_BITS = 18
+#: Candidates settled side by side at most and at least, and the most words that places settled as one may span.
+PAIRS_AT_ONCE = 1024
+FEWEST_PAIRS = 16
+WIDEST = 64
 #: Items whose hashes are sent to the executors at once; a larger benchmark goes in blocks.
 ITEMS_PER_PASS = 20_000
 _PUNCTUATION = bytes(b for b in range(128) if not (48 <= b < 58 or 97 <= b < 123 or b == 32 or 9 <= b < 14))
@@ -127,6 +131,92 @@ def edit_distance(pattern: str, text: str) -> tuple[int, int]:
     return best, end
 
 
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+
+
+def edit_distances(pairs: list[tuple[str, str]]) -> list[int]:
+    """The least edit distance of each pattern to any part of its text, for ``(pattern, text)`` pairs.
+
+    Pairs with patterns of about one length are settled side by side, a few of a kind one by one.
+    """
+    found, by_blocks = [0] * len(pairs), {}
+    for i in sorted(range(len(pairs)), key=lambda i: len(pairs[i][1])):
+        by_blocks.setdefault(-(-len(pairs[i][0]) // 64), []).append(i)
+    for blocks, members in by_blocks.items():
+        for at in range(0, len(members), PAIRS_AT_ONCE):
+            part = members[at : at + PAIRS_AT_ONCE]
+            if blocks and len(part) >= FEWEST_PAIRS:
+                least = _side_by_side([pairs[i] for i in part], blocks).tolist()
+            else:
+                least = [edit_distance(*pairs[i])[0] for i in part]
+            for i, distance in zip(part, least):
+                found[i] = distance
+    return found
+
+
+def _side_by_side(pairs: list[tuple[str, str]], blocks: int) -> np.ndarray:
+    """``edit_distance`` of pairs whose patterns take ``blocks`` numbers of 64 bits each.
+
+    Arrays take the place of one long integer; a block hands the step of its last row to the next.
+    Characters past the end of a shorter text match nothing and so never lower a distance.
+    """
+    distinct = {pattern: i for i, pattern in enumerate(dict.fromkeys(pattern for pattern, _ in pairs))}
+    rows = [_codes(pattern) for pattern in distinct]
+    alphabet = np.unique(np.concatenate(rows))
+    none, one = len(alphabet), np.uint64(1)
+    match = np.zeros((blocks, len(rows), none + 1), dtype=np.uint64)
+    for i, row in enumerate(rows):
+        place = np.arange(len(row))
+        np.bitwise_or.at(match, (place // 64, i, np.searchsorted(alphabet, row)), one << (place % 64).astype(np.uint64))
+    match = match.reshape(blocks, -1)
+
+    keys = np.full((len(pairs), max(max(len(text) for _, text in pairs), 1)), none, dtype=np.int64)
+    for i, (_, text) in enumerate(pairs):
+        codes = _codes(text)
+        at = np.minimum(np.searchsorted(alphabet, codes), none - 1)
+        keys[i, : len(codes)] = np.where(alphabet[at] == codes, at, none)
+    keys += np.array([[distinct[pattern] * (none + 1)] for pattern, _ in pairs])
+
+    size = np.array([len(pattern) for pattern, _ in pairs])
+    tops = [np.uint64(63)] * (blocks - 1) + [((size - 1) % 64).astype(np.uint64)]
+    ups = np.full((blocks, len(pairs)), ~np.uint64(0))
+    downs = np.zeros_like(ups)
+    eq, xv, xh, ph, mh = (np.empty(len(pairs), dtype=np.uint64) for _ in range(5))
+    steps = np.zeros((blocks + 1, 2, len(pairs)), dtype=np.uint64)  # per block, whether its row above rises or falls
+    score, best = size.copy(), size.copy()
+    for key in np.ascontiguousarray(keys.T):
+        for b in range(blocks):
+            (rise, fall), (next_rise, next_fall), up, down = steps[b], steps[b + 1], ups[b], downs[b]
+            np.take(match[b], key, out=eq, mode="clip")
+            np.bitwise_or(eq, down, out=xv)
+            eq |= fall
+            np.bitwise_and(eq, up, out=xh)
+            xh += up
+            xh ^= up
+            xh |= eq
+            np.bitwise_or(xh, up, out=ph)
+            np.invert(ph, out=ph)
+            ph |= down
+            np.bitwise_and(up, xh, out=mh)
+            np.right_shift(ph, tops[b], out=next_rise)
+            next_rise &= one
+            np.right_shift(mh, tops[b], out=next_fall)
+            next_fall &= one
+            ph <<= one
+            ph |= rise
+            mh <<= one
+            mh |= fall
+            np.bitwise_and(ph, xv, out=down)
+            xv |= ph
+            np.invert(xv, out=up)
+            up |= mh
+        score += next_rise.view(np.int64)
+        score -= next_fall.view(np.int64)
+        np.minimum(best, score, out=best)
+    return best
+
+
 def _samples(words: int, count: int, rng: np.random.Generator) -> tuple[tuple[int, ...], ...]:
     """Steps at which nearly all walks are still inside the first ``words`` words."""
     mean = 2 * (words - 1)
@@ -231,14 +321,24 @@ class Index:
         """
         best: dict[tuple[int, int], tuple[int, int]] = {}
         overlap = 2 * max((len(t.split(" ")) for t in self.texts), default=0) + 8
-        pending, size = [], 0
+        limits = [int((1 - similarity) * len(text) + 1e-9) for text in self.texts]
+        slack = [2 + limit // 2 for limit in limits]  # words that so many edits can shift a place by
+        pending, size, waiting = [], 0, []
 
         def settle() -> None:
             codes = ended([symbols(words) for _, _, words in pending])
             starts = np.cumsum([0] + [len(words) + 1 for _, _, words in pending])
-            for piece, item, at in sorted(self.candidates(codes, starts[:-1])):
+            for piece, item, low, high in merged(self.candidates(codes, starts[:-1]), slack):
                 doc, first, words = pending[piece]
-                self._verify(best, doc, item, first, at, words, similarity)
+                begin, near = self._near(item, low, high, words, slack[item])
+                waiting.append((doc, item, first + begin, near))
+
+        def verify() -> None:
+            distances = edit_distances([(self.texts[item], near) for _, item, _, near in waiting])
+            for (doc, item, first, near), distance in zip(waiting, distances):
+                if distance <= limits[item]:
+                    self._keep(best, doc, item, first, near, distance)
+            waiting.clear()
 
         for doc, text in enumerate(texts if self.plans else ()):
             words, first = [], 0
@@ -251,23 +351,40 @@ class Index:
                 if size > WORDS_PER_WALK:
                     settle()
                     pending, size = [], 0
+                    if len(waiting) >= 4 * PAIRS_AT_ONCE:
+                        verify()
         if pending:
             settle()
+        verify()
         return [(doc, item, at, distance) for (doc, item), (distance, at) in sorted(best.items())]
 
-    def _verify(self, best: dict, doc: int, item: int, first: int, at: int, words: list[bytes], similarity: float) -> None:
+    def _near(self, item: int, low: int, high: int, words: list[bytes], slack: int) -> tuple[int, str]:
+        """The first word and the text of the places ``low`` to ``high`` with room for edits on both sides."""
+        begin = max(low - slack, 0)
+        last = high + self.texts[item].count(" ") + 1 + slack
+        return begin, b" ".join(words[begin:last]).decode("utf-8", "replace")
+
+    def _keep(self, best: dict, doc: int, item: int, first: int, near: str, distance: int) -> None:
+        """Note the place of a match, the closest and then the first in its document."""
         pattern = self.texts[item]
-        limit = int((1 - similarity) * len(pattern) + 1e-9)
-        known = best.get((doc, item), (limit + 1, 0))
-        if at >= len(words) or known[0] == 0:
+        if (doc, item) in best and best[doc, item][0] < distance:
             return
-        slack = 2 + limit // 2
-        begin = max(at - slack, 0)
-        near = b" ".join(words[begin : at + pattern.count(" ") + 1 + slack]).decode("utf-8", "replace")
-        distance, end = edit_distance(pattern, near)
-        if distance <= limit and distance <= known[0]:
-            _, size = edit_distance(pattern[::-1], near[:end][::-1])  # back from its end, to where it starts
-            best[doc, item] = min(known, (distance, first + begin + near[: end - size].count(" ")))
+        _, end = edit_distance(pattern, near)
+        _, size = edit_distance(pattern[::-1], near[:end][::-1])  # back from its end, to where it starts
+        place = (distance, first + near[: end - size].count(" "))
+        best[doc, item] = min(best.get((doc, item), place), place)
+
+
+def merged(places: set[tuple[int, int, int]], slack: list[int]) -> list[tuple[int, int, int, int]]:
+    """``(piece, item, first, last)``: places of an item in a piece that lie within its ``slack`` of the next, as one."""
+    found: list[list[int]] = []
+    for piece, item, at in sorted(places):
+        last = found[-1] if found else None
+        if last and last[0] == piece and last[1] == item and at - last[3] <= slack[item] and at - last[2] <= WIDEST:
+            last[3] = at
+        else:
+            found.append([piece, item, at, at])
+    return [tuple(place) for place in found]
 
 
 def _finder(index: Broadcast, similarity: float):

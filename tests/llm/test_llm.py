@@ -360,6 +360,24 @@ def test_edit_distance():
         assert decontaminate.edit_distance(a, b)[0] == distance_by_hand(a, b)
 
 
+def test_edit_distances_side_by_side():
+    rng = random.Random(7)
+    pairs = [("", "abc"), ("abc", ""), ("x", "x")]
+    for size in [1, 2, 63, 64, 65, 128, 129, 300] * 30:
+        pattern = "".join(rng.choice("abcdé字") for _ in range(size))
+        copy = "".join(c for c in pattern if rng.random() < 0.8)
+        pairs.append((pattern, "".join(rng.choice("abxy字") for _ in range(rng.randrange(60))) + copy + "b"))
+    assert decontaminate.edit_distances(pairs) == [decontaminate.edit_distance(*pair)[0] for pair in pairs]
+
+
+def test_merged_places_cover_every_candidate():
+    rng = random.Random(8)
+    places = {(rng.randrange(3), rng.randrange(3), rng.randrange(400)) for _ in range(300)}
+    spans = decontaminate.merged(places, [5, 9, 30])
+    assert all(any(s[:2] == p[:2] and s[2] <= p[2] <= s[3] for s in spans) for p in places)
+    assert max(last - first for _, _, first, last in spans) <= decontaminate.WIDEST
+
+
 def test_decontamination(spark, documents, tables):
     items = tables("SELECT item_id, text FROM '@benchmark.parquet'")
     texts = [t for (t,) in tables("SELECT text FROM '@documents.parquet' WHERE doc_id % 2 = 0 ORDER BY doc_id")]
