@@ -5,11 +5,15 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import types as T
 
 from srcsieve.session import materialise
 
-#: Largest table sent to every executor; beyond it rows meet in a shuffle.
+#: Largest dimension or work list sent to every executor.
 MAX_BROADCAST_ROWS = 100_000
+#: Largest lookup table sent to every executor, by its measured bytes; beyond it rows meet in a
+#: shuffle. ``spark.srcsieve.maxBroadcastBytes`` sets it for a session with larger machines.
+MAX_BROADCAST_BYTES = 256 << 20
 #: A key with this many rows is hot. At most ``rows / HOT_KEY_ROWS`` keys can be hot, so a
 #: list of hot keys stays small enough to broadcast at any corpus size.
 HOT_KEY_ROWS = 1_000_000
@@ -25,10 +29,27 @@ def once(*scores: Column) -> Column:
     return F.inline(F.array(F.struct(*scores)))
 
 
-def small_table(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``table``, written once and marked for broadcast if its row count allows it."""
+def table_bytes(table: DataFrame) -> int:
+    """About what the rows of ``table`` take in a hash table: measured texts, fixed widths, an entry per row."""
+    width = F.lit(32)
+    for field in table.schema:
+        fixed = isinstance(field.dataType, (T.NumericType, T.BooleanType, T.DatetimeType))
+        size = F.lit(8) if fixed else F.coalesce(F.octet_length(F.col(field.name).cast("string")), F.lit(0)) + 16
+        width = width + size
+    return table.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()[0]
+
+
+def fits_broadcast(table: DataFrame, max_bytes: int | None = None) -> bool:
+    """Whether the bytes of ``table`` allow a broadcast; one narrow job measures them."""
+    if max_bytes is None:
+        max_bytes = int(table.sparkSession.conf.get("spark.srcsieve.maxBroadcastBytes", str(MAX_BROADCAST_BYTES)))
+    return table_bytes(table) <= max_bytes
+
+
+def small_table(table: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """``table``, written once and marked for broadcast if its bytes allow it."""
     table = materialise(table, "lookup")
-    return F.broadcast(table) if table.count() <= max_rows else table
+    return F.broadcast(table) if fits_broadcast(table, max_bytes) else table
 
 
 def dimension(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -47,7 +68,7 @@ def lookup_join(
     table: DataFrame,
     on: list[str],
     how: str = "inner",
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int | None = None,
     hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Join wide ``rows`` with ``table``, which has one row per ``on`` key.
@@ -57,7 +78,7 @@ def lookup_join(
     with a null key match nothing and stay where they are.
     """
     table = materialise(table, "lookup")
-    if table.count() <= max_broadcast_rows:
+    if fits_broadcast(table, max_broadcast_bytes):
         return rows.join(F.broadcast(table), on, how)
     keyed = rows.dropna(subset=on)
     hot = materialise(
@@ -95,10 +116,20 @@ def attach_group(
     return shuffled.unionByName(in_place)
 
 
-def drop_ids(rows: DataFrame, removed: DataFrame, id_col: str, max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """``rows`` without the ids in ``removed``. Ids are unique, so no key is hot."""
-    listed = removed.select(id_col)
-    return rows.join(small_table(listed, max_broadcast_rows), id_col, "left_anti")
+def drop_ids(rows: DataFrame, removed: DataFrame, id_col: str, max_broadcast_bytes: int | None = None) -> DataFrame:
+    """``rows`` without the ids in ``removed``. Ids are unique, so no key is hot.
+
+    Ids are compared by a 128-bit digest, which takes a fifth of a long id's bytes: four million
+    fit the default broadcast, and the rows stay in place. Null ids stay.
+    """
+    listed = removed.select(_id_digest(removed[id_col]).alias("_gone"))
+    return rows.join(
+        small_table(listed, max_broadcast_bytes), _id_digest(rows[id_col]) == F.col("_gone"), "left_anti"
+    )
+
+
+def _id_digest(id_column: Column) -> Column:
+    return F.unhex(F.md5(id_column.cast("string").cast("binary")))
 
 
 def spread(df: DataFrame, key: str) -> DataFrame:

@@ -178,8 +178,9 @@ def filter_with_fallback(
     if not scope:
         scored = score_quality(df, tokenizer=tokenizer)
     else:
-        # Only records that reach the HTML step can make it fail.
-        failed = score_markup(df).where(skipped).select(*scope).distinct().withColumn("_file_failed", F.lit(True))
+        # Only HTML with such a section can make a file fail, so the first pass scores no other record.
+        doubtful = df.where(_language_is("html") & X.has_unknown_section("text"))
+        failed = score_markup(doubtful).where(skipped).select(*scope).distinct().withColumn("_file_failed", F.lit(True))
         skipped = F.coalesce("_file_failed", F.lit(False))
         marked = score_markup(lookup_join(df, failed, list(scope), "left"))
         scored = score_tokens(marked, F.col("html_ok") | (F.col("xml_ok") & skipped), tokenizer)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from codecs import getincrementaldecoder
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
@@ -135,6 +136,59 @@ def read_source_tree(repos: DataFrame, root: str) -> DataFrame:
     return read_file_contents(list_source_files(repos, root), root)
 
 
+_JAPANESE = "のにはをたがでてとしれさいるもなかスンルトーリア。、"
+#: Encodings tried on bytes that come in runs above 127, each with common characters of its texts.
+ENCODINGS = {
+    "shift_jis": _JAPANESE,
+    "euc_jp": _JAPANESE,
+    "gb18030": "的一是不了在有人我他这为之大来以个中上们用到说和地要，。",
+    "big5": "的一是不了在有人我他這為之大來以個中上們用到說和地要，。",
+    "euc_kr": "이다는을의에고하가지로한기사도를리어자은인서스",
+    "cp1251": "оеаинтсрвлкмдпу",
+    "koi8-r": "оеаинтсрвлкмдпу",
+    "cp866": "оеаинтсрвлкмдпу",
+}
+#: Least share of those characters among all beyond ASCII; far more by chance where one byte is a character.
+MIN_COMMON, MIN_COMMON_SINGLE = 0.1, 0.5
+SINGLE_BYTE = ("cp1251", "koi8-r", "cp866")
+
+
+def _unmarked_utf16(head: bytes) -> str | None:
+    """UTF-16 without a mark, if every other byte is mostly zero and few of the others are."""
+    pairs = len(head) // 2
+    if pairs < 2:
+        return None
+    first, second = head[0 : 2 * pairs : 2].count(0) / pairs, head[1 : 2 * pairs : 2].count(0) / pairs
+    if max(first, second) < 0.5 or min(first, second) > 0.1:
+        return None
+    return "utf-16-be" if first > second else "utf-16-le"
+
+
+def _guess_encoding(head: bytes) -> str:
+    """The encoding of bytes that are not UTF-8.
+
+    Letters beyond ASCII stand alone in western texts and in runs in others. A text of the second kind
+    has the encoding under which most of its characters are common ones.
+    """
+    high = [byte >= 0x80 for byte in head]
+    in_runs = sum(a and (b or c) for a, b, c in zip(high, [False, *high], [*high[1:], False]))
+    if 2 * in_runs >= sum(high):
+        shares = {}
+        for encoding, common in ENCODINGS.items():
+            try:
+                text = getincrementaldecoder(encoding)().decode(head)  # a character cut by the end is no error
+            except UnicodeDecodeError:
+                continue
+            others = [char for char in text if char > "\x7f"]
+            shares[encoding] = sum(char in common for char in others) / max(len(others), 1)
+        single = {encoding: shares.pop(encoding) for encoding in SINGLE_BYTE if encoding in shares}
+        for group, least in ((shares, MIN_COMMON), (single, MIN_COMMON_SINGLE)):
+            best = max(group, key=group.get, default=None)
+            if best and group[best] >= least:
+                return best
+    return "cp1252" if any(0x80 <= byte < 0xA0 for byte in head) else "latin-1"
+
+
 def _decode(raw: bytes, head_only_ascii: bool) -> str:
     """Text of bytes that are not plain UTF-8; undecodable bytes are dropped."""
     marks = (
@@ -145,6 +199,9 @@ def _decode(raw: bytes, head_only_ascii: bool) -> str:
         if raw.startswith(mark):
             return raw.decode(encoding, errors="ignore")
     head = raw[:SNIFF_BYTES]
+    unmarked = _unmarked_utf16(head)
+    if unmarked:
+        return raw.decode(unmarked, errors="ignore")
     if head_only_ascii and head.isascii():
         return raw.decode("ascii", errors="ignore")
     try:
@@ -153,8 +210,7 @@ def _decode(raw: bytes, head_only_ascii: bool) -> str:
     except UnicodeDecodeError as error:
         if error.start >= len(head) - 3 and len(raw) > len(head):  # a character cut by the head's end
             return raw.decode("utf-8", errors="ignore")
-    western = "cp1252" if any(0x80 <= byte < 0xA0 for byte in head) else "latin-1"
-    return raw.decode(western, errors="ignore")
+    return raw.decode(_guess_encoding(head), errors="ignore")
 
 
 def _decoder(head_only_ascii: bool):
@@ -169,13 +225,14 @@ def _decoder(head_only_ascii: bool):
 def decode_text(df: DataFrame, content: str = "content", text: str = "text", ascii_head: str = "keep") -> DataFrame:
     """Replace ``content`` bytes by ``text``.
 
-    Valid UTF-8 without a byte-order mark is cast in the JVM; only other files reach
-    Python. The encoding is guessed from the first 2,048 bytes and defaults to UTF-8.
+    Valid UTF-8 without a byte-order mark or a zero byte is cast in the JVM; only other files
+    reach Python. The encoding is guessed from the first 2,048 bytes and defaults to UTF-8.
     ``ascii_head="drop"`` treats a file whose first 2,048 bytes are ASCII as ASCII
     throughout, which loses later letters; ``"keep"`` reads it as UTF-8.
     """
     raw = F.col(content)
     plain: Column = F.is_valid_utf8(raw.cast("string")) & ~F.startswith(raw, F.lit(b"\xef\xbb\xbf"))
+    plain = plain & ~F.contains(raw, F.lit(b"\x00"))  # perhaps UTF-16 without a mark
     if ascii_head == "drop":
         head = F.substring(raw, 1, SNIFF_BYTES)
         plain = plain & ((F.length(head.cast("string")) < F.octet_length(head)) | (F.length(raw.cast("string")) == F.octet_length(raw)))

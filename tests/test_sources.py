@@ -124,6 +124,27 @@ def test_decode(spark):
     assert got == {0: "a" * 2048 + "z", 1: "é" + head.decode()}
 
 
+def test_decode_guesses_unmarked_encodings(spark):
+    lines = {
+        "shift_jis": "# この関数は配列の合計を計算して結果を返します。\nx = 1\n",
+        "euc_jp": "# ファイルを開いて、データを読み込む\nprint(a)\n",
+        "gb18030": "// 这个函数用来计算数组中的所有元素的和\nint a;\n",
+        "big5": "// 這個函數是用來計算陣列中的所有元素的和\nint a;\n",
+        "euc_kr": "# 이 함수는 배열의 합계를 계산하고 결과를 반환한다\n",
+        "cp1251": "// Функция возвращает сумму элементов массива\n",
+        "koi8-r": "// Функция возвращает сумму элементов массива\n",
+        "cp866": "// Функция возвращает сумму элементов массива\n",
+        "utf-16-le": "int main() { return 0; } // é\n",
+        "utf-16-be": "int main() { return 0; } // é\n",
+        "cp1252": "# Müller’s “Größe” … «été»\n",
+        "latin-1": "# coût élevé, où ça? Ünïcödé naïveté\n",
+    }
+    df = spark.createDataFrame([(k, t.encode(k)) for k, t in lines.items()], "id string, content binary")
+    assert {r.id: r.text for r in decode_text(df).collect()} == lines
+    binary = spark.createDataFrame([(0, b"a\x00b"), (1, b"\x00"), (2, "é\x00".encode())], "id int, content binary")
+    assert {r.id: r.text for r in decode_text(binary).collect()} == {0: "a\x00b", 1: "\x00", 2: "é\x00"}
+
+
 def test_records_round_trip(spark, tmp_path):
     path = str(tmp_path / "out")
     rows = [("o/a", None, 1, 2, 3, "R", "mit", "a.R", "é ☃\n", m, b) for m in ("january", "may") for b in (0, 1)]
