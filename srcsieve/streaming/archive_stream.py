@@ -12,8 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from srcsieve.operators.joins import lookup_join
+from srcsieve.operators.joins import fits_broadcast, lookup_join
 from srcsieve.schema import ARCHIVE_EVENT, JSON_OPTIONS
+from srcsieve.session import materialise
 from srcsieve.sources.archive import named_events
 
 
@@ -70,6 +71,12 @@ def merge_latest(changes: DataFrame) -> DataFrame:
     return changes.groupBy("repo_name").agg(F.max("created_at").alias("created_at"))
 
 
+def met_again(seen: DataFrame, arrived: DataFrame) -> DataFrame:
+    """The rows of ``seen`` that a micro-batch brings again; a micro-batch that fits is broadcast, so the
+    years of ``seen`` are scanned but not shuffled."""
+    return seen.join(F.broadcast(arrived) if fits_broadcast(arrived) else arrived, arrived.columns, "left_semi")
+
+
 def stream_new_repos(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Emit each repository once, for as long as the table at ``path`` is kept.
 
@@ -83,8 +90,9 @@ def stream_new_repos(events: DataFrame, path: str, checkpoint: str) -> Streaming
         names = batch.select("repo_name").distinct()
         if number == 0:
             return names
+        names = materialise(names, "arrived")
         seen = read_batches(spark, path, key).where(F.col("batch") < number).select("repo_name")
-        return names.join(seen, "repo_name", "left_anti")
+        return names.join(met_again(seen, names), "repo_name", "left_anti")
 
     return write_batches(events, path, checkpoint, "append", unseen)
 
@@ -130,7 +138,9 @@ def stream_curate_to_table(
         batch.select(*keys).distinct().write.mode("overwrite").parquet(f"{path}/_seen/batch={number}")
         if number == 0:
             return curate(batch)
-        seen = read_batches(spark, f"{path}/_seen", key).where(F.col("batch") < number).drop("batch").distinct()
+        known = read_batches(spark, f"{path}/_seen", key)
+        arrived = known.where(F.col("batch") == number).drop("batch")
+        seen = met_again(known.where(F.col("batch") < number).drop("batch"), arrived).distinct()
         rows = lookup_join(batch.select("*", *keys), seen, key.fieldNames(), "left_anti")
         return curate(rows.select(*batch.columns))
 
