@@ -34,11 +34,24 @@ RECALL = 0.99
 #: Share of an item's words that are edited in the trials that set the number of samples.
 DESIGN_EDITS = 0.4
 SAMPLED_STEPS = 5
-#: Words whose steps are sampled; longer items are embedded by their first words.
+#: Steps for items of fewer than ``MANY_WORDS`` words, which have few windows.
+SHORT_STEPS = 4
+MANY_WORDS = 25
+#: Words whose steps are sampled; a longer item is embedded from each of its words, a shorter one looked up by its characters.
 LONGEST_WALK = 16
+#: Samples of one walk. Those of one walk fail together where an edit throws it out of step, those of several do not.
+SAMPLES_PER_WALK = 8
+#: Samples after which a length class is looked up by its characters instead.
+MOST_SAMPLES = 256
+#: Edited copies on which the number of samples is set, of all items and of a length class at least.
+MOST_TRIALS = 20_000
+CLASS_TRIALS = 1600
 #: Words walked together, so that pointers and symbols stay in cache.
 WORDS_PER_WALK = 1 << 17
 TABLE_BITS = 18
+#: Characters of a segment that is looked up at least.
+SEGMENT = 40
+GRAM_BITS = 16
 #: Candidates settled side by side at most and at least, and the most words that places settled as one may span.
 PAIRS_AT_ONCE = 1024
 FEWEST_PAIRS = 16
@@ -60,9 +73,9 @@ def symbols(words: list[bytes]) -> np.ndarray:
 
 @dataclass(frozen=True)
 class Plan:
-    """Samples of walk steps for items of at least ``words`` words, up to the next plan's."""
+    """One walk, by the seed of its random bits, and the samples of its steps."""
 
-    words: int
+    seed: int
     samples: tuple[tuple[int, ...], ...]
 
 
@@ -71,21 +84,20 @@ def multipliers(steps: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 1 << 31, steps, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
-def walk_hashes(plans: list[Plan], seed: int, codes: np.ndarray) -> list[np.ndarray]:
-    """Per plan, a 64-bit hash for each sample and each place of ``codes`` at which a walk starts.
+def walk_hashes(plan: Plan, codes: np.ndarray) -> np.ndarray:
+    """A 64-bit hash for each sample and each place of ``codes`` at which a walk starts.
 
     All walks take their steps together. Symbol 0 ends a text: it never moves a pointer.
     """
-    found = [np.zeros((len(plan.samples), len(codes)), dtype=np.uint64) for plan in plans]
+    rows = np.zeros((len(plan.samples), len(codes)), dtype=np.uint64)
     by_step: dict[int, list[np.ndarray]] = {}
-    for rows, plan in zip(found, plans):
-        for row, sample in zip(rows, plan.samples):
-            for step in sample:
-                by_step.setdefault(step, []).append(row)
+    for row, sample in zip(rows, plan.samples):
+        for step in sample:
+            by_step.setdefault(step, []).append(row)
     last = max(by_step)
     at = np.arange(len(codes), dtype=np.int32)
     here, moved = np.empty_like(codes), np.empty_like(codes)
-    for step, multiplier in enumerate(multipliers(last + 1, seed)):
+    for step, multiplier in enumerate(multipliers(last + 1, plan.seed)):
         np.take(codes, at, out=here, mode="clip")
         for row in by_step.get(step, ()):
             row *= _GOLDEN
@@ -94,9 +106,8 @@ def walk_hashes(plans: list[Plan], seed: int, codes: np.ndarray) -> list[np.ndar
             np.multiply(here, multiplier, out=moved)
             moved >>= np.uint32(31)
             at += moved.view(np.int32)
-    for rows in found:
-        rows *= _GOLDEN
-    return found
+    rows *= _GOLDEN
+    return rows
 
 
 def ended(codes: list[np.ndarray]) -> np.ndarray:
@@ -217,92 +228,203 @@ def _side_by_side(pairs: list[tuple[str, str]], blocks: int) -> np.ndarray:
     return best
 
 
-def _samples(words: int, count: int, rng: np.random.Generator) -> tuple[tuple[int, ...], ...]:
-    """Steps at which nearly all walks are still inside the first ``words`` words."""
-    mean = 2 * (words - 1)
-    steps = max(int(mean - 2 * mean**0.5), min(words, SAMPLED_STEPS))
-    return tuple(
-        tuple(sorted(rng.choice(steps, min(SAMPLED_STEPS, steps), replace=False).tolist())) for _ in range(count)
-    )
+def walk_plan(seed: int, sampled: int) -> Plan:
+    """A walk with samples of ``sampled`` of the steps at which nearly all walks are still inside the first ``LONGEST_WALK`` words."""
+    mean = 2 * (LONGEST_WALK - 1)
+    steps = int(mean - 2 * mean**0.5)
+    rng = np.random.default_rng(seed)
+    return Plan(seed, tuple(
+        tuple(sorted(rng.choice(steps, sampled, replace=False).tolist())) for _ in range(SAMPLES_PER_WALK)
+    ))
+
+
+def _edited(codes: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """A copy with ``DESIGN_EDITS`` of its words edited: one word replaced, dropped or put in per edit."""
+    changed = codes.tolist()
+    for _ in range(max(1, round(DESIGN_EDITS * len(codes)))):
+        at, kind = int(rng.integers(len(changed))), int(rng.integers(3))
+        if kind == 0:
+            changed[at] = int(rng.integers(1, 1 << 32))
+        elif kind == 1 and len(changed) > 1:
+            del changed[at]
+        else:
+            changed.insert(at, int(rng.integers(1, 1 << 32)))
+    return np.array(changed, dtype=np.uint32)
+
+
+def _hits(plan: Plan, items: list[np.ndarray], copies: list[np.ndarray], of: np.ndarray) -> np.ndarray:
+    """Per sample and copy, whether the copy of item ``of`` shares a hash with one of its whole windows."""
+    own, other = walk_hashes(plan, ended(items)), walk_hashes(plan, ended(copies))
+    sizes = np.array([len(c) + 1 for c in items])
+    item = np.repeat(np.arange(len(items)), sizes)
+    place = np.arange(len(item)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    whole = place < np.repeat(sizes - LONGEST_WALK, sizes)
+    lengths = np.array([len(c) + 1 for c in copies])
+    owner, first = np.repeat(of, lengths), np.cumsum(lengths) - lengths
+    mark = lambda rows, i: rows ^ (i.astype(np.uint64) * _GOLDEN)
+    return np.array([
+        np.logical_or.reduceat(np.isin(mark(b, owner), mark(a[whole], item[whole])), first) for a, b in zip(own, other)
+    ])
+
 
+def _length_class(n_words: int) -> int:
+    return int(log(n_words / LONGEST_WALK, 1.25) + 1e-9)
 
-def _hit_rate(items: list[np.ndarray], words: int, seed: int) -> float:
-    """How often one sample of an item meets, at some word, that of a copy with ``DESIGN_EDITS`` of its words edited.
 
-    Measured on at most 64 items with one word replaced, dropped or put in per edit.
+def make_plans(items: list[np.ndarray], recall: float, seed: int) -> tuple[list[Plan], list[list[list[int]]], list[int]]:
+    """Walks, the items that need each sample of each walk, and the items to look up by their characters.
+
+    Trials are edited copies of every item. A length class takes samples until those of its items
+    that half of the trials show to be the worst quarter are found in ``recall`` of the other half.
+    Items shorter than a walk, and classes that ``MOST_SAMPLES`` do not suffice for, are looked up.
     """
-    rng = np.random.default_rng(seed)
-    plan, rates = Plan(words, _samples(words, 64, rng)), []
-    for codes in items[:64]:
-        whole = len(codes) - words + 1
-        changed = codes.tolist()
-        for _ in range(max(1, round(DESIGN_EDITS * len(codes)))):
-            at, kind = int(rng.integers(len(changed))), int(rng.integers(3))
-            if kind == 0:
-                changed[at] = int(rng.integers(1 << 32))
-            elif kind == 1 and len(changed) > 1:
-                del changed[at]
-            else:
-                changed.insert(at, int(rng.integers(1 << 32)))
-        own, other = (walk_hashes([plan], seed, ended([np.array(c, dtype=np.uint32)]))[0] for c in (codes, changed))
-        rates.append(float(np.mean([np.isin(a[:whole], b).any() for a, b in zip(own, other)])))
-    return float(np.mean(rates))
+    by_class: dict[tuple[int, int], list[int]] = {}
+    for i, codes in enumerate(items):
+        if len(codes) >= LONGEST_WALK:
+            steps = SHORT_STEPS if len(codes) < MANY_WORDS else SAMPLED_STEPS
+            by_class.setdefault((steps, _length_class(len(codes))), []).append(i)
+    plans, wanted, rng = [], [], np.random.default_rng(seed)
+    looked_up = [i for i, codes in enumerate(items) if len(codes) < LONGEST_WALK]
+    for steps in (SHORT_STEPS, SAMPLED_STEPS):
+        walks, users = [walk_plan(seed + i, steps) for i in range(MOST_SAMPLES // SAMPLES_PER_WALK)], {}
+        for members in (m for (s, _), m in sorted(by_class.items()) if s == steps):
+            need = _samples_needed([items[i] for i in members], len(items), walks, recall, rng)
+            if need is None:
+                looked_up += members
+            for number in range(need or 0):
+                users.setdefault(number, []).extend(members)
+        for at in range(0, len(users), SAMPLES_PER_WALK):
+            walk, some = walks[at // SAMPLES_PER_WALK], [users[n] for n in range(at, min(at + SAMPLES_PER_WALK, len(users)))]
+            plans.append(Plan(walk.seed, walk.samples[: len(some)]))
+            wanted.append(some)
+    return plans, wanted, sorted(looked_up)
+
+
+def _samples_needed(
+    items: list[np.ndarray], n_all: int, walks: list[Plan], recall: float, rng: np.random.Generator
+) -> int | None:
+    """How many samples of ``walks`` find the worst of ``items`` often enough; None if all do not."""
+    each = 2 * max(MOST_TRIALS // (2 * n_all), -(-CLASS_TRIALS // (2 * len(items))), 4)
+    copies = [_edited(codes, rng) for codes in items for _ in range(each)]
+    met, number = np.zeros((len(items), each), dtype=bool), 0
+    for walk in walks:
+        for row in _hits(walk, items, copies, np.repeat(np.arange(len(items)), each)):
+            met |= row.reshape(met.shape)
+            number += 1
+            worst = np.argsort(met[:, ::2].mean(axis=1), kind="stable")[: -(-len(items) // 4)]
+            if met[worst, 1::2].mean() >= recall:
+                return number
+    return None
 
 
-def _class(n_words: int) -> int:
-    """The size class of an item: the power of two at or below its words, ``LONGEST_WALK`` at most."""
-    return min(1 << (n_words.bit_length() - 1), LONGEST_WALK)
+@dataclass
+class Segment:
+    """``size`` characters of an item from ``offset`` on; a place with at most ``errors`` edits shares ``least`` n-grams or more."""
+
+    item: int
+    offset: int
+    size: int
+    errors: int
+    gram: int
+    least: int
+
+
+def segments(item: int, n_chars: int, limit: int) -> list[Segment]:
+    """Segments of which each place of the item within ``limit`` edits holds one within its ``errors``."""
+    parts, found = max(n_chars // SEGMENT, 1), []
+    errors = limit // parts
+    for i in range(parts):
+        low, high = n_chars * i // parts, n_chars * (i + 1) // parts
+        shared = {gram: high - low + 1 - gram * (errors + 1) for gram in (4, 3, 2, 1)}
+        gram = next(g for g, enough in ((4, 8), (3, 3), (2, 1), (1, 1)) if shared[g] >= enough)
+        found.append(Segment(item, low, high - low, errors, gram, shared[gram]))
+    return found
 
 
-def make_plans(items: list[np.ndarray], recall: float, seed: int) -> list[Plan]:
-    """A plan per size class, with as many samples as reach ``recall`` at the measured hit rate."""
-    by_class: dict[int, list[np.ndarray]] = {}
-    for codes in items:
-        by_class.setdefault(_class(len(codes)), []).append(codes)
-    plans = []
-    for words, members in sorted(by_class.items()):
-        rate = min(max(_hit_rate(members, words, seed), 0.05), 0.999)
-        count = max(ceil(log(1 - recall) / log(1 - rate)), 1)
-        plans.append(Plan(words, _samples(words, count, np.random.default_rng(seed + words))))
-    return plans
+def gram_keys(codes: np.ndarray, gram: int) -> np.ndarray:
+    """A key for the n-gram at each place."""
+    size = max(len(codes) - gram + 1, 0)
+    keys = np.zeros(size, dtype=np.uint32)
+    for i in range(gram):
+        keys *= np.uint32(0x01000193)
+        keys += codes[i : i + size]
+    keys *= np.uint32(0x9E3779B1)
+    keys >>= np.uint32(32 - GRAM_BITS)
+    return keys
+
+
+@dataclass
+class Lookup:
+    """Items found by their characters, without a miss: by the n-grams that so few edits must leave."""
+
+    tables: list[tuple[Segment, np.ndarray]]
+
+    @classmethod
+    def build(cls, items: list[tuple[int, str, int]]) -> Lookup:
+        tables = []
+        for item, text, limit in items:
+            for segment in segments(item, len(text), limit):
+                held = np.zeros(1 << GRAM_BITS, dtype=np.int32)
+                held[gram_keys(_codes(text[segment.offset : segment.offset + segment.size]), segment.gram)] = 1
+                tables.append((segment, held))
+        return cls(tables)
+
+    def places(self, codes: np.ndarray) -> Iterator[tuple[Segment, int, int]]:
+        """Each segment with the first and last character (exclusive) of where it may stand."""
+        keys = {gram: gram_keys(codes, gram) for gram in {segment.gram for segment, _ in self.tables}}
+        for segment, held in self.tables:
+            wide = segment.size + segment.errors
+            total = np.cumsum(held[keys[segment.gram]], dtype=np.int32)
+            if not len(total):
+                continue
+            # Windows end at every n-gram; one that the text begins or ends in is cut off there.
+            back = wide - segment.gram + 1
+            total[back:] -= total[:-back].copy()
+            enough = np.concatenate([[False], total >= segment.least, [False]])
+            turns = np.flatnonzero(enough[1:] != enough[:-1])
+            for first, end in zip(turns[::2].tolist(), turns[1::2].tolist()):
+                yield segment, first + segment.gram - wide, end - 1 + segment.gram
 
 
 @dataclass
 class Index:
-    """Items with their hashes, sorted per plan and sample, and a bit table that rules out most windows."""
+    """Items with their hashes, sorted per plan and sample, and a bit table that rules out most windows.
+
+    Items that samples do not find often enough are looked up by their characters.
+    """
 
     ids: list
     texts: list[str]
     plans: list[Plan]
     tables: list[list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]]
-    seed: int
+    by_chars: list[int]
 
     @classmethod
     def build(cls, items: list[tuple], recall: float, seed: int) -> Index:
         split = [(item, words) for item, words in ((item, words_of(text)) for item, text in items) if words]
         codes = [symbols(words) for _, words in split]
-        plans, tables = make_plans(codes, recall, seed), []
-        if plans:
-            starts = np.cumsum([0] + [len(c) + 1 for c in codes[:-1]])
-            for plan, hashes in zip(plans, walk_hashes(plans, seed, ended(codes))):
-                own = [(i, o) for i, c in enumerate(codes) if _class(len(c)) == plan.words
-                       for o in range(len(c) - plan.words + 1)]
+        codes = [symbols(words) for _, words in split]
+        plans, wanted, looked_up = make_plans(codes, recall, seed)
+        tables, starts = [], np.cumsum([0] + [len(c) + 1 for c in codes[:-1]])
+        for plan, users in zip(plans, wanted):
+            table = []
+            for row, members in zip(walk_hashes(plan, ended(codes)), users):
+                own = [(i, o) for i in members for o in range(len(codes[i]) - LONGEST_WALK + 1)]
                 item, offset = np.array(own, dtype=np.int64).T
-                table = []
-                for row in hashes[:, starts[item] + offset]:
-                    order = np.argsort(row, kind="stable")
-                    maybe = np.zeros(1 << TABLE_BITS, dtype=bool)
-                    maybe[row >> np.uint64(64 - TABLE_BITS)] = True
-                    table.append((row[order], item[order], offset[order], maybe))
-                tables.append(table)
+                keys = row[starts[item] + offset]
+                order = np.argsort(keys, kind="stable")
+                maybe = np.zeros(1 << TABLE_BITS, dtype=bool)
+                maybe[keys >> np.uint64(64 - TABLE_BITS)] = True
+                table.append((keys[order], item[order], offset[order], maybe))
+            tables.append(table)
         joined = [b" ".join(words).decode("utf-8", "replace") for _, words in split]
-        return cls([item for item, _ in split], joined, plans, tables, seed)
+        return cls([item for item, _ in split], joined, plans, tables, looked_up)
 
     def candidates(self, codes: np.ndarray, starts: np.ndarray) -> set[tuple[int, int, int]]:
         """``(piece, item, first word)`` of every item that shares a hash with a window of a piece."""
         shift, found = np.uint64(64 - TABLE_BITS), set()
-        for table, hashes in zip(self.tables, walk_hashes(self.plans, self.seed, codes)):
-            for row, (keys, items, offsets, maybe) in zip(hashes, table):
+        for table, plan in zip(self.tables, self.plans):
+            for row, (keys, items, offsets, maybe) in zip(walk_hashes(plan, codes), table):
                 places = np.flatnonzero(maybe[row >> shift])
                 low, high = np.searchsorted(keys, row[places], "left"), np.searchsorted(keys, row[places], "right")
                 times = high - low
@@ -320,9 +442,11 @@ class Index:
         than the longest item.
         """
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        overlap = 2 * max((len(t.split(" ")) for t in self.texts), default=0) + 8
         limits = [int((1 - similarity) * len(text) + 1e-9) for text in self.texts]
+        sizes = [len(text.split(" ")) for text in self.texts]
+        overlap = max((max(2 * size, size + limit) for size, limit in zip(sizes, limits)), default=0) + 8
         slack = [2 + limit // 2 for limit in limits]  # words that so many edits can shift a place by
+        lookup = Lookup.build([(item, self.texts[item], limits[item]) for item in self.by_chars])
         pending, size, waiting = [], 0, []
 
         def settle() -> None:
@@ -332,6 +456,13 @@ class Index:
                 doc, first, words = pending[piece]
                 begin, near = self._near(item, low, high, words, slack[item])
                 waiting.append((doc, item, first + begin, near))
+                if len(waiting) >= 4 * PAIRS_AT_ONCE:
+                    verify()
+            if lookup.tables:
+                for piece, item, begin, near in self._spotted(lookup, limits, [words for _, _, words in pending]):
+                    waiting.append((pending[piece][0], item, pending[piece][1] + begin, near))
+                    if len(waiting) >= 4 * PAIRS_AT_ONCE:
+                        verify()
 
         def verify() -> None:
             distances = edit_distances([(self.texts[item], near) for _, item, _, near in waiting])
@@ -340,7 +471,7 @@ class Index:
                     self._keep(best, doc, item, first, near, distance)
             waiting.clear()
 
-        for doc, text in enumerate(texts if self.plans else ()):
+        for doc, text in enumerate(texts if self.texts else ()):
             words, first = [], 0
             for block in word_blocks(text.encode("utf-8", "surrogatepass").translate(LOWER)):
                 kept = words[-overlap:]
@@ -351,8 +482,6 @@ class Index:
                 if size > WORDS_PER_WALK:
                     settle()
                     pending, size = [], 0
-                    if len(waiting) >= 4 * PAIRS_AT_ONCE:
-                        verify()
         if pending:
             settle()
         verify()
@@ -364,6 +493,37 @@ class Index:
         last = high + self.texts[item].count(" ") + 1 + slack
         return begin, b" ".join(words[begin:last]).decode("utf-8", "replace")
 
+    def _spotted(
+        self, lookup: Lookup, limits: list[int], pieces: list[list[bytes]]
+    ) -> Iterator[tuple[int, int, int, str]]:
+        """``(piece, item, first word, text)`` of every place that may hold an item of ``lookup``."""
+        whole = [b" ".join(words).decode("utf-8", "replace") for words in pieces]
+        text = "\n".join(whole)
+        codes = _codes(text)
+        bounds = np.cumsum([0] + [len(part) + 1 for part in whole])
+        spaces = np.flatnonzero(codes == 32)
+        regions: dict[int, list[list[int]]] = {}
+        for segment, low, high in lookup.places(codes):
+            item, size = segment.item, len(self.texts[segment.item])
+            low -= segment.offset + limits[item]
+            high += size - segment.offset - segment.size + limits[item]
+            regions.setdefault(item, []).append([max(low, 0), min(high, len(text))])
+        for item, own in regions.items():
+            widest, joined = 4 * len(self.texts[item]), []
+            for low, high in sorted(own):
+                if joined and low <= joined[-1][1] and high - joined[-1][0] <= widest:
+                    joined[-1][1] = max(joined[-1][1], high)
+                else:
+                    joined.append([low, high])
+            joined = [cut for low, high in joined for cut in _overlapping(low, high, widest, widest // 2)]
+            for low, high in joined:
+                for piece in range(*np.searchsorted(bounds, [low, high - 1], "right") - [1, 0]):
+                    start, end = bounds[piece], bounds[piece + 1] - 1
+                    begin = text.rfind(" ", start, max(low, start)) + 1 or start
+                    last = text.find(" ", min(high, end), end)
+                    first = np.searchsorted(spaces, [start, begin])
+                    yield piece, item, int(first[1] - first[0]), text[begin : end if last < 0 else last]
+
     def _keep(self, best: dict, doc: int, item: int, first: int, near: str, distance: int) -> None:
         """Note the place of a match, the closest and then the first in its document."""
         pattern = self.texts[item]
@@ -375,6 +535,13 @@ class Index:
         best[doc, item] = min(best.get((doc, item), place), place)
 
 
+def _overlapping(low: int, high: int, size: int, overlap: int) -> list[tuple[int, int]]:
+    """``low`` to ``high`` in parts of at most ``size`` that overlap by ``overlap``."""
+    if high - low <= size:
+        return [(low, high)]
+    return [(at, min(at + size, high)) for at in range(low, high - overlap, size - overlap)]
+
+
 def merged(places: set[tuple[int, int, int]], slack: list[int]) -> list[tuple[int, int, int, int]]:
     """``(piece, item, first, last)``: places of an item in a piece that lie within its ``slack`` of the next, as one."""
     found: list[list[int]] = []

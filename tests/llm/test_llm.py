@@ -411,6 +411,43 @@ def test_decontamination_of_a_long_text(monkeypatch):
     assert index.matches([text, "none", item], 0.8) == [(0, 0, 300_000, 0), (2, 0, 0, 0)]
 
 
+def test_short_items_are_found_wherever_the_edits_are():
+    rng = random.Random(5)
+    letters = lambda n: "".join(rng.choices("abcdeé", k=n))
+    items = [(i, " ".join(letters(rng.randrange(3, 8)) for _ in range(rng.randrange(1, 16)))) for i in range(40)]
+    index = decontaminate.Index.build(items, 0.99, 7)
+    texts = ["", "a"]
+    for _, item in items:
+        chars = list(item)
+        for at in rng.sample(range(len(chars)), len(chars) // 5):
+            chars[at] = rng.choice(["", "f", chars[at] + "g"])
+        edge = lambda: " ".join(letters(4) for _ in range(rng.randrange(4)))
+        texts.append(f"{edge()} {''.join(chars)} {edge()}")
+    words = [b" ".join(decontaminate.words_of(t)).decode() for t in texts]
+    want = {
+        (t, i): d for t, text in enumerate(words) for i, item in items
+        if (d := decontaminate.edit_distance(item, text)[0]) <= int(0.2 * len(item) + 1e-9)
+    }
+    assert {(t, i): d for t, i, _, d in index.matches(texts, 0.8)} == want and len(want) >= 40
+    # Every word edited, the first one too.
+    assert decontaminate.Index.build([(1, "abcde fghij klmno pqrst")], 0.99, 7).matches(["x abcdf fghik klmnp pqrsu"], 0.8)
+
+
+def test_samples_suffice_for_the_items_with_fewest_windows():
+    rng = np.random.default_rng(3)
+    items = [rng.integers(1, 1 << 32, n, dtype=np.uint32) for n in [40] * 70 + [16] * 10]
+    plans, wanted, looked_up = decontaminate.make_plans(items, 0.95, 7)
+    assert len({plan.seed for plan in plans}) > 1
+    short = [i for i in range(70, 80) if i not in looked_up]
+    copies = [decontaminate._edited(items[i], rng) for i in short for _ in range(50)]
+    met = np.zeros(len(copies), dtype=bool)
+    for plan, users in zip(plans, wanted):
+        rows = decontaminate._hits(plan, [items[i] for i in short], copies, np.repeat(np.arange(len(short)), 50))
+        for row, members in zip(rows, users):
+            met |= row & np.repeat([i in members for i in short], 50)
+    assert not short or met.mean() >= 0.93
+
+
 def test_best_fit():
     rng = random.Random(1)
     sizes = [rng.randrange(1, 40) for _ in range(500)]
