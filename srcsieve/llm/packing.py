@@ -2,8 +2,9 @@
 
 Each task tokenises its documents and packs their pieces best-fit, largest first. Bins that
 are nearly full are done. The underfull bins of several tasks then meet, as items, in one
-group of a merge tree and are packed best-fit again, until one group is left. Only the ids and
-sizes of underfull bins move.
+group of a merge tree and are packed best-fit again, until one group is left. A group is planned
+from how many of its bins have each fill, and every bin finds its sequence by its number among
+those of its fill, so no task holds the bins of a group. Only the ids and sizes of underfull bins move.
 """
 
 from __future__ import annotations
@@ -12,13 +13,14 @@ import os
 import re
 import struct
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from srcsieve.llm.common import texts
 from srcsieve.session import materialise
@@ -27,8 +29,8 @@ CAPACITY = 2048
 END_OF_DOCUMENT = 0
 #: Pieces packed together in a task, so its memory does not follow the partition.
 MAX_LOCAL_PIECES = 1 << 18
-#: Bins of a group that go on to the next round; beyond it the fullest are done as they are.
-MAX_OPEN_BINS = 50_000
+#: Parts in which the bins of one fill are numbered.
+SALTS = 1024
 #: How the byte-level alphabet writes a space.
 SPACE_TOKEN = "Ġ"
 WORDS_TOGETHER = 4096
@@ -179,23 +181,96 @@ def _local_pieces(path: str, capacity: int, with_ids: bool):
     return run
 
 
-def _merge(capacity: int, nearly_full: int, max_open: int):
+def plan_best_fit(counts: dict[int, int], capacity: int) -> list[tuple[int, int, int, int, int, int]]:
+    """Best fit of ``counts`` items per size, as ``(size, low, high, first, offset, filled)``.
+
+    Items ``low`` to ``high`` (exclusive) of a size go one each to the sequences from ``first`` on, at
+    ``offset``. ``filled`` is what those sequences hold in the end, given where ``offset`` is 0.
+    Equal sequences are kept as ranges, so the work follows the sizes and not the items.
+    """
+    placed: list[list[int]] = []
+    by_room: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]
+    rooms = opened = 0
+
+    def put(room: int, first: int, count: int) -> None:
+        nonlocal rooms
+        if count:
+            by_room[room].append((first, count))
+            rooms |= 1 << room
+
+    for size in sorted(counts, reverse=True):
+        low, left = 0, counts[size]
+        while left:
+            fitting = rooms >> size
+            if fitting:
+                room = size + (fitting & -fitting).bit_length() - 1
+                first, count = by_room[room].pop()
+                if not by_room[room]:
+                    rooms ^= 1 << room
+            else:
+                room, first, count = capacity, opened, -(-left // (capacity // size))
+                opened += count
+            each = room // size  # a sequence that still holds an item is the fullest that does
+            whole = min(count, left // each)
+            rest = left - whole * each if whole < count else 0
+            for start, some, layers in ((first, whole, each), (first + whole, 1, rest)):
+                for layer in range(layers if some else 0):
+                    placed.append([size, low, low + some, start, capacity - room + layer * size])
+                    low += some
+            put(room - each * size, first, whole)
+            if rest:
+                put(room - rest * size, first + whole, 1)
+            put(room, first + whole + (rest > 0), count - whole - (rest > 0))
+            left = counts[size] - low
+    ends = sorted((first, first + count, capacity - room) for room, own in enumerate(by_room) for first, count in own)
+    starts, plan = [first for first, _, _ in ends], []
+    for size, low, high, first, offset in placed:
+        if offset:
+            plan.append((size, low, high, first, offset, 0))
+            continue
+        at = bisect_right(starts, first) - 1
+        while low < high:
+            some = min(ends[at][1] - first, high - low)
+            plan.append((size, low, low + some, first, 0, ends[at][2]))
+            low, first, at = low + some, first + some, at + 1
+    return plan
+
+
+def _planner(capacity: int):
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["fill", "bin"], ascending=[False, True], ignore_index=True)
-        into, offset, fill = best_fit(group["fill"], capacity)
-        head: dict[int, int] = {}
-        for own, at in zip(group["bin"], into):  # a merged bin is named by its first, fullest member
-            head.setdefault(at, own)
-        group["into"] = [head[at] for at in into]
-        group["at"] = offset
-        group["filled"] = [fill[at] for at in into]
-        least = sorted(f for f in fill if f < nearly_full)[:max_open]
-        group["goes_on"] = group["filled"] <= (least[-1] if least else -1)
-        return group[["bin", "into", "at", "filled", "part", "goes_on"]]
+        plan = plan_best_fit(dict(zip(group["fill"].tolist(), group["n"].tolist())), capacity)
+        found = pd.DataFrame(plan, columns=["fill", "low", "high", "first", "at", "filled"])
+        return found.assign(part=group["part"].iloc[0])[["part", "fill", "low", "high", "first", "at", "filled"]]
 
     return run
 
 
+def _merge(bins: DataFrame, capacity: int, turn: int) -> DataFrame:
+    """``(bin, into, at, filled, part)``: where each of ``bin, fill, part`` goes. Merged bins have negative names."""
+    salted = bins.withColumn("salt", F.pmod(F.xxhash64("bin"), F.lit(SALTS)))
+    sizes = materialise(salted.groupBy("part", "fill", "salt").agg(F.count(F.lit(1)).alias("n")), "fills")
+    before = F.sum("n").over(Window.partitionBy("part", "fill").orderBy("salt")) - F.col("n")
+    plan = sizes.groupBy("part", "fill").agg(F.sum("n").alias("n")).groupBy("part").applyInPandas(
+        _planner(capacity), "part int, fill long, low long, high long, first long, at long, filled long"
+    )
+    runs = plan.groupBy("part", "fill").agg(F.collect_list(F.struct("low", "high", "first", "at", "filled")).alias("runs"))
+    # Each part of a fill gets the runs that its numbers fall into, so the join is as salted as the bins.
+    shares = sizes.withColumn("before", before).join(runs, ["part", "fill"]).select(
+        "part", "fill", "salt", "before",
+        F.filter("runs", lambda r: (r["low"] < F.col("before") + F.col("n")) & (r["high"] > F.col("before"))).alias("runs"),
+    )
+    number = F.row_number().over(Window.partitionBy("part", "fill", "salt").orderBy("bin")) - 1
+    numbered = salted.withColumn("number", number).join(shares, ["part", "fill", "salt"]).withColumn(
+        "number", F.col("number") + F.col("before")
+    )
+    own = F.filter("runs", lambda r: (r["low"] <= F.col("number")) & (F.col("number") < r["high"]))[0]
+    name = -((F.lit(turn).cast("long") * (1 << 56)) + F.col("part").cast("long") * (1 << 36)) - 1
+    return numbered.withColumn("own", own).select(
+        "bin", (name - (F.col("own.first") + F.col("number") - F.col("own.low"))).alias("into"),
+        F.col("own.at").alias("at"), F.col("own.filled").alias("filled"), "part",
+    )
+
+
 def pack_documents(
     docs: DataFrame,
     tokenizer_path: str,
@@ -205,7 +280,6 @@ def pack_documents(
     slack: int = CAPACITY // 64,
     fan_in: int = 8,
     with_ids: bool = False,
-    max_open: int = MAX_OPEN_BINS,
 ) -> DataFrame:
     """Place every document in sequences of at most ``capacity`` tokens.
 
@@ -224,15 +298,12 @@ def pack_documents(
     bins = pieces.where((F.col("offset") == 0) & (F.col("fill") < nearly_full)).select("bin", "fill", "part")
     moved = materialise(bins.select("bin", F.col("bin").alias("into"), F.lit(0).cast("long").alias("at")), "moved")
     parts = (bins.agg(F.max("part")).first()[0] or 0) + 1
-    merge = _merge(capacity, nearly_full, max_open)
+    turn = 0
     while parts > 1:
         parts = -(-parts // fan_in)
-        merged = materialise(
-            bins.withColumn("part", (F.col("part") / fan_in).cast("int"))
-            .groupBy("part")
-            .applyInPandas(merge, "bin long, into long, at long, filled long, part int, goes_on boolean"),
-            "merged",
-        )
+        turn += 1
+        merged = _merge(bins.withColumn("part", (F.col("part") / fan_in).cast("int")), capacity, turn)
+        merged = materialise(merged, "merged")
         step = merged.select(F.col("bin").alias("into"), F.col("into").alias("_into"), F.col("at").alias("_at"))
         moved = materialise(
             moved.join(step, "into", "left").select(
@@ -242,7 +313,7 @@ def pack_documents(
             ),
             "moved",
         )
-        bins = merged.where((F.col("at") == 0) & F.col("goes_on")).select("bin", F.col("filled").alias("fill"), "part")
+        bins = merged.where((F.col("at") == 0) & (F.col("filled") < nearly_full)).select(F.col("into").alias("bin"), F.col("filled").alias("fill"), "part")
     placed = pieces.join(moved, "bin", "left")
     return placed.select(
         id_col, "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else []),

@@ -464,6 +464,36 @@ def test_best_fit():
     assert len(fill) <= -(-sum(sizes) // 64) + 2
 
 
+
+def test_planned_best_fit_is_best_fit():
+    rng = random.Random(4)
+    for _ in range(40):
+        sizes = [rng.randrange(1, 65) for _ in range(rng.randrange(1, 300))]
+        filled, ends, seen = collections.defaultdict(list), {}, collections.defaultdict(set)
+        for size, low, high, first, offset, whole in packing.plan_best_fit(collections.Counter(sizes), 64):
+            seen[size] |= set(range(low, high))
+            for i in range(high - low):
+                filled[first + i].append((offset, size))
+                ends.setdefault(first + i, whole) if offset == 0 else None
+        assert {s: len(n) for s, n in seen.items()} == collections.Counter(sizes)
+        for at, items in filled.items():
+            end = 0
+            for offset, size in sorted(items):
+                assert offset == end
+                end += size
+            assert end == ends[at] <= 64
+        assert sorted(ends.values()) == sorted(packing.best_fit(sizes, 64)[2])
+
+
+def test_merging_closes_no_underfull_bin(spark):
+    bins = spark.range(120_000).selectExpr(
+        "id AS bin", "IF(id < 60000, 1500L, 500L) AS fill", "CAST(0 AS int) AS part"
+    )
+    merged = packing._merge(bins, 2048, 1)
+    rows = merged.groupBy("into").sum().selectExpr("count(*) AS n").first()
+    assert rows["n"] == 60_000 and merged.where("at = 0 AND filled <> 2000").isEmpty()
+
+
 @pytest.mark.parametrize("fan_in,parts", [(2, 7), (8, 3)])
 def test_packing_round_trip(spark, documents, sample, fan_in, parts):
     from tokenizers import Tokenizer
