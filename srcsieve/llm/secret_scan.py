@@ -62,21 +62,21 @@ RULES = (
 )
 #: A rule whose matches hold one of these strings reads only texts that hold it too.
 _MARKS = {"access": "AKIA", "private_key": "PRIVATE KEY", "web_token": "eyJ", "forge_token": "gh", "chat_token": "xox", "url_login": "://"}
-FINDINGS = "array<struct<start:int,rank:int,kind:string,end:int>>"
-LEDGER = f"blob binary, rules array<string>, findings {FINDINGS}"
+#: A finding names its rule with the version; ranks are those of the rules a run asks for.
+LEDGER = "blob binary, rules array<string>, findings array<struct<start:int,rule:string,end:int>>"
 
 
 def _scanner(rules: tuple[Rule, ...]):
-    by_name = {rule.name: (rank, rule) for rank, rule in enumerate(rules)}
-    kind = pa.list_(pa.struct([("start", pa.int32()), ("rank", pa.int32()), ("kind", pa.string()), ("end", pa.int32())]))
+    by_name = {rule.name: rule for rule in rules}
+    kind = pa.list_(pa.struct([("start", pa.int32()), ("rule", pa.string()), ("end", pa.int32())]))
 
     def scan(text: str, names: list[str]) -> list[dict]:
         found = []
         for name in names:
-            rank, rule = by_name[name]
+            rule = by_name[name]
             if _MARKS.get(rule.kind, "") in text:
-                found += [{"start": a, "rank": rank, "kind": rule.kind, "end": b} for a, b in rule.find(text)]
-        return sorted(found, key=lambda f: (f["start"], f["rank"]))
+                found += [{"start": a, "rule": name, "end": b} for a, b in rule.find(text)]
+        return found
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -96,6 +96,8 @@ def read_ledger(docs: DataFrame, ledger_path: str) -> DataFrame:
     # One row per blob and run: bounded by the rule versions there ever were.
     return (
         spark.read.schema(LEDGER).parquet(ledger_path)
+        # Parts written before findings named their rule: what has such findings is read again.
+        .where(~F.exists("findings", lambda f: f["rule"].isNull()))
         .groupBy("blob")
         .agg(F.flatten(F.collect_list("rules")).alias("rules"), F.flatten(F.collect_list("findings")).alias("findings"))
     )
@@ -132,7 +134,14 @@ def scan_secrets(
     scanned = read.mapInArrow(_scanner(rules), LEDGER).dropDuplicates(["blob"])
     scanned.write.mode("append").parquet(ledger_path)
     known = read_ledger(docs, ledger_path).select("blob", "findings")
-    asked = F.filter("findings", lambda f: f["kind"].isin([rule.kind for rule in rules]))
+    kinds = F.create_map(*[F.lit(v) for rule in rules for v in (rule.name, rule.kind)])
+    asked = F.transform(
+        F.filter("findings", lambda f: f["rule"].isin([rule.name for rule in rules])),
+        lambda f: F.struct(
+            f["start"].alias("start"), (F.array_position(names, f["rule"]) - 1).cast("int").alias("rank"),
+            kinds[f["rule"]].alias("kind"), f["end"].alias("end"),
+        ),
+    )
     sized = blobs.select("blob", "paths").join(known, "blob").select("blob", "paths", F.sort_array(asked).alias("findings"))
     return attach_group(paths, sized, ["blob"], "paths").select(id_col, "blob", "findings")
 

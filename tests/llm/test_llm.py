@@ -320,6 +320,30 @@ def test_ledger_scans_only_what_it_has_not_seen(spark, documents):
     assert spark.read.parquet(path).count() == 8
 
 
+def test_ledger_returns_the_versions_asked_for(spark, documents):
+    path, docs = fresh(spark), documents([(1, "one aaaa two bb")])
+    old = (secret_scan.Rule("run", 1, "a+|b+"), secret_scan.Rule("word", 1, "one"))
+    new = (secret_scan.Rule("word", 1, "one"), secret_scan.Rule("run", 2, "a+"))
+    spans = lambda rules: [
+        tuple(f) for f in secret_scan.scan_secrets(docs, path, rules=rules).first()["findings"]
+    ]
+    assert spans(old) == [(0, 1, "word", 3), (4, 0, "run", 8), (13, 0, "run", 15)]
+    assert spans(new) == [(0, 0, "word", 3), (4, 1, "run", 8)]
+    assert spans(old) == [(0, 1, "word", 3), (4, 0, "run", 8), (13, 0, "run", 15)]
+
+
+def test_ledger_parts_without_rule_names_are_read_again(spark, documents):
+    import hashlib
+
+    path, rule = fresh(spark), secret_scan.Rule("run", 1, "a+")
+    spark.createDataFrame(
+        [(hashlib.sha256(b"one aaaa").digest(), ["run@1"], [(4, 0, "run", 8)])],
+        "blob binary, rules array<string>, findings array<struct<start:int,rank:int,kind:string,end:int>>",
+    ).write.parquet(path)
+    found = secret_scan.scan_secrets(documents([(1, "one aaaa")]), path, rules=(rule,)).first()["findings"]
+    assert [tuple(f) for f in found] == [(4, 0, "run", 8)]
+
+
 def test_licenses(spark, documents):
     rows = [
         (1, "Under the MIT\nlicense, under the mit license"), (2, "CC-BY-NC and Apache License, Version 2.0"),
