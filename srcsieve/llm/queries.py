@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from srcsieve.llm import (
-    decontaminate, licenses, line_dedup, packing, quality_model, quality_rules, secret_scan, simhash, suffix_dedup, token_count,
+    decontaminate, licenses, line_dedup, merkle, packing, quality_model, quality_rules, secret_scan, simhash, suffix_dedup, token_count,
 )
 from srcsieve.session import scratch_path, ship_package
 
@@ -125,3 +125,13 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.crc32(docs["doc_id"].cast("string").cast("binary")) % 2 == 0
+    return merkle.audit(docs, tampered, F.replace(docs["text"], F.lit("\n"), F.lit("")))
+
+
+SQL["op13_merkle_manifest"] = merkle.oracle_sql()
