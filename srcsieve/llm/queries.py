@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from srcsieve.llm import (
-    decontaminate, licenses, line_dedup, merkle, packing, quality_model, quality_rules, secret_scan, simhash, suffix_dedup, token_count,
+    decontaminate, licenses, line_dedup, merkle, packing, quality_model, quality_rules, secret_scan, simhash, suffix_dedup, token_count, token_files,
 )
 from srcsieve.session import scratch_path, ship_package
 
@@ -127,6 +127,13 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+@query
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, folder = table(spark, sf_dir, "documents"), scratch_path(spark, "token-files")
+    token_files.write_token_files(docs, folder, tokenizer("byte_bpe_50k.json"))
+    return token_files.read_documents(spark, folder, id_type=docs.schema["doc_id"].dataType)
+
+
 @query
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
