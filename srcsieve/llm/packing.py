@@ -9,8 +9,6 @@ those of its fill, so no task holds the bins of a group. Only the ids and sizes
 
 from __future__ import annotations
 
-import os
-import re
 import struct
 import zlib
 from bisect import bisect_right
@@ -23,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from srcsieve.llm.common import texts
+from srcsieve.llm.word_ids import encoder
 from srcsieve.session import materialise
 
 CAPACITY = 2048
@@ -31,74 +30,6 @@ END_OF_DOCUMENT = 0
 MAX_LOCAL_PIECES = 1 << 18
 #: Parts in which the bins of one fill are numbered.
 SALTS = 1024
-#: How the byte-level alphabet writes a space.
-SPACE_TOKEN = "Ġ"
-WORDS_TOGETHER = 4096
-_SPLIT = re.compile(r"(?<!\s) ")
-
-
-class WordEncoder:
-    """Token ids of texts as little-endian 32-bit bytes.
-
-    The byte-level pattern always starts a new word at a space that follows no white space, so
-    a text is encoded piece by piece between such spaces, and ids of pieces met before come
-    from a table. New pieces are encoded together; the first token of each is the one that holds its
-    space. The table is emptied at ``max_words``.
-    """
-
-    def __init__(self, path: str, max_words: int = 600_000) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.max_words = max_words
-        self.words: dict[str, bytes | None] = {}
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.starts_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
-        self.starts_word[[i for token, i in vocabulary.items() if token[0] == SPACE_TOKEN]] = True
-
-    def _encode(self, parts: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in found]
-
-    def _learn(self, words: list[str]) -> None:
-        # After a word that ends with white space, the next space is not a place to cut.
-        whole = [word for word in words if word and not word[-1].isspace()]
-        for at in range(0, len(whole), WORDS_TOGETHER):
-            part = whole[at : at + WORDS_TOGETHER]
-            found = self.tokenizer.encode_batch_fast(["".join([" " + word for word in part])], add_special_tokens=False)
-            ids = np.array(found[0].ids, dtype="<u4")
-            starts = np.flatnonzero(self.starts_word[ids]).tolist()
-            data = ids.tobytes()
-            ends = [*(4 * s for s in starts[1:]), len(data)]
-            self.words.update(zip(part, [data[4 * a : b] for a, b in zip(starts, ends)], strict=True))
-        if len(whole) < len(words):
-            self.words.update((word, None) for word in words if not word or word[-1].isspace())
-
-    def encode(self, text: str) -> bytes:
-        first, *rest = text.split(" ")
-        missing = [word for word in set(rest) if word not in self.words]
-        if missing:
-            if len(self.words) > self.max_words:
-                self.words.clear()
-                missing = list(set(rest))
-            self._learn(missing)
-        head = self._encode([first])[0]
-        try:
-            return head + b"".join(map(self.words.__getitem__, rest))
-        except TypeError:
-            parts = _SPLIT.split(text)
-            return b"".join(self._encode([parts[0], *(" " + part for part in parts[1:])]))
-
-
-_encoders: dict[str, WordEncoder] = {}
-
-
-def encoder(path: str) -> WordEncoder:
-    """One encoder per worker, kept between tasks."""
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
 
 
 def cut(n_ids: int, capacity: int) -> list[tuple[int, int]]:
@@ -147,11 +78,10 @@ PIECES_DDL = (
 
 
 def _local_pieces(path: str, capacity: int, with_ids: bool):
-    def rows(ids: list, text: list[str]) -> Iterator[tuple]:
-        encode = encoder(path).encode
+    def rows(ids: list, text: pa.Array) -> Iterator[tuple]:
         end = struct.pack("<I", END_OF_DOCUMENT)
-        for doc, whole in zip(ids, text):
-            data = encode(whole) + end
+        for doc, own in zip(ids, encoder(path).encode(text)):
+            data = own.tobytes() + end
             for piece, (start, length) in enumerate(cut(len(data) // 4, capacity)):
                 part = data[4 * start : 4 * (start + length)]
                 yield doc, piece, start, length, zlib.crc32(part), part if with_ids else None
@@ -169,7 +99,7 @@ def _local_pieces(path: str, capacity: int, with_ids: bool):
         field = None
         for batch in batches:
             field = batch.schema.field(0)
-            for row in rows(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for row in rows(batch.column(0).to_pylist(), batch.column(1)):
                 pieces.append(row)
                 if len(pieces) == MAX_LOCAL_PIECES:
                     out, bins = packed(field, pieces, part, bins)
