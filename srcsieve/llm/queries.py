@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from srcsieve.llm import (
     decontaminate, licenses, line_dedup, merkle, packing, quality_model, quality_rules, secret_scan, simhash, suffix_dedup, token_count, token_files,
+    vector_codes,
 )
 from srcsieve.session import scratch_path, ship_package
 
@@ -127,6 +128,18 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+@query
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, codebooks = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(coded).select(
+        "vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error",
+        F.lit(vector_codes.codebooks_sha256(codebooks)).alias("codebooks_sha256"),
+    )
+
+
+SQL["op11_vector_codes"] = vector_codes.oracle_sql()
+
+
 @query
 def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, folder = table(spark, sf_dir, "documents"), scratch_path(spark, "token-files")
