@@ -114,8 +114,12 @@ def write_token_files(
     ordered = _sorted_by_id(texts(docs, id_col, text_col), id_col, part_bytes)
     parts = ordered.mapInArrow(_part_writer(tokenizer_path, folder, width), PART)
     parts.write.mode("overwrite").parquet(os.path.join(folder, "parts"))
+    return write_manifest(spark, folder)
+
+
+def write_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Add up the parts of ``folder``. They have a row each, so one window over all of them stays small."""
     parts = spark.read.schema(PART).parquet(os.path.join(folder, "parts"))
-    # One row per part, so one window over all of them stays small.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     sums = {"first_doc": F.sum("n_docs").over(before), "base": F.sum("n_ids").over(before)}
     bases = parts.withColumns({name: F.coalesce(total, F.lit(0)) for name, total in sums.items()})

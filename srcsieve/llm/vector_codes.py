@@ -2,7 +2,7 @@
 
 A vector is cut into parts, and each part is coded by the nearest of its codebook's entries. Along every
 coordinate the entries are sorted, and a mask of 64-bit words says which entries lie before each place. An
-initial radius, the distance to an entry that is close in the first coordinate, cuts a slice from each
+initial radius, the distance to an entry that is close in one coordinate, cuts a slice from each
 coordinate; the difference of two prefix masks is the entries of a slice, and their intersection over all
 coordinates holds every entry that can be nearest. Only those are measured, in whole numbers.
 
@@ -43,10 +43,14 @@ class Slices:
             self.masks[np.arange(width), place + 1, own // 64] |= np.uint64(1) << (own % 64).astype(np.uint64)
 
     def radius(self, points: np.ndarray) -> np.ndarray:
-        """A whole number at or above each point's distance to some entry, one close in the first coordinate."""
-        place = np.minimum(np.searchsorted(self.sorted[0], points[:, 0]), len(self.entries) - 1)
-        far = ((points - self.entries[self.order[place, 0]]) ** 2).sum(axis=1)
-        return np.sqrt(far.astype(np.float64)).astype(np.int64) + 1  # rounding errs by less than one
+        """A whole number at or above each point's distance to some entry: the nearer of two, each close in
+        one of the two coordinates that spread the entries most."""
+        least = None
+        for axis in np.argsort(-np.ptp(self.entries, axis=0), kind="stable")[:2]:
+            place = np.minimum(np.searchsorted(self.sorted[axis], points[:, axis]), len(self.entries) - 1)
+            far = ((points - self.entries[self.order[place, axis]]) ** 2).sum(axis=1)
+            least = far if least is None else np.minimum(least, far)
+        return np.sqrt(least.astype(np.float64)).astype(np.int64) + 1  # rounding errs by less than one
 
     def candidates(self, points: np.ndarray) -> np.ndarray:
         """A mask per point of all entries that can be its nearest."""

@@ -21,8 +21,8 @@ def db():
     return connection
 
 
-def test_ten_operators():
-    assert sorted(int(name[2:].split("_")[0]) for name in queries.Q) == list(range(1, 11))
+def test_thirteen_operators():
+    assert sorted(int(name[2:].split("_")[0]) for name in queries.Q) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(queries.SQL))
