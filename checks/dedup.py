@@ -11,6 +11,8 @@ from srcsieve.operators import components as C
 from srcsieve.operators import exact_dedup as E
 from srcsieve.operators import fuzzy_dedup as Z
 from srcsieve.operators import minhash as M
+from srcsieve.operators import near_index as N
+from srcsieve.operators.joins import drop_ids
 from srcsieve.plans import jobs
 from srcsieve.session import scratch_path
 
@@ -202,6 +204,34 @@ Q["deduplicate_by_month"] = _deduplicate("month")
 SQL["deduplicate_by_month"] = _dedup_sql(["month"], "id AS my_id, repo_name, file_name, month_no, text")
 
 
+def _added_month_by_month(spark, sf):
+    """Eleven months, then the twelfth: the index is asked, and no earlier text is read again."""
+    files, index = _files(spark, sf), scratch_path(spark, "near-index")
+    eleven = N.add_to_index(files.where("month <= 11"), index, 1)
+    last = N.add_to_index(files.where("month = 12"), index, 2)
+    kept = drop_ids(eleven.kept, last.retracted, "my_id").unionByName(last.kept)
+    return kept.select("my_id", "repo_name", "file_name", "text")
+
+
+Q["incremental_deduplicate"] = _added_month_by_month
+SQL["incremental_deduplicate"] = SQL["deduplicate"]
+
+
+def _index_labels(spark, sf):
+    files, index = _files(spark, sf), scratch_path(spark, "near-index")
+    for run, months in enumerate(("month <= 4", "month BETWEEN 5 AND 11", "month = 12"), 1):
+        N.add_to_index(files.where(months), index, run)
+    return N.index_labels(spark, index)
+
+
+Q["incremental_labels"] = _index_labels
+SQL["incremental_labels"] = sql(
+    """SELECT i.my_id AS id, coalesce(r.root, k.id) AS root
+       FROM (SELECT DISTINCT my_id, text FROM identified) i JOIN kept k ON k.text = i.text LEFT JOIN roots r ON r.id = k.id""",
+    "code_files", ctes=_dedup_ctes([]), recursive=True,
+)
+
+
 def _curate_job(spark, sf):
     """Two runs over the same folders: the first does half of the months, the second resumes."""
     deduped, filtered = scratch_path(spark, "deduped"), scratch_path(spark, "filtered")
@@ -235,3 +265,16 @@ SQL["curate"] = sql(
           AND ({G.HTML_OK} OR {G.UNPARSED}) AND {G.TOKENS_OK}""",
     "code_files", ctes=_dedup_ctes([]), recursive=True,
 )
+
+
+def _curate_runs(spark, sf):
+    files, index, filtered = _files(spark, sf).drop("id"), scratch_path(spark, "near-index"), scratch_path(spark, "filtered")
+    for run, months in enumerate(("month <= 8", "month > 8"), 1):
+        jobs.curate_run(files.where(months), index, run, filtered)
+    schema = "my_id string, language string, loc int, alpha double, html_skipped boolean"
+    kept = jobs.curated_records(spark.read.schema(schema).option("recursiveFileLookup", True).json(filtered), index)
+    return kept.withColumn("alpha", F.round("alpha", 6))
+
+
+Q["curate_run"] = _curate_runs
+SQL["curate_run"] = SQL["curate"]

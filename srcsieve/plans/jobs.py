@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from srcsieve.operators import discovery, files as file_ops, seen as state
 from srcsieve.operators.fuzzy_dedup import deduplicate
-from srcsieve.operators.joins import MAX_BROADCAST_ROWS, lookup_join
+from srcsieve.operators.joins import MAX_BROADCAST_ROWS, drop_ids, lookup_join
 from srcsieve.operators.languages import language_distribution, relabel_language
+from srcsieve.operators.near_index import add_to_index
 from srcsieve.operators.notebooks import notebook_issues, process_notebooks
 from srcsieve.operators.quality import filter_with_fallback
 from srcsieve.schema import CODE_RECORD, JSON_OPTIONS
-from srcsieve.session import materialise
+from srcsieve.session import materialise, read_runs
 from srcsieve.sources.records import assign_output_batches, read_code_records, write_code_records, write_language_csv
 from srcsieve.sources.tree import decode_text, list_source_files, read_file_contents
 
@@ -116,6 +117,26 @@ def curate(records: DataFrame, scope: str = "global", fallback_scope: tuple[str,
     return filter_with_fallback(deduplicate(records, scope), fallback_scope)
 
 
+def curate_run(
+    records: DataFrame, index: str, run: int, filtered_path: str, partition_by: tuple[str, ...] = ("month",)
+) -> None:
+    """Curate the records of one run, such as a month, against all runs before, and write its folders.
+
+    Only the run's own texts are read. Earlier records that turn out to be copies of a record with a smaller id
+    are not rewritten: their ids go to the index, and ``curated_records`` leaves them out. The last run may
+    be done again.
+    """
+    update = add_to_index(records, index, run)
+    folders = materialise(records.groupBy(*partition_by).agg(F.count(F.lit(1)).alias("records")), "folders")
+    write_code_records(filter_with_fallback(update.kept), filtered_path, partition_by, replace=folders)
+    update.retracted.write.mode("overwrite").parquet(f"{index}/retracted/run={run}")
+
+
+def curated_records(stored: DataFrame, index: str) -> DataFrame:
+    """``stored`` records of all runs of ``curate_run`` without those that a later run retracted."""
+    return drop_ids(stored, read_runs(stored.sparkSession, f"{index}/retracted", "my_id string"), "my_id")
+
+
 def rows_of_batches(rows: DataFrame, work: DataFrame, keys: list[str], start_at: tuple[str, ...]) -> DataFrame:
     """``rows`` of the batches that ``work`` lists with one of the stages ``start_at``.
 

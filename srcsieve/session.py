@@ -69,6 +69,20 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a folder or file is there, in any store that Spark reads."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def read_runs(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
+    """What runs wrote to ``path/run=N``, of those numbered below ``before`` if it is given; no rows if none did."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(f"{schema}, run long").option("basePath", path).parquet(path)
+    return (rows if before is None else rows.where(f"run < {before}")).drop("run")
+
+
 def drop_scratch(spark: SparkSession) -> None:
     """Delete what this application wrote to the scratch folder.
 
