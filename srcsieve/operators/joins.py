@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql import types as T
 
 from srcsieve.session import materialise
@@ -39,11 +39,14 @@ def table_bytes(table: DataFrame) -> int:
     return table.agg(F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()[0]
 
 
+def broadcast_limit(spark: SparkSession) -> int:
+    """Bytes of the largest table that is sent to every executor."""
+    return int(spark.conf.get("spark.srcsieve.maxBroadcastBytes", str(MAX_BROADCAST_BYTES)))
+
+
 def fits_broadcast(table: DataFrame, max_bytes: int | None = None) -> bool:
     """Whether the bytes of ``table`` allow a broadcast; one narrow job measures them."""
-    if max_bytes is None:
-        max_bytes = int(table.sparkSession.conf.get("spark.srcsieve.maxBroadcastBytes", str(MAX_BROADCAST_BYTES)))
-    return table_bytes(table) <= max_bytes
+    return table_bytes(table) <= (broadcast_limit(table.sparkSession) if max_bytes is None else max_bytes)
 
 
 def small_table(table: DataFrame, max_bytes: int | None = None) -> DataFrame:

@@ -69,10 +69,27 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a folder or file is there, in any store that Spark reads."""
+def _store(spark: SparkSession, path: str):
+    """The store of ``path``, any that Spark reads, and the path in it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    store, target = _store(spark, path)
+    return store.exists(target)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """The names in a folder; none if it is not there."""
+    store, target = _store(spark, path)
+    return [status.getPath().getName() for status in store.listStatus(target)] if store.exists(target) else []
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder if it is there."""
+    store, target = _store(spark, path)
+    store.delete(target, True)
 
 
 def read_runs(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
@@ -88,9 +105,7 @@ def drop_scratch(spark: SparkSession) -> None:
 
     For the end of a job: results that are read from scratch tables must be written first.
     """
-    folder = os.path.join(scratch_root(spark), f"srcsieve-{spark.sparkContext.applicationId}")
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    drop_path(spark, os.path.join(scratch_root(spark), f"srcsieve-{spark.sparkContext.applicationId}"))
 
 
 _shipped: set[str] = set()

@@ -12,9 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from srcsieve.operators.joins import fits_broadcast, lookup_join
+from srcsieve.operators.key_state import KeyState
 from srcsieve.schema import ARCHIVE_EVENT, JSON_OPTIONS
-from srcsieve.session import materialise
 from srcsieve.sources.archive import named_events
 
 
@@ -71,28 +70,17 @@ def merge_latest(changes: DataFrame) -> DataFrame:
     return changes.groupBy("repo_name").agg(F.max("created_at").alias("created_at"))
 
 
-def met_again(seen: DataFrame, arrived: DataFrame) -> DataFrame:
-    """The rows of ``seen`` that a micro-batch brings again; a micro-batch that fits is broadcast, so the
-    years of ``seen`` are scanned but not shuffled."""
-    return seen.join(F.broadcast(arrived) if fits_broadcast(arrived) else arrived, arrived.columns, "left_semi")
+def stream_new_repos(events: DataFrame, path: str, checkpoint: str, **state: int) -> StreamingQuery:
+    """Emit each repository once, for as long as the state below ``path`` is kept.
 
-
-def stream_new_repos(events: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Emit each repository once, for as long as the table at ``path`` is kept.
-
-    The table itself is the state, so a year of names needs no state store. A retried
+    The names seen lie in hash buckets in ``_seen`` below ``path``, where table reads do not look, and a
+    micro-batch opens only the buckets that its names may be in (``KeyState``, shaped by ``state``). A retried
     batch ignores what it wrote before.
     """
-    spark = events.sparkSession
-    key = T.StructType([T.StructField("repo_name", T.StringType())])
+    seen = KeyState(events.sparkSession, f"{path}/_seen", **state)
 
     def unseen(batch: DataFrame, number: int) -> DataFrame:
-        names = batch.select("repo_name").distinct()
-        if number == 0:
-            return names
-        names = materialise(names, "arrived")
-        seen = read_batches(spark, path, key).where(F.col("batch") < number).select("repo_name")
-        return names.join(met_again(seen, names), "repo_name", "left_anti")
+        return seen.unseen(batch.select("repo_name").distinct(), ["repo_name"], number)
 
     return write_batches(events, path, checkpoint, "append", unseen)
 
@@ -121,27 +109,18 @@ def merge_counts(changes: DataFrame) -> DataFrame:
 
 
 def stream_curate_to_table(
-    records: DataFrame, curate: Callable[[DataFrame], DataFrame], path: str, checkpoint: str
+    records: DataFrame, curate: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, **state: int
 ) -> StreamingQuery:
     """Curate arriving records; a file that an earlier micro-batch brought is not added again.
 
-    A file is known by its repository, name and a digest of its text, so a repository may be
-    spread over any number of micro-batches. The keys of all that arrived, kept or not, lie in
-    ``_seen`` below ``path``, where table reads do not look.
+    A file is known by its repository, name and text, so a repository may be spread over any number of
+    micro-batches. Digests of all that arrived, kept or not, lie in hash buckets in ``_seen`` below ``path``
+    (``KeyState``, shaped by ``state``), where table reads do not look.
     """
-    spark = records.sparkSession
-    key = T.StructType.fromDDL("_repo string, _file string, _digest binary")
-    keys = [F.coalesce("repo_name", F.lit("")).alias("_repo"), F.coalesce("file_name", F.lit("")).alias("_file"),
-            F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("_digest")]
+    seen = KeyState(records.sparkSession, f"{path}/_seen", **state)
 
     def fresh(batch: DataFrame, number: int) -> DataFrame:
-        batch.select(*keys).distinct().write.mode("overwrite").parquet(f"{path}/_seen/batch={number}")
-        if number == 0:
-            return curate(batch)
-        known = read_batches(spark, f"{path}/_seen", key)
-        arrived = known.where(F.col("batch") == number).drop("batch")
-        seen = met_again(known.where(F.col("batch") < number).drop("batch"), arrived).distinct()
-        rows = lookup_join(batch.select("*", *keys), seen, key.fieldNames(), "left_anti")
-        return curate(rows.select(*batch.columns))
+        named = batch.withColumn("_text", F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+        return curate(seen.unseen(named, ["repo_name", "file_name", "_text"], number).drop("_text"))
 
     return write_batches(records, path, checkpoint, "append", fresh)
