@@ -12,6 +12,7 @@ from srcsieve.operators import exact_dedup as E
 from srcsieve.operators import fuzzy_dedup as Z
 from srcsieve.operators import minhash as M
 from srcsieve.operators import near_index as N
+from srcsieve.operators import set_join as J
 from srcsieve.operators.joins import drop_ids
 from srcsieve.plans import jobs
 from srcsieve.session import scratch_path
@@ -165,6 +166,36 @@ SQL["near_duplicate_pairs"] = sql(
 )
 
 
+# The oracle compares every two documents that share a shingle.
+LINKS = """
+sizes AS (SELECT id, count(*) AS n FROM shingles GROUP BY id),
+met AS (SELECT x.id AS a, y.id AS b, count(*) AS n FROM shingles x JOIN shingles y ON y.s = x.s AND y.id < x.id
+             GROUP BY 1, 2),
+exact_links AS (SELECT a, b FROM met o JOIN sizes x ON x.id = a JOIN sizes y ON y.id = b
+                WHERE o.n::DOUBLE / (x.n + y.n - o.n) >= 0.8),
+both_ways AS (SELECT a, b FROM exact_links UNION SELECT b, a FROM exact_links),
+exact_reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT r.a, l.b FROM exact_reach r JOIN both_ways l ON r.b = l.a),
+linked AS (SELECT a AS id, least(a, min(b)) AS root FROM exact_reach GROUP BY a)"""
+Q["similarity_groups"] = lambda spark, sf: J.similarity_groups(_near(spark, sf)).select("id", "root")
+SQL["similarity_groups"] = sql(
+    "SELECT id, root FROM linked", "near_docs", ctes=",".join((shingle_ctes("near_docs"), LINKS)), recursive=True
+)
+
+
+def _band_recall(spark, sf):
+    docs = _near(spark, sf)
+    return J.band_recall(docs, J.similarity_groups(docs), Z.fuzzy_duplicates(docs, "id"))
+
+
+Q["band_recall"] = _band_recall
+SQL["band_recall"] = sql(
+    """SELECT count(e.id) AS linked, count(*) FILTER (e.id IS NOT NULL AND r.id IS NOT NULL) AS found,
+              count(*) FILTER (e.id IS NULL AND r.id IS NOT NULL) AS extra
+       FROM near_docs d LEFT JOIN (SELECT id FROM linked WHERE id <> root) e ON e.id = d.id LEFT JOIN roots r ON r.id = d.id""",
+    "near_docs", ctes=",".join((NEAR, EDGES, COMPONENTS, shingle_ctes("near_docs"), LINKS)), recursive=True,
+)
+
+
 def _deduplicate(scope: str):
     def run(spark, sf):
         return Z.deduplicate(_files(spark, sf), scope).select("my_id", "repo_name", "file_name", "month_no", "text")
