@@ -70,15 +70,18 @@ def _phrase_pattern() -> str:
 
 def _scan(docs: DataFrame, id_col: str, text_col: str, templates: list[tuple[str, list[str]]], least: int) -> DataFrame:
     """Per row its words, places of each phrase, and the lines with ``least`` template words or more."""
-    vocabulary = F.array(*map(F.lit, sorted({w for _, words in templates for w in words})))
+    vocabulary = sorted({w for _, words in templates for w in words})
     text = lower_ascii(F.coalesce(docs[text_col], F.lit("")))
     low = docs.select(docs[id_col].alias(id_col), text.alias("text"))
     lines = F.transform(F.split("text", "\n", -1), _words)
-    places = F.struct(*[_starts(F.flatten(F.col("lines")), p).alias(f"p{i}") for i, p in enumerate(PHRASES)])
+    # Words are flattened once per text; a lambda that names the expression would do so at every place.
+    places = bound(
+        F.flatten("lines"), lambda words: F.struct(*[_starts(words, p).alias(f"p{i}") for i, p in enumerate(PHRASES)])
+    )
     nowhere = F.struct(*[F.array().cast("array<int>").alias(f"p{i}") for i in range(len(PHRASES))])
     blocks = F.filter(
         F.transform("lines", lambda words, i: F.struct(
-            i.alias("block"), F.array_intersect(words, vocabulary).alias("words")
+            i.alias("block"), F.array_distinct(F.filter(words, lambda w: w.isin(*vocabulary))).alias("words")
         )),
         lambda b: F.size(b["words"]) >= least,
     )
