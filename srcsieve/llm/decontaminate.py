@@ -1,26 +1,24 @@
 """Benchmark decontamination: CGK embedding, bit-sampling LSH, exact edit verification.
 
 The walk of Chakraborty, Goldenberg and Koucky (STOC 2016) reads a string with a pointer that, at
-every step, stays or moves by one as a random bit of (step, symbol) says. Two strings at a small
+every step, stays or moves by one as a random bit of (step, character) says. Two strings at a small
 edit distance fall back into step after each edit, so their walks, compared step by step,
-have a small Hamming distance. Here the symbols are words. A walk can start at every word of a
-document at once, because where it goes next depends on its place and step alone; read up to the length
-of an item, it embeds the item-sized window that starts there.
-
-Each of several samples of steps gives a hash of the symbols the walk reads at those steps. An item
-is hashed from every word at which enough of it is left, which repeats the sampling at no cost for
-the documents, since their walks start at every word anyway. An item and a window with the same hash
-are a candidate, and the candidate is settled by the exact edit distance, in characters, of the item
-to the best place around the item-sized window.
+have a small Hamming distance. Walks start at every word of a document, in step with each other, and
+embed the item-sized windows that start there.
+
+Each of several samples of steps gives a hash of the characters that a walk reads at those steps. An
+item is hashed from every word at which a whole walk is left. A hash that an item and a document share
+says where the item would begin; two such hits that agree on the place, within the edits allowed,
+are a candidate, and so is one where an item has too few words for two. The candidate is settled by
+the exact edit distance, in characters, of the item to the best part of its surroundings.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
-from math import ceil, log
+from math import log
 
 import numpy as np
 import pyarrow as pa
@@ -28,38 +26,35 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from srcsieve.llm.common import LOWER, texts, word_blocks
+from srcsieve.operators.joins import drop_ids
 
 SIMILARITY = 0.8
-RECALL = 0.99
-#: Share of an item's words that are edited in the trials that set the number of samples.
-DESIGN_EDITS = 0.4
-SAMPLED_STEPS = 5
-#: Steps for items of fewer than ``MANY_WORDS`` words, which have few windows.
-SHORT_STEPS = 4
-MANY_WORDS = 25
-#: Words whose steps are sampled; a longer item is embedded from each of its words, a shorter one looked up by its characters.
-LONGEST_WALK = 16
-#: Samples of one walk. Those of one walk fail together where an edit throws it out of step, those of several do not.
-SAMPLES_PER_WALK = 8
-#: Samples after which a length class is looked up by its characters instead.
-MOST_SAMPLES = 256
-#: Edited copies on which the number of samples is set, of all items and of a length class at least.
-MOST_TRIALS = 20_000
-CLASS_TRIALS = 1600
-#: Words walked together, so that pointers and symbols stay in cache.
-WORDS_PER_WALK = 1 << 17
-TABLE_BITS = 18
+RECALL = 0.9
+#: Steps of a walk, how many of them a sample takes, and samples per walk and walks at most.
+STEPS = 30
+SAMPLED_STEPS = 11
+SAMPLES_PER_WALK = 3
+MOST_WALKS = 8
+#: Two hits agree within this part of the edits allowed.
+SHIFT_SHARE = 4
+#: Edited copies of a length class on which its number of walks is set.
+TRIALS = 400
+#: Characters walked together, so that pointers and characters stay in cache.
+CHARS_PER_WALK = 1 << 19
+MOST_TABLE_BITS = 22
 #: Characters of a segment that is looked up at least.
 SEGMENT = 40
 GRAM_BITS = 16
-#: Candidates settled side by side at most and at least, and the most words that places settled as one may span.
+#: Lengths of the n-grams that a candidate has to share with its item before it is settled.
+SHARED_GRAMS = (4, 3)
+#: Candidates settled side by side at most and at least, and how many lengths of an item one may span.
 PAIRS_AT_ONCE = 1024
-FEWEST_PAIRS = 16
-WIDEST = 64
-#: Items whose hashes are sent to the executors at once; a larger benchmark goes in blocks.
-ITEMS_PER_PASS = 20_000
+FEWEST_PAIRS = 128
+WIDEST = 2
+#: Items sent to the executors at once, some 12 KB each; a larger benchmark goes in blocks.
+ITEMS_PER_PASS = 5_000
 _PUNCTUATION = bytes(b for b in range(128) if not (48 <= b < 58 or 97 <= b < 123 or b == 32 or 9 <= b < 14))
-_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
+_GOLDEN = np.uint32(0x9E3779B1)
 
 
 def words_of(text: str) -> list[bytes]:
@@ -67,8 +62,20 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(LOWER).translate(None, _PUNCTUATION).split()
 
 
-def symbols(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(zlib.crc32, words), dtype=np.uint32, count=len(words))
+def plain(text: str) -> str:
+    """The words of ``text`` with one blank between them."""
+    return b" ".join(words_of(text)).decode("utf-8", "replace")
+
+
+def joined_codes(pieces: list[str]) -> tuple[str, np.ndarray, np.ndarray]:
+    """Several texts of words as one, each ended by a line break; its characters, with 0 for the break, and where words begin."""
+    text = "\n".join([*pieces, ""])
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).copy()
+    codes[codes == 10] = 0
+    begins = np.ones(len(codes), dtype=bool)
+    begins[1:] = (codes[:-1] == 32) | (codes[:-1] == 0)
+    begins &= codes != 0
+    return text, codes, np.flatnonzero(begins).astype(np.int32)
 
 
 @dataclass(frozen=True)
@@ -79,41 +86,42 @@ class Plan:
     samples: tuple[tuple[int, ...], ...]
 
 
+def walk_plan(seed: int) -> Plan:
+    rng = np.random.default_rng(seed)
+    return Plan(seed, tuple(
+        tuple(sorted(rng.choice(STEPS, SAMPLED_STEPS, replace=False).tolist())) for _ in range(SAMPLES_PER_WALK)
+    ))
+
+
 def multipliers(steps: int, seed: int) -> np.ndarray:
-    """Random odd numbers, one per step; the top bit of its product with a symbol moves the pointer."""
+    """Random odd numbers, one per step; the top bit of its product with a character moves the pointer."""
     return np.random.default_rng(seed).integers(0, 1 << 31, steps, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 
 
-def walk_hashes(plan: Plan, codes: np.ndarray) -> np.ndarray:
-    """A 64-bit hash for each sample and each place of ``codes`` at which a walk starts.
+def walk_hashes(plan: Plan, codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A 32-bit hash for each sample and each of ``starts``, and whether the walk met the end of its text.
 
-    All walks take their steps together. Symbol 0 ends a text: it never moves a pointer.
+    All walks take their steps together. Character 0 ends a text: it never moves a pointer.
     """
-    rows = np.zeros((len(plan.samples), len(codes)), dtype=np.uint64)
+    rows = np.zeros((len(plan.samples), len(starts)), dtype=np.uint32)
     by_step: dict[int, list[np.ndarray]] = {}
     for row, sample in zip(rows, plan.samples):
         for step in sample:
             by_step.setdefault(step, []).append(row)
     last = max(by_step)
-    at = np.arange(len(codes), dtype=np.int32)
-    here, moved = np.empty_like(codes), np.empty_like(codes)
+    at, here, moved = starts.copy(), np.empty(len(starts), np.uint32), np.empty(len(starts), np.uint32)
     for step, multiplier in enumerate(multipliers(last + 1, plan.seed)):
         np.take(codes, at, out=here, mode="clip")
         for row in by_step.get(step, ()):
-            row *= _GOLDEN
             row += here
+            row *= _GOLDEN
+            row ^= row >> np.uint32(15)
         if step < last:
             np.multiply(here, multiplier, out=moved)
             moved >>= np.uint32(31)
             at += moved.view(np.int32)
     rows *= _GOLDEN
-    return rows
-
-
-def ended(codes: list[np.ndarray]) -> np.ndarray:
-    """The symbols of several texts in one array, each followed by a 0."""
-    end = np.zeros(1, dtype=np.uint32)
-    return np.concatenate([part for c in codes for part in (c, end)])
+    return rows, here == 0
 
 
 def edit_distance(pattern: str, text: str) -> tuple[int, int]:
@@ -228,93 +236,134 @@ def _side_by_side(pairs: list[tuple[str, str]], blocks: int) -> np.ndarray:
     return best
 
 
-def walk_plan(seed: int, sampled: int) -> Plan:
-    """A walk with samples of ``sampled`` of the steps at which nearly all walks are still inside the first ``LONGEST_WALK`` words."""
-    mean = 2 * (LONGEST_WALK - 1)
-    steps = int(mean - 2 * mean**0.5)
-    rng = np.random.default_rng(seed)
-    return Plan(seed, tuple(
-        tuple(sorted(rng.choice(steps, sampled, replace=False).tolist())) for _ in range(SAMPLES_PER_WALK)
-    ))
-
-
-def _edited(codes: np.ndarray, rng: np.random.Generator) -> np.ndarray:
-    """A copy with ``DESIGN_EDITS`` of its words edited: one word replaced, dropped or put in per edit."""
-    changed = codes.tolist()
-    for _ in range(max(1, round(DESIGN_EDITS * len(codes)))):
+def _edited(text: str, edits: int, rng: np.random.Generator) -> str:
+    """A copy with ``edits`` characters replaced, dropped or put in at random."""
+    changed, letters = list(text), sorted(set(text) - {" "}) or ["a"]
+    for _ in range(edits):
         at, kind = int(rng.integers(len(changed))), int(rng.integers(3))
+        letter = letters[int(rng.integers(len(letters)))]
         if kind == 0:
-            changed[at] = int(rng.integers(1, 1 << 32))
+            changed[at] = letter
         elif kind == 1 and len(changed) > 1:
             del changed[at]
         else:
-            changed.insert(at, int(rng.integers(1, 1 << 32)))
-    return np.array(changed, dtype=np.uint32)
+            changed.insert(at, letter)
+    return "".join(changed)
 
 
-def _hits(plan: Plan, items: list[np.ndarray], copies: list[np.ndarray], of: np.ndarray) -> np.ndarray:
-    """Per sample and copy, whether the copy of item ``of`` shares a hash with one of its whole windows."""
-    own, other = walk_hashes(plan, ended(items)), walk_hashes(plan, ended(copies))
-    sizes = np.array([len(c) + 1 for c in items])
-    item = np.repeat(np.arange(len(items)), sizes)
-    place = np.arange(len(item)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    whole = place < np.repeat(sizes - LONGEST_WALK, sizes)
-    lengths = np.array([len(c) + 1 for c in copies])
-    owner, first = np.repeat(of, lengths), np.cumsum(lengths) - lengths
-    mark = lambda rows, i: rows ^ (i.astype(np.uint64) * _GOLDEN)
-    return np.array([
-        np.logical_or.reduceat(np.isin(mark(b, owner), mark(a[whole], item[whole])), first) for a, b in zip(own, other)
-    ])
+@dataclass
+class Hits:
+    """Words of texts (``at``, a character) that share a hash with an item at its character ``offset``."""
+
+    at: np.ndarray
+    item: np.ndarray
+    offset: np.ndarray
+
+    @classmethod
+    def join(cls, parts: list[Hits]) -> Hits:
+        return cls(*(np.concatenate([getattr(p, f) for p in parts]) for f in ("at", "item", "offset")))
 
+    def agreeing(self, slack: np.ndarray, needed: np.ndarray) -> list[tuple[int, int, int]]:
+        """``(item, first, last)`` of the places where an item may begin, as ``needed`` hits say.
 
-def _length_class(n_words: int) -> int:
-    return int(log(n_words / LONGEST_WALK, 1.25) + 1e-9)
+        Two distinct hits agree if they put the item's beginning within ``slack`` of each other.
+        Places that lie that close are one, up to a bound; each covers its hits.
+        """
+        begin = self.at - self.offset
+        order = np.lexsort((self.at, begin, self.item))
+        at, item, begin = self.at[order], self.item[order], begin[order]
+        fresh = np.ones(len(at), dtype=bool)
+        fresh[1:] = (at[1:] != at[:-1]) | (item[1:] != item[:-1]) | (begin[1:] != begin[:-1])
+        item, begin = item[fresh], begin[fresh]
+        linked = np.zeros(len(item) + 1, dtype=bool)
+        linked[1:-1] = (item[1:] == item[:-1]) & (begin[1:] - begin[:-1] <= slack[item[1:]])
+        use = np.flatnonzero(linked[1:] | linked[:-1] | (needed[item] == 1))
+        found: list[list[int]] = []
+        for i, place, goes_on in zip(item[use].tolist(), begin[use].tolist(), linked[use].tolist()):
+            if goes_on and found[-1][0] == i and place - found[-1][1] <= WIDEST * slack[i] + 64:
+                found[-1][2] = place
+            else:
+                found.append([i, place, place])
+        return [tuple(f) for f in found]
 
 
-def make_plans(items: list[np.ndarray], recall: float, seed: int) -> tuple[list[Plan], list[list[list[int]]], list[int]]:
-    """Walks, the items that need each sample of each walk, and the items to look up by their characters.
+@dataclass
+class Table:
+    """The hashes of one sample in order, whose they are, and a bit table that rules out most words."""
+
+    keys: np.ndarray
+    item: np.ndarray
+    offset: np.ndarray
+    maybe: np.ndarray
+    shift: np.uint32
 
-    Trials are edited copies of every item. A length class takes samples until those of its items
-    that half of the trials show to be the worst quarter are found in ``recall`` of the other half.
-    Items shorter than a walk, and classes that ``MOST_SAMPLES`` do not suffice for, are looked up.
+    @classmethod
+    def build(cls, keys: np.ndarray, item: np.ndarray, offset: np.ndarray) -> Table:
+        bits = min(max(int(len(keys)).bit_length() + 4, 10), MOST_TABLE_BITS)
+        order, shift = np.argsort(keys, kind="stable"), np.uint32(32 - bits)
+        maybe = np.zeros(1 << bits, dtype=bool)
+        maybe[keys >> shift] = True
+        return cls(keys[order], item[order], offset[order], maybe, shift)
+
+    def hits(self, row: np.ndarray, starts: np.ndarray) -> Hits:
+        places = np.flatnonzero(self.maybe[row >> self.shift])
+        low = np.searchsorted(self.keys, row[places], "left")
+        times = np.searchsorted(self.keys, row[places], "right") - low
+        key = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(low, times)
+        return Hits(np.repeat(starts[places], times).astype(np.int64), self.item[key], self.offset[key])
+
+
+def item_tables(plan: Plan, texts: list[str], members: list[int]) -> list[Table]:
+    """A table for each sample of ``plan`` over the items ``members`` of ``texts``."""
+    _, codes, starts = joined_codes([texts[i] for i in members])
+    ends = np.flatnonzero(codes == 0)
+    of = np.searchsorted(ends, starts)
+    offset = starts - np.concatenate([[0], ends + 1])[of]
+    rows, ended = walk_hashes(plan, codes, starts)
+    item = np.array(members, dtype=np.int64)[of]
+    return [Table.build(row[~ended], item[~ended], offset[~ended].astype(np.int64)) for row in rows]
+
+
+def shift_slack(limits: list[int]) -> np.ndarray:
+    """By how much two hits may differ on where an item begins: edits put in and dropped mostly cancel out."""
+    return np.maximum(np.array(limits, dtype=np.int64) // SHIFT_SHARE, 4)
+
+
+def make_plans(texts: list[str], limits: list[int], recall: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many walks each item needs, 0 if it is to be looked up by its characters, and how many hits make a candidate.
+
+    Items of about one length try copies with as many random edits as are allowed. Two hits must
+    find ``recall`` of the copies, one where two do not; if neither does, the items are looked up.
     """
-    by_class: dict[tuple[int, int], list[int]] = {}
-    for i, codes in enumerate(items):
-        if len(codes) >= LONGEST_WALK:
-            steps = SHORT_STEPS if len(codes) < MANY_WORDS else SAMPLED_STEPS
-            by_class.setdefault((steps, _length_class(len(codes))), []).append(i)
-    plans, wanted, rng = [], [], np.random.default_rng(seed)
-    looked_up = [i for i, codes in enumerate(items) if len(codes) < LONGEST_WALK]
-    for steps in (SHORT_STEPS, SAMPLED_STEPS):
-        walks, users = [walk_plan(seed + i, steps) for i in range(MOST_SAMPLES // SAMPLES_PER_WALK)], {}
-        for members in (m for (s, _), m in sorted(by_class.items()) if s == steps):
-            need = _samples_needed([items[i] for i in members], len(items), walks, recall, rng)
-            if need is None:
-                looked_up += members
-            for number in range(need or 0):
-                users.setdefault(number, []).extend(members)
-        for at in range(0, len(users), SAMPLES_PER_WALK):
-            walk, some = walks[at // SAMPLES_PER_WALK], [users[n] for n in range(at, min(at + SAMPLES_PER_WALK, len(users)))]
-            plans.append(Plan(walk.seed, walk.samples[: len(some)]))
-            wanted.append(some)
-    return plans, wanted, sorted(looked_up)
-
-
-def _samples_needed(
-    items: list[np.ndarray], n_all: int, walks: list[Plan], recall: float, rng: np.random.Generator
-) -> int | None:
-    """How many samples of ``walks`` find the worst of ``items`` often enough; None if all do not."""
-    each = 2 * max(MOST_TRIALS // (2 * n_all), -(-CLASS_TRIALS // (2 * len(items))), 4)
-    copies = [_edited(codes, rng) for codes in items for _ in range(each)]
-    met, number = np.zeros((len(items), each), dtype=bool), 0
-    for walk in walks:
-        for row in _hits(walk, items, copies, np.repeat(np.arange(len(items)), each)):
-            met |= row.reshape(met.shape)
-            number += 1
-            worst = np.argsort(met[:, ::2].mean(axis=1), kind="stable")[: -(-len(items) // 4)]
-            if met[worst, 1::2].mean() >= recall:
-                return number
-    return None
+    by_class: dict[int, list[int]] = {}
+    for i, text in enumerate(texts):
+        by_class.setdefault(int(log(len(text), 1.2)), []).append(i)
+    walks, needed = np.zeros(len(texts), dtype=np.int64), np.full(len(texts), 2)
+    rng, slack = np.random.default_rng(seed), shift_slack(limits)
+    for members in by_class.values():
+        of = [members[i % len(members)] for i in range(max(TRIALS, len(members)))]
+        copies = [_edited(texts[i], limits[i], rng) for i in of]
+        _, codes, starts = joined_codes(copies)
+        ends, parts, enough = np.flatnonzero(codes == 0), [], {}
+        for number in range(MOST_WALKS):
+            plan = walk_plan(seed + number)
+            rows, _ = walk_hashes(plan, codes, starts)
+            own = [table.hits(row, starts) for table, row in zip(item_tables(plan, texts, members), rows)]
+            for hits in own:  # only those of the copy's own item count
+                same = np.array(of)[np.searchsorted(ends, hits.at)] == hits.item
+                parts.append(Hits(hits.at[same], hits.item[same], hits.offset[same]))
+            for hits_needed in (1, 2):
+                if hits_needed not in enough:
+                    places = Hits.join(parts).agreeing(slack, np.full(len(texts), hits_needed))
+                    met = {int(np.searchsorted(ends, max(first, 0))) for _, first, _ in places}
+                    met |= {int(np.searchsorted(ends, max(last, 0))) for _, _, last in places}
+                    if len(met) >= recall * len(of):
+                        enough[hits_needed] = number + 1
+            if 2 in enough:
+                break
+        hits_needed = 2 if 2 in enough else 1
+        walks[members], needed[members] = enough.get(hits_needed, 0), hits_needed
+    return walks, needed
 
 
 @dataclass
@@ -353,28 +402,35 @@ def gram_keys(codes: np.ndarray, gram: int) -> np.ndarray:
     return keys
 
 
+def _shared(keys: np.ndarray, own: np.ndarray, counts: np.ndarray, held: np.ndarray) -> int:
+    """How many of an item's n-grams are among ``keys``, each as often as both have it; ``held`` is all zero."""
+    held[own] = counts
+    there, times = np.unique(keys[held[keys] > 0], return_counts=True)
+    shared = int(np.minimum(held[there], times).sum())
+    held[own] = 0
+    return shared
+
+
 @dataclass
 class Lookup:
     """Items found by their characters, without a miss: by the n-grams that so few edits must leave."""
 
-    tables: list[tuple[Segment, np.ndarray]]
+    parts: list[tuple[Segment, np.ndarray]]
 
     @classmethod
     def build(cls, items: list[tuple[int, str, int]]) -> Lookup:
-        tables = []
-        for item, text, limit in items:
-            for segment in segments(item, len(text), limit):
-                held = np.zeros(1 << GRAM_BITS, dtype=np.int32)
-                held[gram_keys(_codes(text[segment.offset : segment.offset + segment.size]), segment.gram)] = 1
-                tables.append((segment, held))
-        return cls(tables)
+        own = [(s, text) for item, text, limit in items for s in segments(item, len(text), limit)]
+        return cls([(s, gram_keys(_codes(text[s.offset : s.offset + s.size]), s.gram)) for s, text in own])
 
     def places(self, codes: np.ndarray) -> Iterator[tuple[Segment, int, int]]:
         """Each segment with the first and last character (exclusive) of where it may stand."""
-        keys = {gram: gram_keys(codes, gram) for gram in {segment.gram for segment, _ in self.tables}}
-        for segment, held in self.tables:
+        keys = {gram: gram_keys(codes, gram) for gram in {segment.gram for segment, _ in self.parts}}
+        held = np.zeros(1 << GRAM_BITS, dtype=bool)
+        for segment, own in self.parts:
             wide = segment.size + segment.errors
+            held[own] = True
             total = np.cumsum(held[keys[segment.gram]], dtype=np.int32)
+            held[own] = False
             if not len(total):
                 continue
             # Windows end at every n-gram; one that the text begins or ends in is cut off there.
@@ -388,86 +444,108 @@ class Lookup:
 
 @dataclass
 class Index:
-    """Items with their hashes, sorted per plan and sample, and a bit table that rules out most windows.
-
-    Items that samples do not find often enough are looked up by their characters.
-    """
+    """Items with their edits allowed, the tables of each walk, and the items that are looked up instead."""
 
     ids: list
     texts: list[str]
-    plans: list[Plan]
-    tables: list[list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]]
-    by_chars: list[int]
+    limits: list[int]
+    needed: np.ndarray
+    grams: list[list[tuple[np.ndarray, np.ndarray]]]
+    plans: list[tuple[Plan, list[Table]]]
+    lookup: Lookup
 
     @classmethod
-    def build(cls, items: list[tuple], recall: float, seed: int) -> Index:
-        split = [(item, words) for item, words in ((item, words_of(text)) for item, text in items) if words]
-        codes = [symbols(words) for _, words in split]
-        codes = [symbols(words) for _, words in split]
-        plans, wanted, looked_up = make_plans(codes, recall, seed)
-        tables, starts = [], np.cumsum([0] + [len(c) + 1 for c in codes[:-1]])
-        for plan, users in zip(plans, wanted):
-            table = []
-            for row, members in zip(walk_hashes(plan, ended(codes)), users):
-                own = [(i, o) for i in members for o in range(len(codes[i]) - LONGEST_WALK + 1)]
-                item, offset = np.array(own, dtype=np.int64).T
-                keys = row[starts[item] + offset]
-                order = np.argsort(keys, kind="stable")
-                maybe = np.zeros(1 << TABLE_BITS, dtype=bool)
-                maybe[keys >> np.uint64(64 - TABLE_BITS)] = True
-                table.append((keys[order], item[order], offset[order], maybe))
-            tables.append(table)
-        joined = [b" ".join(words).decode("utf-8", "replace") for _, words in split]
-        return cls([item for item, _ in split], joined, plans, tables, looked_up)
-
-    def candidates(self, codes: np.ndarray, starts: np.ndarray) -> set[tuple[int, int, int]]:
-        """``(piece, item, first word)`` of every item that shares a hash with a window of a piece."""
-        shift, found = np.uint64(64 - TABLE_BITS), set()
-        for table, plan in zip(self.tables, self.plans):
-            for row, (keys, items, offsets, maybe) in zip(walk_hashes(plan, codes), table):
-                places = np.flatnonzero(maybe[row >> shift])
-                low, high = np.searchsorted(keys, row[places], "left"), np.searchsorted(keys, row[places], "right")
-                times = high - low
-                at = np.repeat(places, times)
-                key = np.arange(len(at)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(low, times)
-                piece = np.searchsorted(starts, at, "right") - 1
-                first = np.maximum(at - starts[piece] - offsets[key], 0)
-                found.update(zip(piece.tolist(), items[key].tolist(), first.tolist()))
-        return found
-
-    def matches(self, texts: list[str], similarity: float) -> list[tuple]:
+    def build(cls, items: list[tuple], recall: float, seed: int, similarity: float = SIMILARITY) -> Index:
+        own = [(item, words) for item, words in ((item, plain(text)) for item, text in items) if words]
+        texts = [words for _, words in own]
+        limits = [int((1 - similarity) * len(text) + 1e-9) for text in texts]
+        walks, needed = make_plans(texts, limits, recall, seed)
+        plans = []
+        for number in range(int(walks.max(initial=0))):
+            plan = walk_plan(seed + number)
+            plans.append((plan, item_tables(plan, texts, np.flatnonzero(walks > number).tolist())))
+        looked_up = [(i, texts[i], limits[i]) for i in np.flatnonzero(walks == 0).tolist()]
+        grams = [[np.unique(gram_keys(_codes(text), g), return_counts=True) for g in SHARED_GRAMS] for text in texts]
+        return cls([item for item, _ in own], texts, limits, needed, grams, plans, Lookup.build(looked_up))
+
+    def candidates(self, codes: np.ndarray, starts: np.ndarray) -> list[tuple[int, int, int]]:
+        """``(item, first, last)``: characters at which each item may begin."""
+        parts = []
+        for plan, tables in self.plans:
+            rows, _ = walk_hashes(plan, codes, starts)
+            parts += [table.hits(row, starts) for table, row in zip(tables, rows)]
+        return Hits.join(parts).agreeing(shift_slack(self.limits), self.needed) if parts else []
+
+    def places(self, text: str, codes: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """``(item, low, high)``: parts of ``text`` that hold all of any place of an item.
+
+        Of the places that hashes name, those with too few of the item's n-grams for so few edits go.
+        """
+        keys = {gram: gram_keys(codes, gram) for gram in SHARED_GRAMS}
+        held = np.zeros(1 << GRAM_BITS, dtype=np.int32)
+        for item, first, last in self.candidates(codes, starts):
+            size, limit = len(self.texts[item]), self.limits[item]
+            low, high = max(first - limit, 0), min(last + size + limit, len(codes))
+            if all(
+                _shared(keys[gram][low : high - gram + 1], own, counts, held) >= size + 1 - gram * (limit + 1)
+                for gram, (own, counts) in zip(SHARED_GRAMS, self.grams[item])
+            ):
+                yield item, low, high
+        if not self.lookup.parts:
+            return
+        regions: dict[int, list[list[int]]] = {}
+        for segment, low, high in self.lookup.places(_codes(text)):
+            item, size = segment.item, len(self.texts[segment.item])
+            low -= segment.offset + self.limits[item]
+            high += size - segment.offset - segment.size + self.limits[item]
+            regions.setdefault(item, []).append([max(low, 0), min(high, len(text))])
+        for item, own in regions.items():
+            widest, joined = 4 * len(self.texts[item]), []
+            for low, high in sorted(own):
+                if joined and low <= joined[-1][1] and high - joined[-1][0] <= widest:
+                    joined[-1][1] = max(joined[-1][1], high)
+                else:
+                    joined.append([low, high])
+            for low, high in joined:
+                for part in _overlapping(low, high, widest, widest // 2):
+                    yield item, *part
+
+    def matches(self, texts: list[str]) -> list[tuple]:
         """``(text number, item, first word, edit distance)`` of each item's closest place in each text.
 
         Texts are walked many at a time. A very long one is taken in blocks that overlap by more
         than the longest item.
         """
         best: dict[tuple[int, int], tuple[int, int]] = {}
-        limits = [int((1 - similarity) * len(text) + 1e-9) for text in self.texts]
-        sizes = [len(text.split(" ")) for text in self.texts]
-        overlap = max((max(2 * size, size + limit) for size, limit in zip(sizes, limits)), default=0) + 8
-        slack = [2 + limit // 2 for limit in limits]  # words that so many edits can shift a place by
-        lookup = Lookup.build([(item, self.texts[item], limits[item]) for item in self.by_chars])
+        overlap = 2 * max(map(len, self.texts), default=0) + 8  # words; each has a character and a blank
         pending, size, waiting = [], 0, []
 
         def settle() -> None:
-            codes = ended([symbols(words) for _, _, words in pending])
-            starts = np.cumsum([0] + [len(words) + 1 for _, _, words in pending])
-            for piece, item, low, high in merged(self.candidates(codes, starts[:-1]), slack):
-                doc, first, words = pending[piece]
-                begin, near = self._near(item, low, high, words, slack[item])
-                waiting.append((doc, item, first + begin, near))
+            text, codes, starts = joined_codes([piece for _, _, piece in pending])
+            bounds = np.cumsum([0] + [len(piece) + 1 for _, _, piece in pending])
+            for item, low, high in self.places(text, codes, starts):
+                low, high = max(low, 0), min(high, len(text))
+                for number in range(*(np.searchsorted(bounds, [low, high - 1], "right") - [1, 0]).tolist()):
+                    doc, first, piece = pending[number]
+                    own = int(bounds[number])
+                    end = own + len(piece)
+                    begin = text.rfind(" ", own, max(low, own)) + 1 or own
+                    last = text.find(" ", min(high, end), end)
+                    word = np.searchsorted(starts, np.array([own, begin], dtype=np.int32))
+                    near, first = text[begin : end if last < 0 else last], first + int(word[1] - word[0])
+                    exact = near.find(self.texts[item])
+                    if exact >= 0:
+                        place = (0, first + near[:exact].count(" "))
+                        best[doc, item] = min(best.get((doc, item), place), place)
+                    elif best.get((doc, item), (1, 0))[0]:
+                        waiting.append((doc, item, first, near))
                 if len(waiting) >= 4 * PAIRS_AT_ONCE:
                     verify()
-            if lookup.tables:
-                for piece, item, begin, near in self._spotted(lookup, limits, [words for _, _, words in pending]):
-                    waiting.append((pending[piece][0], item, pending[piece][1] + begin, near))
-                    if len(waiting) >= 4 * PAIRS_AT_ONCE:
-                        verify()
 
         def verify() -> None:
             distances = edit_distances([(self.texts[item], near) for _, item, _, near in waiting])
             for (doc, item, first, near), distance in zip(waiting, distances):
-                if distance <= limits[item]:
+                if distance <= self.limits[item]:
                     self._keep(best, doc, item, first, near, distance)
             waiting.clear()
 
@@ -477,9 +555,10 @@ class Index:
                 kept = words[-overlap:]
                 first += len(words) - len(kept)
                 words = kept + block.translate(None, _PUNCTUATION).split()
-                pending.append((doc, first, words))
-                size += len(words)
-                if size > WORDS_PER_WALK:
+                piece = b" ".join(words).decode("utf-8", "replace")
+                pending.append((doc, first, piece))
+                size += len(piece)
+                if size > CHARS_PER_WALK:
                     settle()
                     pending, size = [], 0
         if pending:
@@ -487,43 +566,6 @@ class Index:
         verify()
         return [(doc, item, at, distance) for (doc, item), (distance, at) in sorted(best.items())]
 
-    def _near(self, item: int, low: int, high: int, words: list[bytes], slack: int) -> tuple[int, str]:
-        """The first word and the text of the places ``low`` to ``high`` with room for edits on both sides."""
-        begin = max(low - slack, 0)
-        last = high + self.texts[item].count(" ") + 1 + slack
-        return begin, b" ".join(words[begin:last]).decode("utf-8", "replace")
-
-    def _spotted(
-        self, lookup: Lookup, limits: list[int], pieces: list[list[bytes]]
-    ) -> Iterator[tuple[int, int, int, str]]:
-        """``(piece, item, first word, text)`` of every place that may hold an item of ``lookup``."""
-        whole = [b" ".join(words).decode("utf-8", "replace") for words in pieces]
-        text = "\n".join(whole)
-        codes = _codes(text)
-        bounds = np.cumsum([0] + [len(part) + 1 for part in whole])
-        spaces = np.flatnonzero(codes == 32)
-        regions: dict[int, list[list[int]]] = {}
-        for segment, low, high in lookup.places(codes):
-            item, size = segment.item, len(self.texts[segment.item])
-            low -= segment.offset + limits[item]
-            high += size - segment.offset - segment.size + limits[item]
-            regions.setdefault(item, []).append([max(low, 0), min(high, len(text))])
-        for item, own in regions.items():
-            widest, joined = 4 * len(self.texts[item]), []
-            for low, high in sorted(own):
-                if joined and low <= joined[-1][1] and high - joined[-1][0] <= widest:
-                    joined[-1][1] = max(joined[-1][1], high)
-                else:
-                    joined.append([low, high])
-            joined = [cut for low, high in joined for cut in _overlapping(low, high, widest, widest // 2)]
-            for low, high in joined:
-                for piece in range(*np.searchsorted(bounds, [low, high - 1], "right") - [1, 0]):
-                    start, end = bounds[piece], bounds[piece + 1] - 1
-                    begin = text.rfind(" ", start, max(low, start)) + 1 or start
-                    last = text.find(" ", min(high, end), end)
-                    first = np.searchsorted(spaces, [start, begin])
-                    yield piece, item, int(first[1] - first[0]), text[begin : end if last < 0 else last]
-
     def _keep(self, best: dict, doc: int, item: int, first: int, near: str, distance: int) -> None:
         """Note the place of a match, the closest and then the first in its document."""
         pattern = self.texts[item]
@@ -542,22 +584,10 @@ def _overlapping(low: int, high: int, size: int, overlap: int) -> list[tuple[int
     return [(at, min(at + size, high)) for at in range(low, high - overlap, size - overlap)]
 
 
-def merged(places: set[tuple[int, int, int]], slack: list[int]) -> list[tuple[int, int, int, int]]:
-    """``(piece, item, first, last)``: places of an item in a piece that lie within its ``slack`` of the next, as one."""
-    found: list[list[int]] = []
-    for piece, item, at in sorted(places):
-        last = found[-1] if found else None
-        if last and last[0] == piece and last[1] == item and at - last[3] <= slack[item] and at - last[2] <= WIDEST:
-            last[3] = at
-        else:
-            found.append([piece, item, at, at])
-    return [tuple(place) for place in found]
-
-
-def _finder(index: Broadcast, similarity: float):
+def _finder(index: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = index.value.matches(batch.column(1).to_pylist(), similarity)
+            found = index.value.matches(batch.column(1).to_pylist())
             doc, *columns = zip(*found) if found else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(doc, type=pa.int64())), *(pa.array(c, type=pa.int64()) for c in columns)],
@@ -584,7 +614,11 @@ def contaminated(
     A document holds an item if a part of it is within ``1 - similarity`` of the item's length in
     edits, both as lower-case words without punctuation. Texts are read once per block of
     ``items_per_pass`` items and never move. Null and empty texts and items match nothing, null
-    ids are carried, repeated rows each come back, other columns are dropped.
+    ids are carried, repeated rows each come back, other columns are dropped. Of several places of an
+    item in a document the closest counts, then the first. ``recall`` is that of copies with as many
+    random edits as are allowed, the hardest to find; items whose length class falls short of it with
+    all walks are looked up by their characters, without a miss. A worker holds the block's hashes,
+    some 12 KB per item, and 24 bytes per character of the texts walked together.
     """
     spark, source = docs.sparkSession, texts(docs, id_col, text_col)
     items = benchmark.select(
@@ -597,9 +631,9 @@ def contaminated(
         block = [(row["item"], row["words"]) for row in islice(rows, items_per_pass)]
         if found is not None and not block:
             return found
-        index = Index.build(block, recall, seed)
+        index = Index.build(block, recall, seed, similarity)
         hits = source.mapInArrow(
-            _finder(spark.sparkContext.broadcast(index), similarity),
+            _finder(spark.sparkContext.broadcast(index)),
             T.StructType([
                 source.schema[id_col], T.StructField("_item", T.LongType()),
                 T.StructField("first_word", T.LongType()), T.StructField("edit_distance", T.LongType()),
@@ -615,5 +649,4 @@ def drop_contaminated(
 ) -> DataFrame:
     """``docs`` without the documents that hold an item, all columns kept; rows with a null id stay."""
     found = contaminated(docs, benchmark, id_col, text_col, item_col="item_id", **search)
-    gone = found.select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    return drop_ids(docs, found.select(id_col).dropna().distinct(), id_col)

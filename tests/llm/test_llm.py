@@ -394,12 +394,19 @@ def test_edit_distances_side_by_side():
     assert decontaminate.edit_distances(pairs) == [decontaminate.edit_distance(*pair)[0] for pair in pairs]
 
 
-def test_merged_places_cover_every_candidate():
+def test_places_that_agree_cover_their_hits():
     rng = random.Random(8)
-    places = {(rng.randrange(3), rng.randrange(3), rng.randrange(400)) for _ in range(300)}
-    spans = decontaminate.merged(places, [5, 9, 30])
-    assert all(any(s[:2] == p[:2] and s[2] <= p[2] <= s[3] for s in spans) for p in places)
-    assert max(last - first for _, _, first, last in spans) <= decontaminate.WIDEST
+    hits = [(rng.randrange(4000), rng.randrange(3), rng.randrange(40)) for _ in range(300)]
+    made = decontaminate.Hits(*(np.array(c) for c in zip(*hits)))
+    slack = np.array([5, 9, 30])
+    one = made.agreeing(slack, np.full(3, 1))
+    assert all(any(i == item and low <= at - o <= high for i, low, high in one) for at, item, o in hits)
+    two = made.agreeing(slack, np.full(3, 2))
+    begins = {(item, at - o, at) for at, item, o in hits}
+    for item, begin, at in begins:
+        near = any(i == item and (b, a) != (begin, at) and abs(b - begin) <= slack[item] for i, b, a in begins)
+        assert near == any(i == item and low <= begin <= high for i, low, high in two) or not near
+    assert len(two) < len(one)
 
 
 def test_decontamination(spark, documents, tables):
@@ -432,7 +439,7 @@ def test_decontamination_of_a_long_text(monkeypatch):
     item = " ".join(f"word{i}" for i in range(40))
     index = decontaminate.Index.build([(5, item)], 0.99, 7)
     text = " ".join(f"x{i}" for i in range(300_000)) + " " + item + " end"
-    assert index.matches([text, "none", item], 0.8) == [(0, 0, 300_000, 0), (2, 0, 0, 0)]
+    assert index.matches([text, "none", item]) == [(0, 0, 300_000, 0), (2, 0, 0, 0)]
 
 
 def test_short_items_are_found_wherever_the_edits_are():
@@ -452,24 +459,53 @@ def test_short_items_are_found_wherever_the_edits_are():
         (t, i): d for t, text in enumerate(words) for i, item in items
         if (d := decontaminate.edit_distance(item, text)[0]) <= int(0.2 * len(item) + 1e-9)
     }
-    assert {(t, i): d for t, i, _, d in index.matches(texts, 0.8)} == want and len(want) >= 40
+    assert {(t, i): d for t, i, _, d in index.matches(texts)} == want and len(want) >= 40
     # Every word edited, the first one too.
-    assert decontaminate.Index.build([(1, "abcde fghij klmno pqrst")], 0.99, 7).matches(["x abcdf fghik klmnp pqrsu"], 0.8)
-
-
-def test_samples_suffice_for_the_items_with_fewest_windows():
-    rng = np.random.default_rng(3)
-    items = [rng.integers(1, 1 << 32, n, dtype=np.uint32) for n in [40] * 70 + [16] * 10]
-    plans, wanted, looked_up = decontaminate.make_plans(items, 0.95, 7)
-    assert len({plan.seed for plan in plans}) > 1
-    short = [i for i in range(70, 80) if i not in looked_up]
-    copies = [decontaminate._edited(items[i], rng) for i in short for _ in range(50)]
-    met = np.zeros(len(copies), dtype=bool)
-    for plan, users in zip(plans, wanted):
-        rows = decontaminate._hits(plan, [items[i] for i in short], copies, np.repeat(np.arange(len(short)), 50))
-        for row, members in zip(rows, users):
-            met |= row & np.repeat([i in members for i in short], 50)
-    assert not short or met.mean() >= 0.93
+    assert decontaminate.Index.build([(1, "abcde fghij klmno pqrst")], 0.99, 7).matches(["x abcdf fghik klmnp pqrsu"])
+
+
+def _changed(rng, text, share, whole_words=False):
+    letter = lambda: rng.choice("abcdefghilmnorstu")
+    if whole_words:
+        words = text.split()
+        for at in rng.sample(range(len(words)), round(share * len(words))):
+            words[at] = "".join(letter() for _ in range(5))
+        return " ".join(words)
+    chars = list(text)
+    for at in rng.sample(range(len(chars)), round(share * len(chars))):
+        chars[at] = rng.choice([letter(), "", chars[at] + letter()])
+    return "".join(chars)
+
+
+@pytest.mark.parametrize("share, whole_words", [(0.02, False), (0.1, False), (0.15, False), (0.18, False), (0.1, True), (0.15, True)])
+def test_edited_copies_are_found_as_by_brute_force(tables, share, whole_words):
+    """Items of all lengths against whole texts; every row is compared with the exact distance of the pair."""
+    rng = random.Random(int(share * 100))
+    items = tables("SELECT item_id, text FROM '@benchmark.parquet'")
+    texts = [t or "" for (t,) in tables("SELECT text FROM '@documents.parquet' WHERE length(text) < 3000 ORDER BY doc_id")]
+    copies = [f"{texts[i]}\n{_changed(rng, item, share, whole_words)} {texts[i + 1]}" for i, (_, item) in enumerate(items)]
+    index = decontaminate.Index.build(items, decontaminate.RECALL, 7)
+    found = {(t, i): d for t, i, _, d in index.matches(copies)}
+    true = {}
+    for number, text in enumerate(copies):
+        plain = decontaminate.plain(text)
+        for item in {number, (number + 1) % len(items)} | {i for t, i in found if t == number}:
+            distance, _ = decontaminate.edit_distance(index.texts[item], plain)
+            if distance <= index.limits[item]:
+                true[number, item] = distance
+    assert all(true.get(pair) == distance for pair, distance in found.items())
+    assert len(found) >= (0.99 if share <= 0.1 or whole_words else 0.9) * len(true) and len(true) >= 0.9 * len(items)
+
+
+def test_clean_texts_are_left_alone(tables):
+    items = tables("SELECT item_id, text FROM '@benchmark.parquet'")
+    index = decontaminate.Index.build(items, decontaminate.RECALL, 7)
+    texts = [t or "" for (t,) in tables("SELECT text FROM '@documents.parquet' WHERE length(text) < 1500 ORDER BY doc_id LIMIT 60")]
+    true = {
+        (t, i): d for t, text in enumerate(map(decontaminate.plain, texts)) for i, item in enumerate(index.texts)
+        if (d := decontaminate.edit_distance(item, text)[0]) <= index.limits[i]
+    }
+    assert {(t, i): d for t, i, _, d in index.matches(texts)} == true
 
 
 def test_best_fit():
