@@ -125,10 +125,8 @@ def drop_ids(rows: DataFrame, removed: DataFrame, id_col: str, max_broadcast_byt
     Ids are compared by a 128-bit digest, which takes a fifth of a long id's bytes: four million
     fit the default broadcast, and the rows stay in place. Null ids stay.
     """
-    listed = removed.select(_id_digest(removed[id_col]).alias("_gone"))
-    return rows.join(
-        small_table(listed, max_broadcast_bytes), _id_digest(rows[id_col]) == F.col("_gone"), "left_anti"
-    )
+    listed = small_table(removed.select(_id_digest(removed[id_col]).alias("_gone")), max_broadcast_bytes)
+    return rows.join(listed, _id_digest(rows[id_col]) == listed["_gone"], "left_anti")
 
 
 def _id_digest(id_column: Column) -> Column:
