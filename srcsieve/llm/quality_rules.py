@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from srcsieve.llm.common import in_fold
 from srcsieve.llm.text_stats import COUNTS, features, with_counts
+from srcsieve.operators.joins import lookup_join
 from srcsieve.session import materialise
 
 MIN_WORDS = 10
@@ -168,20 +169,27 @@ def learn_rules(
     return rules
 
 
-def labelled(counts: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows to learn from: the label, the growing part and the features of labelled documents.
+def known_labels(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``(id_col, quality)`` to learn from: one row per id outside the held-out fold.
 
-    The held-out fold is left out, and so are rows that the base rules reject anyway. Of repeated labels the smallest counts; null labels do not.
+    Of repeated labels the smallest counts; null labels do not.
     """
-    known = (
+    return (
         labels.select(labels[id_col].alias(id_col), labels["quality"].alias("quality"))
         .where(F.col("quality").isNotNull() & ~in_fold(F.col(id_col)))
         .groupBy(id_col)
         .agg(F.min("quality").alias("quality"))
     )
+
+
+def labelled(counts: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """Rows to learn from: the label, the growing part and the features of labelled documents.
+
+    Rows that the base rules reject anyway are left out.
+    """
     columns = [c.alias(name) for name, c in features(F.col).items()]
     part = F.pmod(F.xxhash64(id_col), F.lit(3)) != 0
-    return counts.where(~base_failed(F.col)).join(known, id_col).select(
+    return counts.where(~base_failed(F.col)).join(known_labels(labels, id_col), id_col).select(
         (F.col("quality") == 0).alias("bad"), part.alias("growing"), *columns
     )
 
@@ -212,15 +220,17 @@ def drop_low_quality(
 ) -> DataFrame:
     """``docs`` without the rows that the base rules or the learned list reject, all columns kept.
 
-    Texts stay where they are: their statistics are taken once to learn from and once more in
-    the scan that judges them.
+    Texts stay where they are: those with a label are counted to learn from, and every text in the scan
+    that judges it. No name of a column can clash.
     """
-    counts = materialise(quality_counts(docs, id_col, text_col), "quality-counts")
+    narrow = docs.select(docs[id_col].alias(id_col), docs[text_col].alias("text"))
+    ids = known_labels(labels, id_col).select(id_col)
+    counts = materialise(quality_counts(lookup_join(narrow, ids, [id_col]), id_col, "text"), "quality-counts")
     rules = learn_rules(labelled(counts, labels, id_col), **learning)
-    columns = docs.columns
     count = lambda name: F.col("_counts")[name]
     rejected = base_failed(count) | (decision(rules, features(count)) > 0)
-    return with_counts(docs, docs[text_col]).where(~rejected).select(*columns)
+    row = docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row"))
+    return with_counts(row, F.col("_row")[text_col]).where(~rejected).select("_row.*")
 
 
 __all__ = ["COUNTS", "drop_low_quality", "learn_rules", "quality_verdicts"]
