@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from srcsieve.llm.common import LOWER, texts, word_blocks
 from srcsieve.operators.components import duplicate_components
-from srcsieve.operators.joins import attach_group
+from srcsieve.operators.joins import attach_group, drop_ids
 from srcsieve.session import materialise
 
 BITS = 64
@@ -148,5 +148,4 @@ def drop_near_duplicates(
     and stay or go together. All columns are kept.
     """
     gone = near_duplicates(docs, id_col, text_col, distance).where(F.col(id_col) != F.col("component_id"))
-    gone = gone.select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    return drop_ids(docs, gone.select(id_col).distinct(), id_col)
