@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from srcsieve.llm.text_stats import bound
-from srcsieve.operators.joins import attach_group
+from srcsieve.operators.joins import attach_group, lookup_join
 
 WINDOW = 3
 _WORD = r"[^\x20\x09-\x0D]"
@@ -76,27 +76,19 @@ def repeated_lines(
     return later.groupBy(id_col, "own").agg(F.sort_array(F.collect_set("at")).alias("starts"))
 
 
-def dedup_lines(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW
-) -> DataFrame:
-    """``docs``, all columns kept, with repeated lines removed from the text.
+def _of_document(id_column: Column, own: Column) -> Column:
+    """16 bytes for an id, null or not, and the hash of its text."""
+    named = F.concat_ws(":", own.cast("string"), F.when(id_column.isNull(), "-").otherwise("+"), id_column.cast("string"))
+    return F.unhex(F.md5(named.cast("binary")))
 
-    Adds ``_n_lines`` (lines with a word) and ``_n_removed``. Only windows of lines with a word
-    count, and only such lines go; the others stay where they are. The first occurrence is that
-    of the smallest id (null first), then text hash, then line; rows that repeat an id and a text
-    are one document and keep the same lines. Null texts stay null; a text with fewer lines than
-    ``window`` stays whole.
-    """
-    spans = repeated_lines(docs, id_col, text_col, window).select(
-        F.col(id_col).alias("_of"), F.col("own").alias("_own"), F.col("starts").alias("_starts")
-    )
+
+def _cut(docs: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
+    """``(_row, _kept, _n_lines, _n_removed)``: each row as it was given, the text kept, and the counts."""
+    spans = repeated_lines(docs, id_col, text_col, window)
+    spans = spans.select(_of_document(F.col(id_col), F.col("own")).alias("_of"), F.col("starts").alias("_starts"))
+    text, row = F.col("_row")[text_col], F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("_row")
     own = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
-    columns = docs.columns
-    joined = docs.withColumn("_key", own)
-    joined = joined.join(
-        spans, joined[id_col].eqNullSafe(spans["_of"]) & (F.col("_key") == spans["_own"]), "left"
-    )
-    text = F.col(text_col)
+    joined = lookup_join(docs.select(row, _of_document(docs[id_col], own).alias("_of")), spans, ["_of"], "left")
     lines = F.when(F.col("_starts").isNotNull(), F.split(text, "\n", -1))
     with_word = bound(lines, lambda all_lines: F.filter(
         F.sequence(F.lit(0), F.size(all_lines) - 1), lambda i: F.get(all_lines, i).rlike(_WORD)
@@ -107,19 +99,37 @@ def dedup_lines(
     stay = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_gone"))
     kept = F.transform(stay, lambda i: F.get(F.col("_lines"), i))
     n_lines = F.size(F.filter(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda line: line.rlike(_WORD)))
-    staged = staged.withColumns({
-        "_kept": F.when(F.col("_starts").isNull(), text).otherwise(F.array_join(kept, "\n")),
-        "_n_lines": n_lines,
-        "_n_removed": F.coalesce(F.size("_gone"), F.lit(0)),
-    })
     return staged.select(
-        *[F.col("_kept").alias(c) if c == text_col else F.col(c) for c in columns], "_n_lines", "_n_removed"
+        "_row",
+        F.when(F.col("_starts").isNull(), text).otherwise(F.array_join(kept, "\n")).alias("_kept"),
+        n_lines.alias("_n_lines"),
+        F.coalesce(F.size("_gone"), F.lit(0)).alias("_n_removed"),
     )
 
 
+def _given(columns: list[str], text_col: str) -> list[Column]:
+    return [(F.col("_kept") if c == text_col else F.col("_row")[c]).alias(c) for c in columns]
+
+
+def dedup_lines(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW
+) -> DataFrame:
+    """``docs``, all columns kept, with repeated lines removed from the text.
+
+    Adds ``_n_lines`` (lines with a word) and ``_n_removed``, in place of given columns of these names. Only
+    windows of lines with a word count, and only such lines go; the others stay where they are. The first occurrence is that
+    of the smallest id (null first), then text hash, then line; rows that repeat an id and a text
+    are one document and keep the same lines. Null texts stay null; a text with fewer lines than
+    ``window`` stays whole. Texts stay in place while the list of repeated windows fits a broadcast.
+    """
+    columns = [c for c in docs.columns if c not in ("_n_lines", "_n_removed")]
+    return _cut(docs, id_col, text_col, window).select(*_given(columns, text_col), "_n_lines", "_n_removed")
+
+
 def drop_repeated_lines(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW
 ) -> DataFrame:
     """``docs`` with repeated lines removed, without the documents that lose their last line by it."""
-    cut = dedup_lines(docs, id_col, text_col, window)
-    return cut.where((F.col("_n_removed") == 0) | (F.col("_n_removed") < F.col("_n_lines"))).select(*docs.columns)
+    cut = _cut(docs, id_col, text_col, window)
+    cut = cut.where((F.col("_n_removed") == 0) | (F.col("_n_removed") < F.col("_n_lines")))
+    return cut.select(*_given(docs.columns, text_col))

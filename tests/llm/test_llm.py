@@ -144,6 +144,35 @@ def test_near_duplicates_keep_one(spark, documents):
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+STAGES = {
+    "rules": lambda docs, spark: quality_rules.drop_low_quality(docs, labels(spark)),
+    "lines": lambda docs, spark: line_dedup.drop_repeated_lines(docs),
+    "simhash": lambda docs, spark: simhash.drop_near_duplicates(docs),
+    "benchmark": lambda docs, spark: decontaminate.drop_contaminated(
+        docs, spark.createDataFrame([(1, "an item of words that no text here holds"), (2, None)], "item_id long, text string")
+    ),
+}
+INTERNAL = (
+    "_counts", "_of_words", "_of_lines", "_row", "_key", "_lines", "_with_word", "_gone", "_kept", "_n_lines", "_n_removed",
+    "_starts", "_own", "_of", "_item", "_n", "_digest", "item_id", "fingerprint", "component_id", "quality", "starts", "own",
+)
+
+
+@pytest.mark.parametrize("name", STAGES)
+def test_stages_keep_columns_of_any_name(name, spark, documents):
+    lines = "\n".join(f"line {i} of a passage that is long enough to stay on its own" for i in range(4))
+    rows = [*ODD, (20, lines), (21, "begin\n" + lines + "\nend"), (21, "begin\n" + lines + "\nend")]
+    docs = documents(rows)
+    plain = STAGES[name](docs, spark)
+    clashing = STAGES[name](docs.withColumns({c: F.lit("x") for c in INTERNAL}), spark)
+    assert plain.columns == docs.columns and clashing.columns == [*docs.columns, *INTERNAL]
+    by_text = lambda frame: sorted(((r["doc_id"], r["text"]) for r in frame.collect()), key=repr)
+    assert by_text(plain) == by_text(clashing)
+    assert {r[c] for r in clashing.collect() for c in INTERNAL} <= {"x"}
+    empty = STAGES[name](docs.limit(0), spark)
+    assert empty.count() == 0 and empty.columns == docs.columns
+
+
 def test_token_counts_match_the_tokenizer():
     from tokenizers import Tokenizer, models, pre_tokenizers
 
