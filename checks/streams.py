@@ -12,6 +12,7 @@ from srcsieve.operators.quality import quality_filter_chain
 from srcsieve.schema import CODE_RECORD
 from srcsieve.session import scratch_path
 from srcsieve.streaming import archive_stream as A
+from srcsieve.streaming import latest_state as L
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -47,6 +48,16 @@ SQL["stream_latest_per_repo"] = sql(
 )
 
 
+def _running_latest(spark, sf):
+    path, checkpoint = scratch_path(spark, "running"), scratch_path(spark, "offsets")
+    L.start_running_latest(filter_event_types(_events(spark, sf)), path, checkpoint).awaitTermination()
+    return A.merge_latest(spark.read.schema(L.SCHEMA).parquet(path))
+
+
+Q["stream_running_latest"] = _running_latest
+SQL["stream_running_latest"] = SQL["stream_latest_per_repo"]
+
+
 def _new_repos(spark, sf):
     path, checkpoint = scratch_path(spark, "seen"), scratch_path(spark, "offsets")
     events = filter_event_types(_events(spark, sf))
