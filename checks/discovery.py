@@ -6,13 +6,15 @@ from pyspark.sql import functions as F
 
 from checks.views import language_map, sql, table, view
 from srcsieve.constants import EXCLUDED_EXTENSIONS, EXCLUDED_LANGUAGES, EXTRA_MIME_TYPES, IGNORED_DIRS, MONTHS
-from srcsieve.functions.text import file_suffix
+from srcsieve.functions.text import file_suffix, token_count
 from srcsieve.operators import discovery as D
 from srcsieve.operators import files as FI
 from srcsieve.operators import languages as L
 from srcsieve.operators import seen as S
+from srcsieve.operators import sketches
 from srcsieve.operators.reports import dataset_summary
 from srcsieve.plans import jobs
+from srcsieve.session import scratch_path
 from srcsieve.sources.archive import archive_paths
 
 Q: dict = {}
@@ -353,6 +355,59 @@ SQL["dataset_summary"] = sql(
 )
 
 
+def _monthly_sketches(spark, sf):
+    """Months summarised in two runs, merged from what was written."""
+    path, files = scratch_path(spark, "sketches"), view(spark, sf, "code_files")
+    for run in (0, 1):
+        sketches.save_sketches(files.where(F.col("month_no") % 2 == run), path, "month_no")
+    return sketches.summary_from_sketches(spark, path, quantiles=RANKS)
+
+
+RANKS = (0.1, 0.25, 0.5, 0.75, 0.9)
+
+
+def _summary_from_sketches(spark, sf):
+    """Sums and, for so few distinct values, frequent languages are exact; repositories are within their error."""
+    exact = view(spark, sf, "code_files").agg(F.count_distinct("repo_name")).scalar()
+    report = _monthly_sketches(spark, sf).withColumn("top", F.explode("top_languages"))
+    return report.select(
+        "files", "bytes", "tokens", F.coalesce("top.item", F.lit("none")).alias("language"), F.col("top.count").alias("n"),
+        (F.abs(F.col("repos") - exact) <= 0.025 * exact).alias("repos_within"),
+    )
+
+
+Q["summary_from_sketches"] = _summary_from_sketches
+SQL["summary_from_sketches"] = sql(
+    r"""SELECT t.files, t.bytes, t.tokens, coalesce(language, 'none') AS language, count(*) AS n, TRUE AS repos_within
+        FROM code_files, (SELECT count(*) AS files, CAST(sum(strlen(text)) AS BIGINT) AS bytes,
+               CAST(sum(len(regexp_extract_all(text, '[A-Za-z0-9_]+|[^A-Za-z0-9_\s]'))) AS BIGINT) AS tokens
+             FROM code_files) t
+        GROUP BY ALL""",
+    "code_files",
+)
+
+
+def _quantile_ranks(spark, sf):
+    """How far the true rank of each estimated quantile is from the rank asked for."""
+    values = _monthly_sketches(spark, sf).select("token_quantiles").scalar()
+    shares = view(spark, sf, "code_files").withColumn("tokens", token_count("text")).agg(*(
+        F.struct(
+            F.lit(rank).alias("rank"),
+            F.avg((F.col("tokens") <= values[nth]).cast("double")).alias("at_most"),
+            F.avg((F.col("tokens") < values[nth]).cast("double")).alias("below"),
+        ).alias(f"q{nth}")
+        for nth, rank in enumerate(RANKS)
+    ))
+    within = (F.col("below") <= F.col("rank") + 0.02) & (F.col("at_most") >= F.col("rank") - 0.02)
+    return shares.select(F.inline(F.array(*(f"q{nth}" for nth in range(len(RANKS)))))).select("rank", within.alias("within"))
+
+
+Q["token_quantiles_from_sketches"] = _quantile_ranks
+SQL["token_quantiles_from_sketches"] = sql(
+    f"SELECT CAST(rank AS DOUBLE) AS rank, count(*) > 0 AS within FROM code_files, unnest({list(RANKS)}) AS r(rank) GROUP BY 1", "code_files"
+)
+
+
 def _discover(spark, sf):
     return jobs.discover_repos(
         view(spark, sf, "archive_events"), _raw_meta(spark, sf), view(spark, sf, "seen"), _languages(spark, sf), 2
