@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks.views import sql, view
 from srcsieve.constants import MIN_VISIBLE_CHARS
 from srcsieve.functions import text as X
+from srcsieve.operators import comments as K
 from srcsieve.operators import quality as G
 
 
@@ -118,3 +119,63 @@ SQL["filter_report"] = sql(
               FROM code_files) t""",
     "code_files",
 )
+
+
+
+# -- comments: strings are put back as group 1, comments are not, so what is missing then was comment -----------------
+
+def _short(mark: str) -> str:
+    return rf"{mark}(?:\\(?s:.)|[^{mark}\\\n])*(?:{mark}|\n|\\?\z)"
+
+
+def _long(mark: str) -> str:
+    return rf"{mark}(?:\\(?s:.)|[^\\])*?(?:{mark}|\\?\z)"
+
+
+def _raw(mark: str) -> str:
+    return rf"{mark}[^{mark}]*(?:{mark}|\z)"
+
+
+SHORT = f'{_short(chr(34))}|{_short(chr(39))}'
+SLASHES = r"//[^\n]*|/\*(?s:.*?)(?:\*/|\z)"
+COMMENT_PATTERNS = {
+    "Python": f"({_long(chr(34) * 3)}|{_long(chr(39) * 3)}|{SHORT})|#[^\\n]*",
+    "JavaScript": f"({SHORT}|{_long('`')})|{SLASHES}",
+    "R": f"({_long(chr(34))}|{_long(chr(39))})|#[^\\n]*",
+    "XML": r"()<!--(?s:.*?)(?:-->|\z)",
+    "SQL": rf"({_raw(chr(34))}|{_raw(chr(39))})|--[^\n]*|/\*(?s:.*?)(?:\*/|\z)",
+    "C": f"({SHORT})|{SLASHES}",
+    "Go": f"({SHORT}|{_raw('`')})|{SLASHES}",
+}
+COMMENT_CHARS = "CASE language " + " ".join(
+    f"WHEN '{name}' THEN length(text) - length(regexp_replace(text, '{pattern.replace(chr(39), chr(39) * 2)}', '\\1', 'g'))"
+    for name, pattern in COMMENT_PATTERNS.items()
+) + " END"
+LEXED = f"(SELECT *, {COMMENT_CHARS} AS comment_chars FROM commented_files) lexed"
+COMMENT_SHARE = "CASE WHEN length(text) = 0 THEN 0.0 ELSE comment_chars::DOUBLE / length(text) END"
+
+Q["comment_share"] = lambda spark, sf: K.comment_share(view(spark, sf, "commented_files")).select(
+    "id", "language", "comment_chars", F.round("comment_share", 6).alias("comment_share")
+)
+SQL["comment_share"] = sql(
+    f"""SELECT id, language, CAST(comment_chars AS BIGINT) AS comment_chars,
+               round(CASE WHEN comment_chars IS NOT NULL THEN {COMMENT_SHARE} END, 6) AS comment_share FROM {LEXED}""",
+    "commented_files",
+)
+
+Q["comment_filter"] = lambda spark, sf: K.comment_filter(view(spark, sf, "commented_files"), 0.05, 0.6).select("id", "language", "text")
+SQL["comment_filter"] = sql(
+    f"SELECT id, language, text FROM {LEXED} WHERE comment_chars IS NULL OR {COMMENT_SHARE} BETWEEN 0.05 AND 0.6",
+    "commented_files",
+)
+
+Q["comment_share_by_language"] = lambda spark, sf: K.comment_share_by_language(
+    view(spark, sf, "commented_files")
+).withColumn("share", F.round("share", 6))
+SQL["comment_share_by_language"] = sql(
+    f"""SELECT language, count(*) AS files, CAST(sum(length(text)) AS BIGINT) AS chars,
+               CAST(sum(comment_chars) AS BIGINT) AS comment_chars,
+               round(coalesce(sum(comment_chars)::DOUBLE / nullif(sum(length(text)), 0), 0), 6) AS share
+        FROM {LEXED} WHERE comment_chars IS NOT NULL GROUP BY 1""",
+    "commented_files",
+)

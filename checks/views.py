@@ -120,7 +120,19 @@ SELECT doc_id + 1000000000, CASE doc_id % 4 WHEN 0 THEN text || ' and a tail of
 FROM documents
 """
 
+# Whole texts as code of seven languages: some of their words open or close comments and strings.
+COMMENTED_FILES = """
+SELECT doc_id AS id, CASE doc_id % 8 WHEN 0 THEN 'Python' WHEN 1 THEN 'JavaScript' WHEN 2 THEN 'R' WHEN 3 THEN 'XML'
+            WHEN 4 THEN 'SQL' WHEN 5 THEN 'C' WHEN 6 THEN 'Go' ELSE 'Unheard of' END AS language,
+       replace(replace(replace(replace(replace(replace(replace(replace(replace(text,
+         ' the ', ' # -- // the '), ' of ', ' of' || chr(10)), ' and ', ' /* and <!-- '), ' to ', ' to */ --> '),
+         ' a ', ' "a '), ' in ', ' in" '), ' is ', ' `is' || chr(39) || ' '), ' for ', ' ' || chr(92) || '" for '),
+         ' that ', ' ' || repeat('"', 3) || 'that ') AS text
+FROM documents
+"""
+
 VIEWS = {
+    "commented_files": COMMENTED_FILES,
     "code_files": CODE_FILES,
     "tree_files": TREE_FILES,
     "html_files": HTML_FILES,
