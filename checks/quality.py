@@ -9,6 +9,7 @@ from srcsieve.constants import MIN_VISIBLE_CHARS
 from srcsieve.functions import text as X
 from srcsieve.operators import comments as K
 from srcsieve.operators import quality as G
+from srcsieve.operators.rank_tokens import rank_token_count
 
 
 Q: dict = {}
@@ -179,3 +180,17 @@ SQL["comment_share_by_language"] = sql(
         FROM {LEXED} WHERE comment_chars IS NOT NULL GROUP BY 1""",
     "commented_files",
 )
+
+# -- tokens by a trained vocabulary: merges have no SQL form, the tests compare them with a library and by brute force --
+
+BRUTE_FORCE = {"rank_token_count"}
+
+
+def _ranked(spark, sf):
+    import public_tokenizers
+
+    count = rank_token_count(spark, public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return view(spark, sf, "code_files").select("id", count("text").alias("tokens"))
+
+
+Q["rank_token_count"] = _ranked

@@ -6,11 +6,12 @@ from collections.abc import Callable, Iterator
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from srcsieve import constants as K
 from srcsieve.functions import text as X
 from srcsieve.operators.joins import lookup_join, once
+from srcsieve.operators.rank_tokens import rank_token_count
 
 Step = Callable[[DataFrame], DataFrame]
 
@@ -92,11 +93,18 @@ def model_token_count(model_path: str) -> Callable[[Column], Column]:
     return count
 
 
+def _counter(tokenizer: str) -> Callable[[Column], Column]:
+    """Merge ranks where the file is a list of ranks (``.tiktoken``), else a SentencePiece model."""
+    if tokenizer.endswith(".tiktoken"):
+        return rank_token_count(SparkSession.active(), tokenizer)
+    return model_token_count(tokenizer)
+
+
 def _fertility(tokenizer: str | None, reached: Column | None = None) -> Column:
     """Characters per token. A model gets only texts that ``reached`` the rule: a condition
     around a Python function does not keep it from running, so the others go in as null."""
     text = F.col("text") if reached is None else F.when(reached, F.col("text"))
-    tokens = model_token_count(tokenizer)(text) if tokenizer else None
+    tokens = _counter(tokenizer)(text) if tokenizer else None
     return X.chars_per_token("text", tokens)
 
 
@@ -105,8 +113,8 @@ def token_fertility_filter(
 ) -> DataFrame:
     """Enough characters per token; the score is not stored.
 
-    ``tokenizer`` is the path of a SentencePiece model. Without one, tokens are counted by
-    a pattern, which only approximates a trained tokenizer.
+    ``tokenizer`` is the path of a SentencePiece model, or of a byte-pair vocabulary with merge ranks
+    (``.tiktoken``). Without one, tokens are counted by a pattern, which only approximates a trained tokenizer.
     """
     return score_filter(df, _fertility(tokenizer), lambda ratio: ratio >= min_ratio)
 

@@ -24,9 +24,9 @@ def db():
 NAMES = sorted(name for area in registry.AREAS for name in area.Q)
 
 
-def test_every_query_has_an_oracle():
+def test_every_query_has_an_oracle_or_a_brute_force_test():
     assert set(NAMES) <= set(registry.queries())
-    assert set(NAMES) <= set(registry.oracle_sql())
+    assert set(NAMES) - set(registry.oracle_sql()) == registry.quality.BRUTE_FORCE
 
 
 @pytest.mark.parametrize("name", NAMES)
