@@ -81,15 +81,16 @@ def parse_notebook(df: DataFrame) -> DataFrame:
     """Add ``nb``, the parsed notebook; null for malformed ones and for other files.
 
     The JVM's parser refuses names beyond a length and repeated names, which may stand in parts
-    that are never used. Texts it refuses, and no others, are read again by the standard parser.
+    that are never used. Texts it refuses, and no others, are read again by the standard parser, in a
+    branch of their own: no other row passes through Python.
     """
     first = df.select("*", once(F.when(is_notebook() & _has_text(), _parsed(F.col("text"))).alias("_nbs")))
-    opened = first.select(*df.columns, once(_open(F.col("_nbs")).alias("_nb")))
-    lost = F.col("_nb")["metadata"]["language_info"].isNull() & F.contains("text", F.lit('"language_info"'))
-    refused = is_notebook() & _has_text() & (F.col("_nb").isNull() | lost)
-    again = opened.withColumn("_again", _read_again(F.when(refused, F.col("text"))))
-    second = F.when(F.col("_again").isNotNull(), _open(_parsed(F.col("_again")))).otherwise(F.col("_nb"))
-    return again.select(*df.columns, once(second.alias("nb")))
+    opened = first.select(*df.columns, once(_open(F.col("_nbs")).alias("nb")))
+    lost = F.col("nb")["metadata"]["language_info"].isNull() & F.contains("text", F.lit('"language_info"'))
+    refused = F.coalesce(is_notebook() & _has_text() & (F.col("nb").isNull() | lost), F.lit(False))
+    again = opened.where(refused).withColumn("_again", _read_again("text"))
+    second = F.when(F.col("_again").isNotNull(), _open(_parsed(F.col("_again")))).otherwise(F.col("nb"))
+    return opened.where(~refused).unionByName(again.select(*df.columns, once(second.alias("nb"))))
 
 
 def _source_text(source: Column) -> Column:
