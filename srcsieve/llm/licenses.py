@@ -25,19 +25,28 @@ PHRASES = {
     "apache license version 2": "apache-2",
     "cc by nc": "cc-by-nc",
 }
-#: Sentences of common notices and the label each stands for.
+#: A block is so many consecutive lines, since notices are wrapped; one starts at every line.
+BLOCK_LINES = 3
+#: Sentences of common notices and the label each stands for. Words after a ``*`` tell a notice from similar ones, so a
+#: block must hold them. A notice that holds all words of another has both labels: a Lesser GPL one is also ``gpl``.
 TEMPLATES = (
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    ("mit", "released under the mit license"),
-    ("apache-2", "licensed under the apache license version 2 0"),
-    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted"),
-    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license"),
-    ("lgpl", "under the terms of the gnu lesser general public license"),
-    ("mpl-2", "this source code form is subject to the terms of the mozilla public license"),
-    ("cc-by", "licensed under a creative commons attribution international license"),
-    ("cc-by-nc", "licensed under a creative commons attribution noncommercial license"),
-    ("cc-by-sa", "licensed under a creative commons attribution sharealike license"),
-    ("proprietary", "all rights reserved no part of this may be reproduced without permission"),
+    ("mit", "permission is hereby *granted free of charge to any person obtaining a copy of this software"),
+    ("mit", "released under the *mit license"),
+    ("mit", "licensed under the *mit license"),
+    ("apache-2", "licensed under the *apache license version 2 0"),
+    ("bsd", "*redistribution and use in source and *binary forms with or without modification are permitted"),
+    ("bsd", "released under the *bsd license"),
+    ("bsd", "licensed under the *bsd license"),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the *gnu general public license"),
+    ("gpl", "licensed under the *gnu *general public license version"),
+    ("lgpl", "under the terms of the gnu *lesser general public license"),
+    ("lgpl", "licensed under the gnu *lesser general public license version"),
+    ("mpl-2", "this source code form is subject to the terms of the *mozilla public license"),
+    ("mpl-2", "licensed under the *mozilla public license version"),
+    ("cc-by", "licensed under a creative commons *attribution international license"),
+    ("cc-by-nc", "licensed under a creative commons attribution *noncommercial license"),
+    ("cc-by-sa", "licensed under a creative commons attribution *sharealike license"),
+    ("proprietary", "all rights *reserved no part of this may be *reproduced without permission"),
 )
 _APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -68,9 +77,21 @@ def _phrase_pattern() -> str:
     return "|".join(_APART.join(phrase.split(" ")) for phrase in PHRASES)
 
 
-def _scan(docs: DataFrame, id_col: str, text_col: str, templates: list[tuple[str, list[str]]], least: int) -> DataFrame:
-    """Per row its words, places of each phrase, and the lines with ``least`` template words or more."""
-    vocabulary = sorted({w for _, words in templates for w in words})
+def _read(templates: tuple[tuple[str, str], ...]) -> list[tuple[str, list[str], list[str]]]:
+    """``(label, distinct words, telling words)`` of each template."""
+    plain = [(label, notice.split(" ")) for label, notice in templates]
+    return [
+        (label, sorted({w.lstrip("*") for w in words}), sorted({w[1:] for w in words if w.startswith("*")}))
+        for label, words in plain
+    ]
+
+
+def _scan(docs: DataFrame, id_col: str, text_col: str, templates: list[tuple], least: int) -> DataFrame:
+    """Per row its words, places of each phrase, and the blocks with ``least`` template words or more.
+
+    A block that starts with a line without any holds no more than the next block, and is left out.
+    """
+    vocabulary = sorted({w for entry in templates for w in entry[1]})
     text = lower_ascii(F.coalesce(docs[text_col], F.lit("")))
     low = docs.select(docs[id_col].alias(id_col), text.alias("text"))
     lines = F.transform(F.split("text", "\n", -1), _words)
@@ -79,12 +100,15 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, templates: list[tuple[str
         F.flatten("lines"), lambda words: F.struct(*[_starts(words, p).alias(f"p{i}") for i, p in enumerate(PHRASES)])
     )
     nowhere = F.struct(*[F.array().cast("array<int>").alias(f"p{i}") for i in range(len(PHRASES))])
-    blocks = F.filter(
-        F.transform("lines", lambda words, i: F.struct(
-            i.alias("block"), F.array_distinct(F.filter(words, lambda w: w.isin(*vocabulary))).alias("words")
+    of_lines = F.transform("lines", lambda words: F.array_distinct(F.filter(words, lambda w: w.isin(*vocabulary))))
+    blocks = bound(of_lines, lambda told: F.filter(
+        F.transform(told, lambda words, i: F.struct(
+            i.alias("block"),
+            F.when(F.size(words) > 0, F.array_distinct(F.flatten(F.slice(told, i + 1, F.lit(BLOCK_LINES)))))
+            .otherwise(words).alias("words"),
         )),
         lambda b: F.size(b["words"]) >= least,
-    )
+    ))
     return low.withColumn("lines", lines).select(
         id_col,
         F.monotonically_increasing_id().alias("row"),
@@ -94,28 +118,27 @@ def _scan(docs: DataFrame, id_col: str, text_col: str, templates: list[tuple[str
     )
 
 
-def _template_index(templates: list[tuple[str, list[str]]], frequency: dict[str, int], threshold: float) -> list[tuple]:
+def _template_index(templates: list[tuple], frequency: dict[str, int], threshold: float) -> list[tuple]:
     """``(word, template, position, size, required)`` for the prefix words of each template."""
     rows = []
-    for number, (_, words) in enumerate(templates):
+    for number, (_, words, *_) in enumerate(templates):
         ordered = sorted(words, key=lambda w: (frequency.get(w, 0), w))
         required = ceil(threshold * len(words) - 1e-9)
         rows += [(w, number, i, len(words), required) for i, w in enumerate(ordered[: len(words) - required + 1])]
     return rows
 
 
-def contained_templates(
-    blocks: DataFrame, templates: list[tuple[str, list[str]]], threshold: float = THRESHOLD
-) -> DataFrame:
+def contained_templates(blocks: DataFrame, templates: list[tuple], threshold: float = THRESHOLD) -> DataFrame:
     """``(row, block, template, overlap)`` for every block that holds ``threshold`` of a template.
 
+    A template is ``(label, distinct words)`` or ``(label, distinct words, words it must not lack)``.
     ``blocks`` has ``row, block`` and the distinct template words of each block as ``words``.
     What reaches the driver or is broadcast is bounded by the templates.
     """
     spark = blocks.sparkSession
     counted = blocks.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     frequency = {row["word"]: row["n"] for row in counted.collect()}
-    order = sorted({w for _, words in templates for w in words}, key=lambda w: (frequency.get(w, 0), w))
+    order = sorted({w for entry in templates for w in entry[1]}, key=lambda w: (frequency.get(w, 0), w))
     rank = F.create_map(*[F.lit(v) for i, w in enumerate(order) for v in (w, i)])
     index = spark.createDataFrame(
         _template_index(templates, frequency, threshold),
@@ -139,11 +162,15 @@ def contained_templates(
     possible = first.where(
         F.least(F.col("size") - F.col("position"), F.size("words") - F.col("place")) >= F.col("required")
     )
-    sets = spark.createDataFrame([(i, words) for i, (_, words) in enumerate(templates)], "template int, held array<string>")
+    sets = spark.createDataFrame(
+        [(i, words, [w for needed in telling for w in needed]) for i, (_, words, *telling) in enumerate(templates)],
+        "template int, held array<string>, telling array<string>",
+    )
     shared = possible.join(F.broadcast(sets), "template").withColumn(
         "overlap", F.size(F.array_intersect("words", "held"))
     )
-    return shared.where(F.col("overlap") >= F.col("required")).select("row", "block", "template", "overlap", "size")
+    whole = (F.col("overlap") >= F.col("required")) & (F.size(F.array_except("telling", "words")) == 0)
+    return shared.where(whole).select("row", "block", "template", "overlap", "size")
 
 
 def license_labels(
@@ -155,16 +182,16 @@ def license_labels(
 ) -> DataFrame:
     """``(id_col, n_words, n_base, first_word, last_word, base_labels, labels, score)`` of every row.
 
-    ``score`` is 1 where a phrase stands, else the largest share of a template found in one line,
-    else 0. Words are runs of ASCII letters, digits and other characters beyond ASCII. Null texts
+    ``score`` is 1 where a phrase stands, else the largest share of a template found in ``BLOCK_LINES``
+    consecutive lines, else 0. Words are runs of ASCII letters, digits and other characters beyond ASCII. Null texts
     are empty; repeated rows and null ids each come back; other columns are dropped.
     """
-    split = [(label, sorted(set(words.split(" ")))) for label, words in templates]
-    least = min(ceil(threshold * len(words) - 1e-9) for _, words in split)
+    split = _read(templates)
+    least = min(ceil(threshold * len(words) - 1e-9) for _, words, _ in split)
     scanned = materialise(_scan(docs, id_col, text_col, split, least), "license-scan")
     blocks = scanned.select("row", F.inline("blocks"))
     found = contained_templates(blocks, split, threshold)
-    names = F.create_map(*[F.lit(v) for i, (label, _) in enumerate(split) for v in (i, label)])
+    names = F.create_map(*[F.lit(v) for i, (label, *_) in enumerate(split) for v in (i, label)])
     by_row = found.groupBy("row").agg(
         F.collect_set(names[F.col("template")]).alias("found"), F.max(F.col("overlap") / F.col("size")).alias("share")
     )
@@ -191,13 +218,13 @@ def oracle_sql(templates: tuple[tuple[str, str], ...] = TEMPLATES, threshold: fl
     words = lambda t: "regexp_extract_all(" + t + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
     listed = lambda t: "[" + ", ".join(f"'{w}'" for w in t) + "]"
     phrases = ", ".join(f"({i}, '{v}', {listed(p.split(' '))})" for i, (p, v) in enumerate(PHRASES.items()))
-    sets = ", ".join(f"('{label}', {listed(sorted(set(t.split(' '))))})" for label, t in templates)
+    sets = ", ".join(f"('{label}', {listed(t)}, {listed(needed)}::VARCHAR[])" for label, t, needed in _read(templates))
     return f"""
 WITH low AS (
   SELECT doc_id, translate(coalesce(text, ''), '{UPPER_LETTERS}', '{LOWER_LETTERS}') AS text FROM documents),
 worded AS (SELECT doc_id, text, {words("text")} AS w FROM low),
 phrases(nr, label, p) AS (VALUES {phrases}),
-templates(label, t) AS (VALUES {sets}),
+templates(label, t, needed) AS (VALUES {sets}),
 places AS (
   SELECT doc_id, label, unnest(list_filter(range(len(w)), lambda i: w[i + 1:i + len(p)] = p)) AS start
   FROM worded, phrases WHERE list_has_all(w, p)),
@@ -205,11 +232,14 @@ base AS (
   SELECT doc_id, count(*) AS n, min(start) AS first_word, max(start) AS last_word,
          string_agg(DISTINCT label, ',' ORDER BY label) AS labels
   FROM places GROUP BY doc_id),
-lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM low),
-blocks AS (SELECT doc_id, list_distinct({words("line")}) AS b FROM lines),
+lines AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM low),
+joined AS (
+  SELECT doc_id, unnest(list_transform(range(1, len(l) + 1), lambda i: array_to_string(l[i:i + {BLOCK_LINES - 1}], chr(10)))) AS block
+  FROM lines),
+blocks AS (SELECT doc_id, list_distinct({words("block")}) AS b FROM joined),
 held AS (
   SELECT doc_id, label, len(list_intersect(b, t)) / len(t) AS share FROM blocks, templates
-  WHERE len(list_intersect(b, t)) >= ceil({threshold} * len(t) - 1e-9)),
+  WHERE len(list_intersect(b, t)) >= ceil({threshold} * len(t) - 1e-9) AND list_has_all(b, needed)),
 best AS (SELECT doc_id, max(share) AS share FROM held GROUP BY doc_id),
 every AS (
   SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels

@@ -386,6 +386,20 @@ def test_licenses(spark, documents):
     assert got[4]["n_base"] == 0 and got[6]["n_base"] == 0 and got[5]["n_words"] == 0
 
 
+def test_wrapped_notices_and_telling_words(documents):
+    wrapped = {
+        "bsd": "* Redistribution and use in source and binary forms, with or\n * without modification, are permitted provided",
+        "mit": "# Permission is hereby granted, free of charge, to\n# any person obtaining a copy\n# of this software and",
+        "gpl": "This work is licensed under the GNU General\nPublic License, version 3.",
+        "lgpl": "licensed under the GNU Lesser General Public License, version 2.1",
+    }
+    others = {100: "Released under the BSD License", 101: "released under the license", 102: "Released under\n\n\n\nthe MIT license, so"}
+    rows = [*enumerate(wrapped.values()), *others.items()]
+    got = {r["doc_id"]: r["labels"] for r in licenses.license_labels(documents(rows)).collect()}
+    assert [got[i] for i in range(4)] == ["bsd", "mit", "gpl", "gpl,lgpl"]  # the lesser licence holds every word of the other
+    assert (got[100], got[101], got[102]) == ("bsd", "", "")
+
+
 def test_license_join_finds_every_block(spark):
     rng = random.Random(6)
     words = [f"w{i}" for i in range(12)]
