@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +65,23 @@ def test_no_two_members_of_a_group_meet_again(spark):
     assert len(pairs) == 2 * 500 + 1 and all((r["id"] >= 900) != (r["head"] >= 900) or r["id"] + r["head"] == 1801 for r in pairs)
 
 
+def test_groups_do_not_depend_on_the_order_of_shingles(spark, monkeypatch):
+    """What is known of common shingles moves places, not links."""
+    docs = spark.createDataFrame(corpus(), "id long, text string")
+    want = sorted((r["id"], r["root"]) for r in J.similarity_groups(docs).collect())
+    monkeypatch.setattr(J, "ORDER_DOCUMENTS", 4)
+    assert sorted((r["id"], r["root"]) for r in J.similarity_groups(docs).collect()) == want
+
+
+def test_only_prefixes_leave_the_task_of_a_text(spark):
+    docs = spark.createDataFrame([(1, "a" * 23), (2, words(random.Random(5), 90)), (3, None)], "id long, text string")
+    none = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    for r in J.outlines(docs, 0.8, none).collect():
+        assert len(r.prefix) == r["size"] - -(-r["size"] * 4 // 5) + 1 and sum(r.slots) == r["size"]
+    own = np.array([1, 4, 6, 9], np.uint64)
+    assert J._ordered(own, np.array([4, 5, 9], np.uint64), np.array([7, 2, 3])).tolist() == [1, 6, 9, 4]
+
+
 def test_least_overlap_of_a_prefix(spark):
     sizes = spark.range(1, 200).select(J.least_overlap(F.col("id"), 0.8).alias("n"), "id").collect()
     assert all(r["n"] == -(-r["id"] * 4 // 5) for r in sizes)
