@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from srcsieve.constants import CHAR_NGRAMS
+from srcsieve.operators.batches import slices
 from srcsieve.operators.components import duplicate_components
 from srcsieve.operators.exact_dedup import ID_KEYS, Removal, add_doc_id, exact_removal, text_digest
 from srcsieve.operators.joins import HOT_KEY_ROWS, drop_ids, lookup_join
@@ -64,18 +65,19 @@ def near_duplicate_pairs(
     bucket. A head with very many members is copied, so its members meet it in many tasks.
     """
 
-    @F.pandas_udf("double")
-    def jaccard(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def jaccard(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         shingles, head, head_set = ShingleSets(n), None, None
-        for left, right in batches:
-            scores = []
-            for a, b in zip(left, right):
-                if head_set is None or b != head:  # members of a head come one after the other
-                    head, head_set = b, shingles.of(b or "")
-                own = shingles.of(a or "")
-                shared = len(np.intersect1d(own, head_set, assume_unique=True))
-                scores.append(shared / (len(own) + len(head_set) - shared))
-            yield pd.Series(scores, dtype="float64")
+        for batch in batches:
+            for left, right in zip(slices(batch[0]), slices(batch[1])):
+                scores = []
+                for a, b in zip(left, right):
+                    if head_set is None or b != head:  # members of a head come one after the other
+                        head, head_set = b, shingles.of(b or "")
+                    own = shingles.of(a or "")
+                    shared = len(np.intersect1d(own, head_set, assume_unique=True))
+                    scores.append(shared / (len(own) + len(head_set) - shared))
+                yield pa.array(scores, type=pa.float64())
 
     named = edges.select(F.col(id_col).alias("_id")).union(edges.select("head")).distinct()
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text).alias("_text"))

@@ -6,10 +6,11 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from srcsieve.constants import CHAR_NGRAMS, HASHES_PER_BAND, MINHASH_SEED, NUM_BANDS
+from srcsieve.operators.batches import lists, slices
 from srcsieve.operators.joins import attach_group, spread
 from srcsieve.session import materialise
 
@@ -103,14 +104,18 @@ def minhash_signatures(
     rows: int = HASHES_PER_BAND,
     seed: int = MINHASH_SEED,
 ) -> DataFrame:
-    """``(keep, id, signature)`` with ``bands * rows`` 32-bit minima."""
+    """``(keep, id, signature)`` with ``bands * rows`` 32-bit minima.
+
+    A batch is signed in small parts, so the memory of a worker follows neither its rows nor its signatures.
+    """
     hashes = bands * rows
 
-    @F.pandas_udf("array<bigint>")
-    def signatures(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<bigint>")
+    def signatures(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         signer = Signer(n, hashes, seed)
-        for texts in batches:
-            yield texts.map(lambda text: signer.sign(text or "").astype(np.int64))
+        for batch in batches:
+            for texts in slices(batch):
+                yield lists([signer.sign(text or "").astype(np.int64) for text in texts], pa.int64())
 
     narrow = df.select(*keep, id_col, text)
     kept = [c for c in narrow.columns if c != text]

@@ -13,6 +13,8 @@ from pyarrow.fs import FileSelector, FileSystem, FileType, LocalFileSystem
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
+from srcsieve.operators.batches import slices
+
 SNIFF_BYTES = 2048
 
 
@@ -214,10 +216,12 @@ def _decode(raw: bytes, head_only_ascii: bool) -> str:
 
 
 def _decoder(head_only_ascii: bool):
-    @F.pandas_udf("string")
-    def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for contents in batches:
-            yield contents.map(lambda raw: None if raw is None else _decode(raw, head_only_ascii))
+    @F.arrow_udf("string")
+    def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            for contents in slices(batch):
+                texts = [None if raw is None else _decode(raw, head_only_ascii) for raw in contents]
+                yield pa.array(texts, type=pa.string())
 
     return decode
 

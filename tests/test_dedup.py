@@ -1,9 +1,11 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from srcsieve.operators import batches as B
 from srcsieve.operators import components as C
 from srcsieve.operators import exact_dedup as E
 from srcsieve.operators import fuzzy_dedup as Z
@@ -172,3 +174,12 @@ def test_char_shingles(spark):
     for row in M.char_shingles(docs, "id").collect():
         got.setdefault(row.id, set()).add(row.shingle)
     assert got == {i: shingle_set(t, 24) for i, t in enumerate(texts)}
+
+
+def test_signatures_of_a_batch_come_in_small_parts(spark):
+    rows = [(i, words(random.Random(i), 8) if i % 7 else None) for i in range(B.SLICE_ROWS * 2 + 5)]
+    docs = spark.createDataFrame(rows, "id long, text string").coalesce(1)
+    signer = M.Signer(24, 260, 42)
+    got = {r.id: r.signature for r in M.minhash_signatures(docs, "id").collect()}
+    assert got == {i: signer.sign(t or "").tolist() for i, t in rows}
+    assert [len(part) for part in B.slices(pa.array(range(B.SLICE_ROWS + 3)))] == [B.SLICE_ROWS, 3]
