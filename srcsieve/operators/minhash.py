@@ -17,6 +17,7 @@ from srcsieve.session import materialise
 SHINGLE_MODULUS = 4_294_967_291  # the largest prime below 2**32
 BLOCK = 512  # shingles hashed at a time, so a block of all hashes stays in cache
 PIECE = 256  # shingles per piece when they are listed one by one
+PART_BYTES = 1 << 20  # text per task that lists shingles, whose sets and sort take some two hundred times its bytes
 WINDOW = 1 << 16  # characters taken at a time, so memory does not grow with the text
 
 
@@ -80,7 +81,8 @@ def char_shingles(df: DataFrame, id_col: str, n: int = CHAR_NGRAMS, text: str =
     """The set of ``n``-character shingles of each text, one row per shingle.
 
     Short texts are one shingle. Texts are cut into overlapping pieces first, because
-    taking a substring walks from the start of its string.
+    taking a substring walks from the start of its string. Texts move once, to small parts by id,
+    in which sets are taken and may be grouped by id: shingles are many times the text and stay there.
     """
     whole = F.coalesce(text, F.lit(""))
     last = F.greatest(F.length(whole) - n, F.lit(0))
@@ -90,7 +92,10 @@ def char_shingles(df: DataFrame, id_col: str, n: int = CHAR_NGRAMS, text: str =
     piece = F.col("_piece")
     starts = F.sequence(F.lit(1), F.greatest(F.length(piece) - (n - 1), F.lit(1)))
     shingles = F.transform(starts, lambda at: F.substr(piece, at, F.lit(n)))
-    cut = spread(df.select(id_col, text), id_col).select(id_col, F.explode(pieces).alias("_piece"))
+    narrow = df.select(id_col, text)
+    size = narrow.agg(F.coalesce(F.sum(F.octet_length(text).cast("long")), F.lit(0))).first()[0]
+    parts = max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-size // PART_BYTES))
+    cut = narrow.repartition(parts, id_col).select(id_col, F.explode(pieces).alias("_piece"))
     return cut.select(id_col, F.explode(shingles).alias("shingle")).distinct()
 
 

@@ -176,6 +176,17 @@ def test_char_shingles(spark):
     assert got == {i: shingle_set(t, 24) for i, t in enumerate(texts)}
 
 
+def test_shingles_do_not_leave_the_task_of_their_text(spark, monkeypatch):
+    monkeypatch.setattr(M, "PART_BYTES", 64)
+    rows = [(i % 5, words(random.Random(i % 3), 40)) for i in range(12)] + [(None, "x" * 30), (None, None)]
+    found = M.char_shingles(spark.createDataFrame(rows, "id int, text string"), "id")
+    plan = found.groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    want = {(i, s) for i, t in rows for s in shingle_set(t or "", 24)}
+    got = list(map(tuple, found.collect()))
+    assert set(got) == want and len(got) == len(want)
+
+
 def test_signatures_of_a_batch_come_in_small_parts(spark):
     rows = [(i, words(random.Random(i), 8) if i % 7 else None) for i in range(B.SLICE_ROWS * 2 + 5)]
     docs = spark.createDataFrame(rows, "id long, text string").coalesce(1)
