@@ -114,7 +114,7 @@ def _buffers(whole: list[str], length: int) -> Iterator[tuple[bytes, list[int],
         yield b"".join(parts), ends, owners
 
 
-def _lister(length: int, gram: int, only_anchors: bool):
+def _lister(length: int, gram: int):
     from xxhash import xxh64_intdigest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,9 +122,6 @@ def _lister(length: int, gram: int, only_anchors: bool):
             for data, ends, owners in _buffers(batch.column(2).to_pylist(), length):
                 begin, end, place, anchor = segments(data, ends, length, gram)
                 anchors = pa.array(anchor.view(np.int64))
-                if only_anchors:
-                    yield pa.RecordBatch.from_arrays([anchors], names=["anchor"])
-                    continue
                 piece = np.searchsorted(np.array(ends), begin, "right")
                 text = np.array([t for t, _ in owners], dtype=np.int64)[piece]
                 offset = np.array([o for _, o in owners], dtype=np.int64)[piece] - np.array([0, *ends[:-1]], dtype=np.int64)[piece]
@@ -270,10 +267,10 @@ def repeated_spans(
     """
     source = texts(docs, id_col, text_col).select(id_col, F.xxhash64("text").alias("own"), "text")
     id_field = source.schema[id_col]
-    anchors = source.mapInArrow(_lister(length, gram, True), "anchor long")
-    again = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     listed = T.StructType([id_field, *T.StructType.fromDDL("own long, anchor long, digest long, at long")])
-    spelled = source.mapInArrow(_lister(length, gram, False), listed)
+    # Written, as hashing every gram a second time costs more than reading the segments again.
+    spelled = materialise(source.mapInArrow(_lister(length, gram), listed), "listed-segments")
+    again = spelled.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     met = materialise(attach_group(spelled, again, ["anchor"], "n").drop("n"), "segments")
 
     kinds = met.groupBy("anchor", "digest").agg(
