@@ -28,6 +28,8 @@ CAPACITY = 2048
 END_OF_DOCUMENT = 0
 #: Pieces packed together in a task, so its memory does not follow the partition.
 MAX_LOCAL_PIECES = 1 << 18
+#: Texts whose ids a task holds at once.
+ENCODED_TEXTS = 256
 #: Parts in which the bins of one fill are numbered.
 SALTS = 1024
 
@@ -78,9 +80,13 @@ PIECES_DDL = (
 
 
 def _local_pieces(path: str, capacity: int, with_ids: bool):
-    def rows(ids: list, text: pa.Array) -> Iterator[tuple]:
+    def encoded(ids: pa.Array, text: pa.Array) -> Iterator[tuple]:
+        for at in range(0, len(text), ENCODED_TEXTS):
+            yield from zip(ids.slice(at, ENCODED_TEXTS).to_pylist(), encoder(path).encode(text.slice(at, ENCODED_TEXTS)))
+
+    def rows(ids: pa.Array, text: pa.Array) -> Iterator[tuple]:
         end = struct.pack("<I", END_OF_DOCUMENT)
-        for doc, own in zip(ids, encoder(path).encode(text)):
+        for doc, own in encoded(ids, text):
             data = own.tobytes() + end
             for piece, (start, length) in enumerate(cut(len(data) // 4, capacity)):
                 part = data[4 * start : 4 * (start + length)]
@@ -99,7 +105,7 @@ def _local_pieces(path: str, capacity: int, with_ids: bool):
         field = None
         for batch in batches:
             field = batch.schema.field(0)
-            for row in rows(batch.column(0).to_pylist(), batch.column(1)):
+            for row in rows(batch.column(0), batch.column(1)):
                 pieces.append(row)
                 if len(pieces) == MAX_LOCAL_PIECES:
                     out, bins = packed(field, pieces, part, bins)
