@@ -12,6 +12,13 @@ from srcsieve.llm import decontaminate, line_dedup, packing, quality_rules, simh
 from srcsieve.llm.queries import table, tokenizer
 from srcsieve.session import materialise
 
+#: Rows of an Arrow batch, as in ``build_session``: a batch of whole texts is held by the executor and twice by its worker.
+BATCH_ROWS = "1000"
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor the learned decision list reject."""
@@ -25,16 +32,19 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
+    small_batches(spark)
     return simhash.drop_near_duplicates(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
+    small_batches(spark)
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Where each piece of each document lies in sequences of at most 2,048 tokens."""
+    small_batches(spark)
     return packing.pack_documents(docs, tokenizer("byte_bpe_50k.json"))
 
 

@@ -15,7 +15,7 @@ the exact edit distance, in characters, of the item to the best part of its surr
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import islice
 from math import log
@@ -26,6 +26,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from srcsieve.llm.common import LOWER, texts, word_blocks
+from srcsieve.operators.batches import slices
 from srcsieve.operators.joins import drop_ids
 
 SIMILARITY = 0.8
@@ -510,7 +511,7 @@ class Index:
                 for part in _overlapping(low, high, widest, widest // 2):
                     yield item, *part
 
-    def matches(self, texts: list[str]) -> list[tuple]:
+    def matches(self, texts: Iterable[str]) -> list[tuple]:
         """``(text number, item, first word, edit distance)`` of each item's closest place in each text.
 
         Texts are walked many at a time. A very long one is taken in blocks that overlap by more
@@ -587,7 +588,7 @@ def _overlapping(low: int, high: int, size: int, overlap: int) -> list[tuple[int
 def _finder(index: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = index.value.matches(batch.column(1).to_pylist())
+            found = index.value.matches(text for part in slices(batch.column(1)) for text in part)
             doc, *columns = zip(*found) if found else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(doc, type=pa.int64())), *(pa.array(c, type=pa.int64()) for c in columns)],

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from srcsieve.llm.common import LOWER, texts, word_blocks
+from srcsieve.operators.batches import slices
 from srcsieve.operators.components import duplicate_components
 from srcsieve.operators.joins import attach_group, drop_ids
 from srcsieve.session import materialise
@@ -63,7 +64,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            prints = [fingerprint(text, width) for text in batch.column(1).to_pylist()]
+            prints = [fingerprint(text, width) for part in slices(batch.column(1)) for text in part]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(prints, type=pa.int64())], names=[batch.schema.field(0).name, "fingerprint"]
             )

@@ -14,7 +14,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MAX_WORDS = 600_000
+#: Words kept at most, and bytes of one: a worker keeps its table between tasks, beside all else that it holds.
+MAX_WORDS, MAX_WORD_BYTES = 1 << 17, 64
 #: How the byte-level alphabet writes a space.
 SPACE_TOKEN = "Ġ"
 #: Text bytes cut at a time.
@@ -105,7 +106,7 @@ def _values(strings: pa.LargeStringArray) -> list[bytes]:
 
 
 class WordIds:
-    """Ids of the texts of an Arrow array; the table of words is emptied at ``max_words``."""
+    """Ids of the texts of an Arrow array. Of the ``max_words`` kept, those not met for longest go, half of the table at once."""
 
     def __init__(self, path: str, max_words: int = MAX_WORDS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
@@ -117,6 +118,7 @@ class WordIds:
         self.as_bytes = [i.to_bytes(4, "little") for i in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
         self.max_words = max_words
         self.words: dict[bytes, bytes] = {}
+        self.earlier: dict[bytes, bytes] = {}
 
     def _word(self, word: bytes) -> bytes:
         if word.isalpha():  # ASCII letters show as they are
@@ -129,13 +131,17 @@ class WordIds:
         return b"".join([as_bytes[token.id] for token in self.pieces(written)])
 
     def _words(self, words: list[bytes]) -> list[bytes]:
-        known = self.words
-        if len(known) > self.max_words:
-            known.clear()
+        known, half = self.words, self.max_words // 2
         found = list(map(known.get, words))
         for at, (word, ids) in enumerate(zip(words, found)):
             if ids is None:
-                found[at] = known[word] = self._word(word)
+                ids = self.earlier.get(word)
+                found[at] = ids = self._word(word) if ids is None else ids
+                if len(word) <= MAX_WORD_BYTES:
+                    if len(known) >= half:
+                        self.words, self.earlier = {}, known
+                        known = self.words
+                    known[word] = ids
         return found
 
     def _cut(self, data: np.ndarray, classes: np.ndarray, texts: np.ndarray) -> list[np.ndarray]:

@@ -321,3 +321,15 @@ def test_proofs_fold_to_the_root_and_no_other_leaf_does(spark):
         merkle.fold(F.sha2(F.col("leaf"), 256), F.col("proof")).alias("other"), "root",
     )
     assert all(r["own"] == r["root"] != r["other"] for r in folded.collect())
+
+
+def test_the_table_of_words_stays_small(tokenizer):
+    encoder = word_ids.WordIds(BPE, max_words=100)
+    rare = [f" rare{i}x" for i in range(1000)]
+    for at in range(0, len(rare), 20):  # one call with over twice the table, then words that come again
+        texts = ["".join(rare) if at == 0 else "again" + "".join(rare[at : at + 20]) + "y" * 500]
+        got = [ids.tolist() for ids in encoder.encode(pa.array(texts))]
+        assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(encoder.words) + len(encoder.earlier) <= 100
+        assert all(len(word) <= word_ids.MAX_WORD_BYTES for word in [*encoder.words, *encoder.earlier])
+    assert b"again" in encoder.words or b"again" in encoder.earlier

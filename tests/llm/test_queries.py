@@ -1,5 +1,8 @@
 """The registered queries and the pipeline."""
 
+from types import SimpleNamespace
+
+import pyarrow as pa
 import pytest
 
 pytest.importorskip("public_tokenizers")
@@ -54,3 +57,19 @@ def test_stages_work_on_what_the_one_before_kept(spark):
 def test_run(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert len({r["doc_id"] for r in rows}) > 100
+
+
+def test_stages_with_python_take_small_batches(spark, monkeypatch):
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = spark.createDataFrame([(1, "one two three")], "doc_id long, text string")
+    for stage in (corpus_pipeline.dedup_documents, corpus_pipeline.drop_leaks, corpus_pipeline.pack):
+        spark.conf.set(setting, "10000")
+        stage(spark, docs, SF)
+        assert spark.conf.get(setting) == corpus_pipeline.BATCH_ROWS
+
+
+def test_texts_of_a_batch_are_not_held_as_strings_together():
+    held = []
+    index = SimpleNamespace(value=SimpleNamespace(matches=lambda texts: held.append(isinstance(texts, list)) or []))
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a", "b"])], names=["doc_id", "text"])
+    assert [out.num_rows for out in decontaminate._finder(index)([batch])] == [0] and held == [False]
