@@ -19,6 +19,21 @@ from srcsieve.session import materialise
 SCOPES = {"batch": ("month", "batch"), "month": ("month",), "global": ()}
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """``values`` sorted, each once; the sort is in place."""
+    values.sort()
+    fresh = np.ones(len(values), dtype=bool)
+    np.not_equal(values[1:], values[:-1], out=fresh[1:])
+    return values[fresh]
+
+
+def shared_values(a: np.ndarray, b: np.ndarray) -> int:
+    """How many values two sorted arrays of distinct, at least one each, have in common."""
+    if len(a) > len(b):
+        a, b = b, a
+    return int(np.count_nonzero(b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a))
+
+
 class ShingleSets:
     """Distinct ``n``-character shingles of a text as sorted 64-bit hashes.
 
@@ -38,7 +53,7 @@ class ShingleSets:
         total ^= total >> np.uint64(31)
         total *= np.uint64(0x9E3779B97F4A7C15)
         total ^= total >> np.uint64(29)
-        return np.unique(total)
+        return distinct(total)
 
     def of(self, text: str) -> np.ndarray:
         """A text shorter than a shingle is one shingle, padded past the last code point."""
@@ -47,7 +62,7 @@ class ShingleSets:
             codes = np.pad(codes, (0, self.n - len(codes)))
         last = len(codes) - self.n + 1
         parts = [self.hashes(codes[at : at + self.window + self.n - 1]) for at in range(0, last, self.window)]
-        return parts[0] if len(parts) == 1 else np.unique(np.concatenate(parts))
+        return parts[0] if len(parts) == 1 else distinct(np.concatenate(parts))
 
 
 def near_duplicate_pairs(
@@ -75,7 +90,7 @@ def near_duplicate_pairs(
                     if head_set is None or b != head:  # members of a head come one after the other
                         head, head_set = b, shingles.of(b or "")
                     own = shingles.of(a or "")
-                    shared = len(np.intersect1d(own, head_set, assume_unique=True))
+                    shared = shared_values(own, head_set)
                     scores.append(shared / (len(own) + len(head_set) - shared))
                 yield pa.array(scores, type=pa.float64())
 

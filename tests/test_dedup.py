@@ -194,3 +194,18 @@ def test_signatures_of_a_batch_come_in_small_parts(spark):
     got = {r.id: r.signature for r in M.minhash_signatures(docs, "id").collect()}
     assert got == {i: signer.sign(t or "").tolist() for i, t in rows}
     assert [len(part) for part in B.slices(pa.array(range(B.SLICE_ROWS + 3)))] == [B.SLICE_ROWS, 3]
+
+
+def test_shared_values_of_sorted_sets(monkeypatch):
+    def slow(*args, **options):
+        raise AssertionError("np.unique and np.intersect1d take several times as long")
+
+    monkeypatch.setattr(np, "unique", slow)
+    monkeypatch.setattr(np, "intersect1d", slow)
+    rng = random.Random(5)
+    texts = ["", "a", words(rng, 300), words(rng, 300)]
+    texts.append(texts[2][:900] + texts[3])
+    sets = Z.ShingleSets(24, 200)
+    for a in texts:
+        for b in texts:
+            assert Z.shared_values(sets.of(a), sets.of(b)) == len(shingle_set(a, 24) & shingle_set(b, 24))
