@@ -196,6 +196,16 @@ def test_signatures_of_a_batch_come_in_small_parts(spark):
     assert [len(part) for part in B.slices(pa.array(range(B.SLICE_ROWS + 3)))] == [B.SLICE_ROWS, 3]
 
 
+def test_stars_are_settled_without_a_round(spark, monkeypatch):
+    written, write = [], C.materialise
+    monkeypatch.setattr(C, "materialise", lambda df, label: written.append(label) or write(df, label))
+    stars = [(5, 1), (7, 1), (9, 2)]
+    assert sorted(map(tuple, C.duplicate_components(spark.createDataFrame(stars, "id long, head long")).collect())) == stars
+    assert written == ["edges"]
+    for edges in ([(1, 5)], [(5, 1), (7, 5)], [(5, 1), (5, 2)], [(5, 1), (5, 1)]):  # upwards, a chain, two heads, a repeat
+        assert not C._settled(spark.createDataFrame(edges, "u long, v long"))
+
+
 def test_shared_values_of_sorted_sets(monkeypatch):
     def slow(*args, **options):
         raise AssertionError("np.unique and np.intersect1d take several times as long")
