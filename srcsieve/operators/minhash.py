@@ -150,18 +150,20 @@ def lsh_band_buckets(
     return signatures.select(id_col, F.posexplode(keys).alias("band", "bucket"))
 
 
-def lsh_candidate_edges(buckets: DataFrame, id_col: str) -> DataFrame:
+def bucket_heads(buckets: DataFrame, id_col: str) -> DataFrame:
+    """``(band, bucket, head, members)``: the smallest id of every bucket and its rows."""
+    return buckets.groupBy("band", "bucket").agg(F.min(id_col).alias("head"), F.count(F.lit(1)).alias("members"))
+
+
+def lsh_candidate_edges(buckets: DataFrame, id_col: str, heads: DataFrame | None = None) -> DataFrame:
     """``(id, head)``: each document with the smallest id of every bucket it shares.
 
     Linear in the size of a bucket: members are tied to the head, not to each other.
-    ``buckets`` is read several times and should be a written table.
+    ``buckets`` is read several times and should be a written table; so should the ``bucket_heads``
+    of them, for a caller that has these anyway.
     """
-    heads = (
-        buckets.groupBy("band", "bucket")
-        .agg(F.min(id_col).alias("head"), F.count(F.lit(1)).alias("members"))
-        .where(F.col("members") > 1)
-    )
-    tied = attach_group(buckets, heads, ["band", "bucket"], "members")
+    heads = bucket_heads(buckets, id_col) if heads is None else heads
+    tied = attach_group(buckets, heads.where(F.col("members") > 1), ["band", "bucket"], "members")
     return tied.where(F.col(id_col) != F.col("head")).select(id_col, "head").distinct()
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from srcsieve.operators.components import duplicate_components
 from srcsieve.operators.exact_dedup import ID_KEYS, Removal, add_doc_id
 from srcsieve.operators.joins import HOT_KEY_ROWS, lookup_join
-from srcsieve.operators.minhash import band_keys, lsh_candidate_edges, minhash_signatures
+from srcsieve.operators.minhash import band_keys, bucket_heads, lsh_candidate_edges, minhash_signatures
 from srcsieve.session import materialise, path_exists, read_runs
 
 HEADS = "band int, bucket binary, head string"
@@ -87,13 +87,14 @@ def add_to_index(
     )
 
     # Buckets of this run against those of earlier ones, one row per bucket on either side.
-    heads = materialise(_smallest(prints.withColumn("head", F.col("id")), ["band", "bucket"], "head"), "heads")
+    counted = materialise(bucket_heads(prints, "id"), "heads")
+    heads = counted.drop("members")
     old = heads_log.join(heads.select("band", "bucket"), ["band", "bucket"], "left_semi")
     old = _smallest(old, ["band", "bucket"], "head").withColumnRenamed("head", "old")
     met = materialise(heads.join(old, ["band", "bucket"], "left"), "met")
     _write(met.where("old IS NULL OR head < old").select("band", "bucket", "head"), index, "heads", run)
 
-    within = lsh_candidate_edges(prints, "id").select(F.col("id").alias("a"), F.col("head").alias("b"))
+    within = lsh_candidate_edges(prints, "id", counted).select(F.col("id").alias("a"), F.col("head").alias("b"))
     across = met.where("old IS NOT NULL AND head <> old").select(F.col("head").alias("a"), F.col("old").alias("b"))
     edges = materialise(within.unionByName(across).distinct(), "edges")
 

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _local_roots: dict[str, str] = {}
 
@@ -95,7 +95,8 @@ def drop_path(spark: SparkSession, path: str) -> None:
 def read_runs(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
     """What runs wrote to ``path/run=N``, of those numbered below ``before`` if it is given; no rows if none did."""
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
+        # No rows from a list: that would start Python workers to read none.
+        return spark.range(0).select(F.from_json(F.lit(None).cast("string"), schema).alias("_row")).select("_row.*")
     rows = spark.read.schema(f"{schema}, run long").option("basePath", path).parquet(path)
     return (rows if before is None else rows.where(f"run < {before}")).drop("run")
 

@@ -5,9 +5,10 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from srcsieve.operators import minhash
 from srcsieve.operators import near_index as N
 from srcsieve.operators.fuzzy_dedup import deduplicate
-from srcsieve.session import scratch_path
+from srcsieve.session import read_runs, scratch_path
 from tests.test_dedup import near_copies, words
 
 RECORD = "repo_name string, file_name string, text string, run int"
@@ -101,3 +102,18 @@ def test_an_empty_run(spark):
     frame, index = spark.createDataFrame(corpus()[:12], RECORD).drop("run"), scratch_path(spark, "near-index")
     assert N.add_to_index(frame.limit(0), index, 1).kept.collect() == []
     assert state_of(N.add_to_index(frame, index, 2).kept.collect()) == state_of(deduplicate(frame).collect())
+
+
+def test_an_index_without_runs_needs_no_python(spark, tmp_path):
+    rows = read_runs(spark, str(tmp_path / "heads"), N.HEADS)
+    assert rows.dtypes == [("band", "int"), ("bucket", "binary"), ("head", "string")] and rows.isEmpty()
+    assert "ExistingRDD" not in rows._jdf.queryExecution().toString()
+
+
+def test_buckets_of_a_run_are_grouped_once(spark, tmp_path, monkeypatch):
+    grouped, group = [], minhash.bucket_heads
+    for module in (N, minhash):
+        monkeypatch.setattr(module, "bucket_heads", lambda *args: grouped.append(args) or group(*args))
+    rows = spark.createDataFrame([("r", "a", "x" * 50), ("r", "b", "x" * 50)], "repo_name string, file_name string, text string")
+    assert N.add_to_index(rows, str(tmp_path / "index"), 1).kept.count() == 1
+    assert len(grouped) == 1
