@@ -187,6 +187,22 @@ def test_shingles_do_not_leave_the_task_of_their_text(spark, monkeypatch):
     assert set(got) == want and len(got) == len(want)
 
 
+def test_the_set_of_a_text_is_taken_where_it_is_read(spark, monkeypatch):
+    monkeypatch.setattr(M, "WINDOW", 50)
+    rng = random.Random(9)
+    texts = ["", None, "abc", "x" * 24, "x" * 200, "ab" * 99, "é😀\u0301" * 40, words(rng, 60) * 3, words(rng, 200), "ü" + words(rng, 50), "é" * 23]
+    rows = [(str(i), t) for i, t in enumerate(texts)]
+    found = M.char_shingles(spark.createDataFrame(rows, "id string, text string"), "id")
+    assert "Aggregate" not in found._jdf.queryExecution().executedPlan().toString()
+    for more in ([], [("3", words(rng, 30)), ("7", texts[7]), (None, "y" * 30), (None, None)]):
+        every = spark.createDataFrame(rows + more, "id string, text string")
+        got = list(map(tuple, M.char_shingles(every, "id").collect()))
+        assert len(got) == len(set(got)) and set(got) == {(i, s) for i, t in rows + more for s in shingle_set(t or "", 24)}
+    for n in (1, 5, 8, 24):
+        codes = np.array([3, 1, 2] * 9, np.uint64)
+        assert len(set(M.window_hashes(codes, n).tolist())) == 3 and len(M.window_hashes(codes, n)) == len(codes) - n + 1
+
+
 def test_signatures_of_a_batch_come_in_small_parts(spark):
     rows = [(i, words(random.Random(i), 8) if i % 7 else None) for i in range(B.SLICE_ROWS * 2 + 5)]
     docs = spark.createDataFrame(rows, "id long, text string").coalesce(1)
