@@ -31,6 +31,8 @@ BUFFER = 1 << 20  # bytes hashed at a time; a gram's place in it takes 20 bits
 MAX_SEGMENTS = 4096
 SPLIT = 8
 SHARDS_PER_PARTITION = 3
+#: Bytes of segments per shard at most, on average; ``induced_sort`` holds texts of twice that in memory.
+SHARD_BYTES = 2 << 20
 _MIX = [np.uint64(c) for c in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
@@ -277,7 +279,14 @@ def repeated_spans(
         F.count(F.lit(1)).alias("copies"), F.min(F.struct(id_col, "own", "at")).alias("one")
     )
     kinds = materialise(kinds, "segment-kinds")
-    asked = kinds.groupBy(F.col(f"one.{id_col}").alias("_id"), F.col("one.own").alias("_own")).agg(
+    # All strings of a segment with copies repeat. Where every segment of an anchor has copies, nothing is left to sort.
+    anchors = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), F.min("copies").alias("least"))
+    anchors = materialise(anchors, "anchors")
+    copied = materialise(attach_group(kinds.where(F.col("copies") > 1), anchors, ["anchor"], "n").drop("n"), "copied-kinds")
+    settled = copied.where(F.col("least") > 1)
+    unsorted = kinds.where(F.col("copies") == 1).unionByName(copied.where(F.col("least") == 1).drop("least"))
+    size = F.shiftright("one.at", 12).bitwiseAND(0xFFF)
+    asked = unsorted.groupBy(F.col(f"one.{id_col}").alias("_id"), F.col("one.own").alias("_own")).agg(
         F.collect_list(F.struct("anchor", "digest", "copies", F.col("one.at").alias("at"))).alias("asked")
     )
     cut = (
@@ -285,7 +294,7 @@ def repeated_spans(
         .select("text", "asked")
         .mapInArrow(_cutter, "anchor long, digest long, copies long, place int, bytes binary")
     )
-    crowded = kinds.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > MAX_SEGMENTS).select("anchor")
+    crowded = anchors.where((F.col("n") > MAX_SEGMENTS) & (F.col("least") == 1)).select("anchor")
     crowded = materialise(crowded, "crowded-anchors")
     plain = F.col("anchor").alias("shard"), F.lit(0).alias("shift"), "anchor", "digest", "copies", "bytes"
     if crowded.isEmpty():
@@ -296,14 +305,17 @@ def repeated_spans(
             _splitter(length), "shard long, shift int, anchor long, digest long, copies long, bytes binary"
         )
         parts = cut.join(crowded, "anchor", "left_anti").select(*plain).unionByName(split)
-    # A sort takes some forty times the bytes of its shard: three shards for each partition of a plain shuffle.
-    shards = SHARDS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A sort takes some forty times the bytes of its shard: three shards for each partition of a plain shuffle, more for many bytes.
+    to_sort = unsorted.agg(F.coalesce(F.sum(size.cast("long")), F.lit(0))).first()[0]
+    shards = max(SHARDS_PER_PARTITION * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-to_sort // SHARD_BYTES))
     found = parts.repartition(shards, "shard").mapInArrow(
         _sorter(length), "anchor long, digest long, copies long, spans array<struct<begin:int,end:int>>"
     )
     covered = found.groupBy("anchor", "digest").agg(
         F.max("copies").alias("copies"), F.flatten(F.collect_list("spans")).alias("spans")
     )
+    whole = F.array(F.struct(F.lit(0).alias("begin"), size.cast("int").alias("end")))
+    covered = covered.unionByName(settled.select("anchor", "digest", "copies", whole.alias("spans")))
     begin = F.shiftright("at", 24)
     moved = F.transform("spans", lambda s: F.struct((begin + s["begin"]).alias("begin"), (begin + s["end"]).alias("end")))
     hits = attach_group(met, covered, ["anchor", "digest"], "copies").select(id_col, "own", moved.alias("spans"))

@@ -265,6 +265,27 @@ def test_suffix_dedup_of_a_text_longer_than_a_buffer(spark, documents, monkeypat
     assert sorted(map(tuple, got)) == sorted(r[:-1] for r in repeats_by_hand(rows, 200))
 
 
+def test_segments_that_all_have_copies_are_not_sorted(spark, documents, monkeypatch):
+    def none(length):
+        def run(batches):
+            for batch in batches:
+                raise AssertionError(f"{batch.num_rows} segments are sorted")
+            yield from ()
+
+        return run
+
+    rng = random.Random(6)
+    letters = lambda n: "".join(rng.choice("abcdé ") for _ in range(n))
+    copied = [letters(900), letters(200), letters(3000)]
+    rows = [(i, t) for i, t in enumerate(copied * 3)] + [(20, letters(800)), (21, "short"), (22, None)]
+    got = {}
+    for name, sorter, more in (("settled", none, []), ("both", suffix_dedup._sorter, [(30, letters(50) + copied[0][100:700] + letters(90))])):
+        monkeypatch.setattr(suffix_dedup, "_sorter", sorter)
+        monkeypatch.setattr(suffix_dedup, "SHARD_BYTES", 500)
+        found = suffix_dedup.remove_repeats(documents(rows + more)).drop("kept").collect()
+        assert sorted(map(tuple, found)) == sorted(r[:-1] for r in repeats_by_hand(rows + more, 200)), name
+
+
 def counts_by_hand(text):
     words = WORD.findall(text or "")
     windows = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
