@@ -187,6 +187,17 @@ def test_shingles_do_not_leave_the_task_of_their_text(spark, monkeypatch):
     assert set(got) == want and len(got) == len(want)
 
 
+def test_texts_move_once_per_edge(spark):
+    rng = random.Random(3)
+    whole = words(rng, 80)
+    docs = spark.createDataFrame([(i, f"{i} {whole}") for i in range(6)] + [(9, words(rng, 80)), (9, whole), (None, whole)], "id long, text string")
+    edges = spark.createDataFrame([(3, 1), (4, 1), (4, 2), (9, 2), (7, 2), (None, 1)], "id long, head long")
+    scored = Z.near_duplicate_pairs(edges, docs, hot_key_rows=2)
+    plan = scored._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(" Exchange") == 2  # both sides to the head, none by id
+    assert sorted((r["id"], r["head"]) for r in scored.collect()) == [(3, 1), (4, 1), (4, 2), (9, 2)]
+
+
 def test_the_set_of_a_text_is_taken_where_it_is_read(spark, monkeypatch):
     monkeypatch.setattr(M, "WINDOW", 50)
     rng = random.Random(9)

@@ -89,3 +89,29 @@ def test_least_overlap_of_a_prefix(spark):
 
 def test_empty_table(spark):
     assert J.similarity_groups(spark.createDataFrame([], "id long, text string")).collect() == []
+
+
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_prefix_shingles_move_packed(spark, monkeypatch, kind):
+    """Holders of a shingle meet their head; only rows of shingles with three holders or more come back."""
+    monkeypatch.setattr(J, "BLOCK_KEYS", 300)
+    monkeypatch.setattr(J, "OUT_ROWS", 7)
+    docs = spark.createDataFrame(corpus(), "id long, text string").dropDuplicates(["text"]).withColumn("id", F.col("id").cast(kind))
+    drawn = J.outlines(docs, 0.8, (np.zeros(0, np.uint64), np.zeros(0, np.int64)))
+    size, holders = {}, {}
+    for r in drawn.collect():
+        size[r["id"]] = r["size"]
+        for place, shingle in enumerate(r["prefix"]):
+            holders.setdefault(shingle, {})[r["id"]] = place
+    near = lambda a, b: min(size[a], size[b]) >= max(size[a], size[b]) * 0.8 - 1e-9
+    pairs, rows = J.prefix_meetings(drawn, 0.8, 5)
+    assert sorted(map(tuple, pairs.collect())) == sorted({(i, min(h)) for h in holders.values() for i in h if i != min(h) and near(i, min(h))})
+    got = {}
+    for r in rows.collect():
+        got.setdefault(r["shingle"], {})[r["id"]] = r["place"]
+        assert r["size"] == size[r["id"]]
+    want = [h for h in holders.values() if len(h) > 2]
+    assert want and sorted(map(sorted, got.values())) == sorted(map(sorted, want))
+    highest = lambda found: {i: max(h[i] for h in found if i in h) for h in found for i in h}
+    low, high = highest(got.values()), highest(want)
+    assert all(high[i] - size[i] / 256 - 1 <= low[i] <= high[i] for i in high)
