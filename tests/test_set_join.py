@@ -115,3 +115,11 @@ def test_prefix_shingles_move_packed(spark, monkeypatch, kind):
     highest = lambda found: {i: max(h[i] for h in found if i in h) for h in found for i in h}
     low, high = highest(got.values()), highest(want)
     assert all(high[i] - size[i] / 256 - 1 <= low[i] <= high[i] for i in high)
+
+
+def test_a_row_that_comes_twice_is_no_link(spark):
+    rng = random.Random(2)
+    alone, pair = words(rng, 90), words(rng, 90)
+    rows = [(1, alone), (1, alone), (2, pair), (3, pair + " x"), (3, pair + " x"), (4, words(rng, 400)), (4, pair + " y")]
+    found = J.similarity_groups(spark.createDataFrame(rows, "id long, text string")).select("id", "root")
+    assert {(r["id"], r["root"]) for r in found.collect()} == {(2, 2), (3, 2), (4, 2)}
